@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from modelstream.schemas import ENVELOPE, KIND_NAMES, MODEL, RECORD, ddl
+from modelstream.schemas import ENVELOPE, MODEL, RECORD, ddl
 
 _TEXT_MODEL = (
     "struct<name:string,description:string,data_type:string,model_kind:int,data:string,location:string,ts:bigint>"
@@ -47,16 +47,15 @@ def decode_record_or_default(value: Column) -> Column:
 
 
 def decode_model(value: Column) -> Column:
-    """A MODEL struct; null when the value cannot be decoded or names a kind code without a name.
+    """A MODEL struct; null when the value cannot be decoded. A kind code nobody knows is kept for the registry to judge.
 
     The payload is base64 text. A model with a payload has no location, one without has an empty payload.
     """
     row = _parsed(value, _TEXT_MODEL)
     payload = F.try_to_binary(row.getField("data"), F.lit("base64"))
     inline = row.getField("data").isNotNull()
-    known = F.coalesce(row.getField("model_kind"), F.lit(0)).isin(list(KIND_NAMES))
     return F.when(
-        row.isNotNull() & known & (~inline | payload.isNotNull()),
+        row.isNotNull() & (~inline | payload.isNotNull()),
         F.struct(
             F.coalesce(row.getField("name"), F.lit("")).alias("name"),
             F.coalesce(row.getField("description"), F.lit("")).alias("description"),
@@ -174,7 +173,7 @@ def register_decoders(spark: SparkSession) -> None:
     spark.sql(
         f"""
         CREATE OR REPLACE TEMPORARY FUNCTION deserialize_model(value BINARY) RETURNS {envelope} RETURN
-          CASE WHEN {m} IS NOT NULL AND {m}.__rest IS NULL AND coalesce({m}.model_kind, 0) IN (0, 1, 2)
+          CASE WHEN {m} IS NOT NULL AND {m}.__rest IS NULL
                 AND ({m}.data IS NULL OR try_to_binary({m}.data, 'base64') IS NOT NULL) THEN
             CAST(struct(coalesce({m}.data_type, ''), coalesce({m}.ts, 0L), NULL,
                         struct(coalesce({m}.name, ''), coalesce({m}.description, ''), coalesce({m}.data_type, ''),
