@@ -1,156 +1,164 @@
 """One known model written into the plan as plain arithmetic and CASE expressions.
 
 The data-driven scorers carry the model with each row. When a whole table is scored with one model, its parameters are
-literals instead: no array is copied or walked per row and the scan, filters and score share one generated stage.
+literals instead: no array is copied or walked per row, and the scan, filters and score share one generated stage. The
+expressions are SQL text, which Spark parses in one go.
 """
 
 from __future__ import annotations
 
-from functools import reduce
 from typing import Any
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from modelstream.functions.features import argmax_columns, label_number
-from modelstream.functions.scoring import clean
-
 Params = dict[str, Any]
 
 
-def _sum(columns: list[Column]) -> Column:
-    return reduce(lambda a, b: a + b, columns)
+def number(value: float) -> str:
+    """A double literal."""
+    text = f"{float(value)!r}D"
+    return f"({text})" if text.startswith("-") else text
+
+
+def array_of(values: list[Any]) -> str:
+    """A constant array, folded once by the optimizer."""
+    return "array(" + ", ".join("CAST(NULL AS DOUBLE)" if v is None else number(v) for v in values) + ")"
+
+
+def best_of(columns: list[str]) -> str:
+    """Index of the largest column, the first of equals."""
+    top = f"greatest({', '.join(columns)})" if len(columns) > 1 else columns[0]
+    return "CASE " + " ".join(f"WHEN {c} = {top} THEN {i}" for i, c in enumerate(columns)) + " END"
 
 
-def _softmax(columns: list[Column]) -> list[Column]:
-    top = F.greatest(*columns) if len(columns) > 1 else columns[0]
-    grown = [F.exp(c - top) for c in columns]
-    return [g / _sum(grown) for g in grown]
+def label_of(labels: list[str], index: str) -> str:
+    """The label at an index as a number; null for a label that spells none."""
+    texts = ", ".join("'" + label.replace("\\", "\\\\").replace("'", "\\'") + "'" for label in labels)
+    return f"try_cast(get(array({texts}), {index}) AS DOUBLE)"
 
 
-def linear(x: list[Column], params: Params) -> Column:
-    terms = [F.lit(float(c)) * clean(v) for c, v in zip(params["coefs"], x) if c != 0.0]
-    return _sum([F.lit(float(params["intercept"])), *terms])
+def linear(x: list[str], params: Params) -> str:
+    terms = [f"{number(c)} * {v}" for c, v in zip(params["coefs"], x) if c != 0.0]
+    return " + ".join([number(params["intercept"]), *terms])
 
 
-def glm(x: list[Column], params: Params) -> Column:
+def glm(x: list[str], params: Params) -> str:
     powers = params.get("exponents") or [1.0] * len(params["coefs"])
     terms = [
-        F.lit(float(c)) * (clean(v) if e == 1.0 else F.pow(clean(v), F.lit(float(e))))
+        f"{number(c)} * {v if e == 1.0 else f'power({v}, {number(e)})'}"
         for c, e, v in zip(params["coefs"], powers, x)
         if c != 0.0
     ]
-    eta = _sum([F.lit(float(params["intercept"])), *terms])
-    link = params.get("link") or "identity"
-    responses = {
+    eta = " + ".join([number(params["intercept"]), *terms])
+    return {
         "identity": eta,
-        "log": F.exp(eta),
-        "logit": 1.0 / (1.0 + F.exp(-eta)),
-        "inverse": F.when(eta != 0.0, 1.0 / eta),
-    }
-    return responses[link]
+        "log": f"exp({eta})",
+        "logit": f"1D / (1D + exp(-({eta})))",
+        "inverse": f"1D / nullif({eta}, 0D)",
+    }[params.get("link") or "identity"]
 
 
-def tree_leaf(x: list[Column], nodes: list[Any]) -> Column:
+def tree_leaf(x: list[str], nodes: list[Params], position: int = 0) -> str:
     """Position of the leaf the inputs lead to, as a nested CASE."""
+    node = nodes[position]
+    if node["f"] < 0:
+        return str(position)
+    value = x[node["f"]] if node["f"] < len(x) else "0D"
+    test = f"{value} {'<' if node['strict'] else '<='} {number(node['thr'])}"
+    return f"CASE WHEN {test} THEN {tree_leaf(x, nodes, node['l'])} ELSE {tree_leaf(x, nodes, node['r'])} END"
 
-    def at(position: int) -> Column:
-        node = nodes[position]
-        if node["f"] < 0:
-            return F.lit(position)
-        value = clean(x[node["f"]]) if node["f"] < len(x) else F.lit(0.0)
-        threshold = F.lit(float(node["thr"]))
-        left = value < threshold if node["strict"] else value <= threshold
-        return F.when(left, at(node["l"])).otherwise(at(node["r"]))
 
-    return at(0)
+_ACTIVATIONS = {
+    "identity": "{0}",
+    "logistic": "1D / (1D + exp(-({0})))",
+    "sigmoid": "1D / (1D + exp(-({0})))",
+    "tanh": "tanh({0})",
+    "rectifier": "greatest({0}, 0D)",
+    "relu": "greatest({0}, 0D)",
+}
 
 
-def _lookup(values: list[Any], kind: str) -> Column:
-    """A constant array, folded once by the optimizer."""
-    return F.lit(values).cast(f"array<{kind}>")
+def _stage(df: DataFrame, columns: dict[str, str]) -> DataFrame:
+    return df.withColumns({name: F.expr(text) for name, text in columns.items()})
 
 
-def _leaf_values(nodes: list[Any], field: str) -> list[float | None]:
-    return [float(n[field]) if n["f"] < 0 and n[field] is not None else None for n in nodes]
+def _tree_score(node: Params) -> float | None:
+    return float(node["score"]) if node["f"] < 0 and node["score"] is not None else None
 
 
-def with_score(df: DataFrame, x: list[Column], params: Params, out: str = "result") -> DataFrame:
-    """`df` with the score of one model in column `out`, and class probabilities in `{out}_probs` where it has them.
+def with_score(df: DataFrame, inputs: list[str], params: Params, out: str = "result") -> DataFrame:
+    """`df` with the score of one model in column `out`, and class shares in `{out}_probs` where the model has them.
 
-    Wide models are staged: leaf positions and layer outputs are columns of their own, so no later expression repeats
-    them. The staging columns are dropped at the end.
+    `inputs` are SQL expressions over `df`, in the order of the model's features; null counts as 0.0. Leaf positions and
+    layer outputs are columns of their own while they are needed, so no later expression repeats them.
     """
+    before = df.columns
     form = params["form"]
+    single = form == "dense"
+    clean = [
+        f"CAST(CAST(coalesce({v}, 0D) AS FLOAT) AS DOUBLE)" if single else f"coalesce(CAST({v} AS DOUBLE), 0D)"
+        for v in inputs
+    ]
     if form == "linear":
-        return df.withColumn(out, linear(x, params))
+        return _stage(df, {out: linear(clean, params)})
     if form == "glm":
-        return df.withColumn(out, glm(x, params))
+        return _stage(df, {out: glm(clean, params)})
     if form in ("tree", "forest"):
-        return _with_trees(df, x, params, out)
-    if form in ("network", "dense"):
-        return _with_network(df, x, params, out)
-    raise ValueError(f"unknown model form {form!r}")
+        staged, results = _trees(df, clean, params, out)
+    elif form in ("network", "dense"):
+        staged, results = _layers(df, clean, params, out)
+    else:
+        raise ValueError(f"unknown model form {form!r}")
+    kept = [F.col(f"`{c}`") for c in before if c not in results]
+    return staged.select(*kept, *[F.expr(text).alias(name) for name, text in results.items()])
 
 
-def _with_trees(df: DataFrame, x: list[Column], params: Params, out: str) -> DataFrame:
+def _trees(df: DataFrame, x: list[str], params: Params, out: str) -> tuple[DataFrame, dict[str, str]]:
     trees, labels = params["trees"], params.get("labels") or []
     leaves = [f"__{out}_leaf{i}" for i in range(len(trees))]
-    staged = df.withColumns({c: tree_leaf(x, t) for c, t in zip(leaves, trees)})
-    if not labels:
-        values = [F.get(_lookup(_leaf_values(t, "score"), "double"), F.col(c)) for c, t in zip(leaves, trees)]
-        return staged.withColumn(out, _sum(values) / F.lit(float(len(trees)))).drop(*leaves)
+    staged = _stage(df, {c: tree_leaf(x, t) for c, t in zip(leaves, trees)})
 
-    def share(position: int) -> Column:
-        each = [
-            F.get(_lookup([n["probs"][position] if n["f"] < 0 else None for n in t], "double"), F.col(c))
-            for c, t in zip(leaves, trees)
-        ]
-        return _sum(each) / F.lit(float(len(trees)))
+    def mean(value) -> str:
+        each = [f"get({array_of([value(n) for n in t])}, {c})" for c, t in zip(leaves, trees)]
+        return f"({' + '.join(each)}) / {number(len(trees))}"
 
+    if not labels:
+        return staged, {out: mean(_tree_score)}
     shares = [f"__{out}_share{i}" for i in range(len(labels))]
-    staged = staged.withColumns({c: share(i) for i, c in enumerate(shares)})
+    staged = _stage(
+        staged,
+        {c: mean(lambda n, i=i: n["probs"][i] if n["f"] < 0 else None) for i, c in enumerate(shares)},
+    )
     if params["form"] == "tree":
         # The label a node carries decides, also where two classes have the same count.
-        best = F.get(_lookup(_leaf_values(trees[0], "score"), "double"), F.col(leaves[0]))
+        best = f"get({array_of([_tree_score(n) for n in trees[0]])}, {leaves[0]})"
     else:
-        best = label_number(F.get(_lookup(list(labels), "string"), argmax_columns([F.col(c) for c in shares])))
-    return staged.withColumns(
-        {out: best, f"{out}_probs": F.array(*[F.col(c) for c in shares])}
-    ).drop(*leaves, *shares)
+        best = label_of(labels, best_of(shares))
+    return staged, {out: best, f"{out}_probs": f"array({', '.join(shares)})"}
 
 
-def _with_network(df: DataFrame, x: list[Column], params: Params, out: str) -> DataFrame:
-    single = params["form"] == "dense"
-    values = [clean(v).cast("float").cast("double") if single else clean(v) for v in x]
-    names: list[str] = []
+def _layers(df: DataFrame, x: list[str], params: Params, out: str) -> tuple[DataFrame, dict[str, str]]:
+    values = [f"__{out}_x{i}" for i in range(len(x))]
+    df = _stage(df, dict(zip(values, x)))
     for depth, layer in enumerate(params["layers"]):
+        names = [f"__{out}_h{depth}_{i}" for i in range(len(layer["b"]))]
         raw = [
-            _sum([F.lit(float(b)), *[F.lit(float(w)) * v for w, v in zip(row, values)]])
+            " + ".join([number(b), *[f"{number(w)} * {v}" for w, v in zip(row, values)]])
             for row, b in zip(layer["w"], layer["b"])
         ]
-        act = layer["act"]
-        stage = [f"__{out}_h{depth}_{i}" for i in range(len(raw))]
-        if act == "softmax":
-            df = df.withColumns(dict(zip([f"{s}_raw" for s in stage], raw)))
-            names += [f"{s}_raw" for s in stage]
-            outputs = _softmax([F.col(f"{s}_raw") for s in stage])
+        if layer["act"] == "softmax":
+            # Shifted by the largest value, so that exp stays finite.
+            sums = [f"{n}_raw" for n in names]
+            grown = [f"{n}_exp" for n in names]
+            df = _stage(df, dict(zip(sums, raw)))
+            top = f"greatest({', '.join(sums)})" if len(sums) > 1 else sums[0]
+            df = _stage(df, {g: f"exp({s} - {top})" for g, s in zip(grown, sums)})
+            df = _stage(df, {n: f"{g} / ({' + '.join(grown)})" for n, g in zip(names, grown)})
         else:
-            outputs = [
-                {
-                    "identity": lambda v: v,
-                    "logistic": lambda v: 1.0 / (1.0 + F.exp(-v)),
-                    "sigmoid": lambda v: 1.0 / (1.0 + F.exp(-v)),
-                    "tanh": F.tanh,
-                    "rectifier": lambda v: F.greatest(v, F.lit(0.0)),
-                    "relu": lambda v: F.greatest(v, F.lit(0.0)),
-                }[act](v)
-                for v in raw
-            ]
-        df = df.withColumns(dict(zip(stage, outputs)))
-        names += stage
-        values = [F.col(s) for s in stage]
-    best = argmax_columns(values)
+            df = _stage(df, {n: _ACTIVATIONS[layer["act"]].format(r) for n, r in zip(names, raw)})
+        values = names
+    best = best_of(values)
     labels = params.get("labels") or []
-    result = label_number(F.get(_lookup(list(labels), "string"), best)) if labels else best.cast("double")
-    return df.withColumns({out: result, f"{out}_probs": F.array(*values)}).drop(*names)
+    result = label_of(labels, best) if labels else f"CAST({best} AS DOUBLE)"
+    return df, {out: result, f"{out}_probs": f"array({', '.join(values)})"}

@@ -8,7 +8,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from modelstream.config import Limits
+from modelstream.config import Limits, work_folder
 from modelstream.functions.scoring import SCORERS, Scorer
 from modelstream.functions.text import payload_digest
 from modelstream.plans import chunks
@@ -101,6 +101,18 @@ def build_models(models: DataFrame, names: list[str], kinds: Kinds = Kinds()) ->
     return parsed.select(*models.columns, chain.cast(PARAMS).alias("params"))
 
 
+def save_models(models: DataFrame, path: str | None = None) -> DataFrame:
+    """Write a built model table and read it back without the payloads.
+
+    Documents are parsed once, when a model arrives; what serves reads the parameters, and only those its score needs.
+    Without a path the table goes to a new folder under the shared checkpoint folder.
+    """
+    spark = models.sparkSession
+    path = path or work_folder(spark, "models")
+    models.drop("model").write.mode("overwrite").parquet(path)
+    return spark.read.schema(models.drop("model").schema).parquet(path)
+
+
 def latest_models(models: DataFrame) -> DataFrame:
     """The last model of each type, by time and then arrival. Partial maxima are taken before the shuffle."""
     packed = F.struct(*[F.col(c) for c in models.columns])

@@ -86,8 +86,11 @@ def model_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+LINE_COLUMNS = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
+
+
 def line_features() -> list[Column]:
-    return [F.col("l_quantity"), F.col("l_extendedprice"), F.col("l_discount"), F.col("l_tax")]
+    return [F.col(c) for c in LINE_COLUMNS]
 
 
 LINE_NAMES = ["quantity", "extended price", "discount", "tax"]

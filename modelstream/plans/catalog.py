@@ -20,6 +20,9 @@ from modelstream.sources import sinks, tables
 from modelstream.sources.documents import parse_document
 from modelstream.sources.models import load_model
 
+# The elements of the embeddings as SQL expressions.
+VECTOR = [f"get(embedding, {i})" for i in range(fixtures.WIDTH)]
+
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
@@ -102,7 +105,7 @@ def serve_models_first(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _bad_models(spark: SparkSession, sf: str, on_bad_model: str) -> DataFrame:
-    models = registry.build_models(b.model_documents(spark, sf), ["value", "k"]).drop("model")
+    models = registry.save_models(registry.build_models(b.model_documents(spark, sf), ["value", "k"]))
     served = serve_asof(
         b.records(spark, sf),
         models,
@@ -221,7 +224,7 @@ def model_dedupe(spark: SparkSession, sf: str) -> DataFrame:
 
 def _score_lines(spark: SparkSession, sf: str, document: str) -> DataFrame:
     params = load_model(spark, document, b.LINE_NAMES)
-    return compiled.with_score(b.lines(spark, sf), b.line_features(), params)
+    return compiled.with_score(b.lines(spark, sf), b.LINE_COLUMNS, params)
 
 
 @query
@@ -261,8 +264,7 @@ def _parts(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def forest_class(spark: SparkSession, sf: str) -> DataFrame:
     params = load_model(spark, fixtures.FOREST, fixtures.PART_NAMES)
-    inputs = [F.col(c) for c in ("p_size", "p_retailprice", "sold", "lines")]
-    scored = compiled.with_score(_parts(spark, sf), inputs, params)
+    scored = compiled.with_score(_parts(spark, sf), ["p_size", "p_retailprice", "sold", "lines"], params)
     return scored.select("p_partkey", "result", *_class_shares(scored))
 
 
@@ -270,7 +272,7 @@ def forest_class(spark: SparkSession, sf: str) -> DataFrame:
 def mlp_class(spark: SparkSession, sf: str) -> DataFrame:
     params = load_model(spark, fixtures.NETWORK, fixtures.VECTOR_NAMES)
     rows = b.table(spark, sf, "embeddings").select("vec_id", "embedding")
-    scored = compiled.with_score(rows, features.vector_columns(F.col("embedding"), fixtures.WIDTH), params)
+    scored = compiled.with_score(rows, VECTOR, params)
     return scored.select("vec_id", "result", *_class_shares(scored))
 
 
@@ -278,7 +280,7 @@ def mlp_class(spark: SparkSession, sf: str) -> DataFrame:
 def dense_argmax(spark: SparkSession, sf: str) -> DataFrame:
     params = load_model(spark, fixtures.DENSE, fixtures.VECTOR_NAMES)
     rows = b.table(spark, sf, "embeddings").select("vec_id", "embedding")
-    scored = compiled.with_score(rows, features.vector_columns(F.col("embedding"), fixtures.WIDTH), params)
+    scored = compiled.with_score(rows, VECTOR, params)
     return scored.select("vec_id", "result", F.round(F.array_max("result_probs"), 6).alias("best"))
 
 
@@ -296,7 +298,7 @@ def score_dispatch(spark: SparkSession, sf: str) -> DataFrame:
         ],
         "name string, data_type string, model_kind int, model string, ts bigint, seq bigint",
     ).withColumn("model", F.col("model").cast("binary"))
-    models = registry.build_models(descriptors, b.LINE_NAMES).drop("model")
+    models = registry.save_models(registry.build_models(descriptors, b.LINE_NAMES))
     rows = b.table(spark, sf, "lineitem").select(
         "l_orderkey",
         "l_linenumber",

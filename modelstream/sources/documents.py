@@ -158,48 +158,29 @@ def _general_regression(doc: Column, names: list[str]) -> Column:
 # --- trees --------------------------------------------------------------------------------------------------------
 
 
-def _flat_nodes(root: Column, depth: int) -> Column:
-    """All nodes of a tree, level by level, as structs (id, kids, score, test, counts).
+def _flat_nodes(root: str, depth: int) -> str:
+    """SQL text: all nodes of the tree at `root`, level by level, as structs (id, kids, score, test, counts).
 
     The root is 1 and the children of n are 2n and 2n + 1.
     """
 
-    def strip(level: Column, last: bool) -> Column:
-        return F.transform(
-            level,
-            lambda n: F.struct(
-                n.getField("id").alias("id"),
-                (
-                    F.lit(0)
-                    if last
-                    else F.coalesce(F.size(n.getField("node").getField("Node")), F.lit(0))
-                ).alias("kids"),
-                n.getField("node").getField("_score").alias("score"),
-                n.getField("node").getField("SimplePredicate").alias("test"),
-                n.getField("node").getField("ScoreDistribution").alias("counts"),
-            ),
+    def strip(level: str, last: bool) -> str:
+        kids = "0" if last else "coalesce(array_size(n.node.Node), 0)"
+        return (
+            f"transform({level}, n -> named_struct('id', n.id, 'kids', {kids}, 'score', n.node._score, "
+            "'test', n.node.SimplePredicate, 'counts', n.node.ScoreDistribution))"
         )
 
-    def children(level: Column, below: int) -> Column:
-        none = F.array().cast(f"array<struct<id:bigint,node:{_node(below)}>>")
-
-        def of(n: Column) -> Column:
-            numbered = F.transform(
-                n.getField("node").getField("Node"),
-                lambda child, i: F.struct(
-                    (n.getField("id") * 2 + i).cast("bigint").alias("id"), child.alias("node")
-                ),
-            )
-            return F.coalesce(numbered, none)
-
-        return F.flatten(F.transform(level, of))
-
-    level = F.array(F.struct(F.lit(1).cast("bigint").alias("id"), root.alias("node")))
+    level = f"array(named_struct('id', 1L, 'node', {root}))"
     levels = [strip(level, depth == 0)]
     for below in range(depth - 1, -1, -1):
-        level = children(level, below)
+        level = (
+            f"flatten(transform({level}, n -> coalesce("
+            "transform(n.node.Node, (c, i) -> named_struct('id', n.id * 2 + i, 'node', c)), "
+            f"CAST(array() AS array<struct<id:bigint,node:{_node(below)}>>))))"
+        )
         levels.append(strip(level, below == 0))
-    return F.concat(*levels)
+    return f"concat({', '.join(levels)})"
 
 
 def _linked(nodes: Column, names: list[str], labels: Column) -> Column:
@@ -277,9 +258,10 @@ def _with_trees(df: DataFrame, text: str, doc: str, names: list[str], out: str,
     staged = (
         df.withColumn(
             nodes,
-            F.when(single.getField("Node").isNotNull(), F.array(_flat_nodes(single.getField("Node"), depth))).when(
-                segments.isNotNull(),
-                F.transform(segments, lambda s: _flat_nodes(s.getField("TreeModel").getField("Node"), depth)),
+            F.expr(
+                f"transform(coalesce(CASE WHEN {doc}.TreeModel.Node IS NOT NULL THEN array({doc}.TreeModel.Node) END, "
+                f"transform({doc}.MiningModel.Segmentation.Segment, s -> s.TreeModel.Node)), "
+                f"root -> {_flat_nodes('root', depth)})"
             ),
         )
         .withColumn(
