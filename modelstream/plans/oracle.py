@@ -334,3 +334,27 @@ FROM base WHERE event_type <> 'signup'
 }
 ORACLE["decode_records_sql"] = ORACLE["decode_records"]
 ORACLE["csv_lines"] = ORACLE["csv_scan"]
+
+for _name in ("stream_keyed", "stream_recover", "stream_arrivals"):
+    ORACLE[_name] = RESULTS
+ORACLE["stream_broadcast"] = ORACLE["serve_broadcast"]
+ORACLE["stream_stats"] = BASE + STATS + "SELECT * FROM by_model"
+ORACLE["state_reader"] = (
+    BASE + "SELECT data_type, name, since, round(intercept, 6) AS intercept, round(coef, 6) AS coef FROM latest"
+)
+ORACLE["stream_state_stats"] = (
+    BASE
+    + STATS
+    + "SELECT s.* FROM by_model s JOIN latest l ON s.data_type = l.data_type AND s.name = l.name AND s.since = l.since"
+)
+ORACLE["stream_messages"] = (
+    BASE
+    + """,
+arrived AS (SELECT data_type, ts, arg_max(name, seq) AS name, arg_max(intercept, seq) AS intercept,
+                   arg_max(coef, seq) AS coef
+            FROM models WHERE k >= 10 AND k < 50 AND CAST(k AS INTEGER) % 10 <> 0 GROUP BY data_type, ts)
+SELECT r.record_id, m.name, r.data_type, r.ts AS submission_ts, round(m.intercept + r.value * m.coef, 6) AS result
+FROM (SELECT event_id AS record_id, data_type, ts, value FROM base WHERE event_type NOT IN ('signup', 'error')) r
+ASOF JOIN arrived m ON r.data_type = m.data_type AND r.ts >= m.ts
+"""
+)

@@ -120,6 +120,11 @@ PARAM_FIELDS = {
 PARAMS = "struct<" + ",".join(f"{name}:{kind}" for name, kind in PARAM_FIELDS.items()) + ">"
 
 
+def fields(**kinds: T.DataType) -> T.StructType:
+    """A schema of nullable fields."""
+    return T.StructType([T.StructField(name, kind) for name, kind in kinds.items()])
+
+
 def ddl(schema: T.StructType) -> str:
     """The schema as a ``struct<...>`` type string, for casts."""
     return schema.simpleString()
