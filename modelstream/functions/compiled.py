@@ -21,6 +21,11 @@ def number(value: float) -> str:
     return f"({text})" if text.startswith("-") else text
 
 
+def text(value: str) -> str:
+    """A string literal."""
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def array_of(values: list[Any]) -> str:
     """A constant array, folded once by the optimizer."""
     return "array(" + ", ".join("CAST(NULL AS DOUBLE)" if v is None else number(v) for v in values) + ")"
@@ -34,8 +39,7 @@ def best_of(columns: list[str]) -> str:
 
 def label_of(labels: list[str], index: str) -> str:
     """The label at an index as a number; null for a label that spells none."""
-    texts = ", ".join("'" + label.replace("\\", "\\\\").replace("'", "\\'") + "'" for label in labels)
-    return f"try_cast(get(array({texts}), {index}) AS DOUBLE)"
+    return f"try_cast(get(array({', '.join(text(label) for label in labels)}), {index}) AS DOUBLE)"
 
 
 def linear(x: list[str], params: Params) -> str:
@@ -79,19 +83,26 @@ _ACTIVATIONS = {
 }
 
 
-def _stage(df: DataFrame, columns: dict[str, str]) -> DataFrame:
-    return df.withColumns({name: F.expr(text) for name, text in columns.items()})
+def _stage(df: DataFrame, columns: dict[str, str], when: str | None = None) -> DataFrame:
+    return df.withColumns({name: F.expr(_only(text, when)) for name, text in columns.items()})
+
+
+def _only(text: str, when: str | None) -> str:
+    return text if when is None else f"CASE WHEN {when} THEN {text} END"
 
 
 def _tree_score(node: Params) -> float | None:
     return float(node["score"]) if node["f"] < 0 and node["score"] is not None else None
 
 
-def with_score(df: DataFrame, inputs: list[str], params: Params, out: str = "result") -> DataFrame:
+def with_score(
+    df: DataFrame, inputs: list[str], params: Params, out: str = "result", when: str | None = None
+) -> DataFrame:
     """`df` with the score of one model in column `out`, and class shares in `{out}_probs` where the model has them.
 
     `inputs` are SQL expressions over `df`, in the order of the model's features; null counts as 0.0. Leaf positions and
-    layer outputs are columns of their own while they are needed, so no later expression repeats them.
+    layer outputs are columns of their own while they are needed, so no later expression repeats them. With `when`, a
+    condition in SQL, only the rows it holds for are scored.
     """
     before = df.columns
     form = params["form"]
@@ -101,23 +112,25 @@ def with_score(df: DataFrame, inputs: list[str], params: Params, out: str = "res
         for v in inputs
     ]
     if form == "linear":
-        return _stage(df, {out: linear(clean, params)})
+        return _stage(df, {out: linear(clean, params)}, when)
     if form == "glm":
-        return _stage(df, {out: glm(clean, params)})
+        return _stage(df, {out: glm(clean, params)}, when)
     if form in ("tree", "forest"):
-        staged, results = _trees(df, clean, params, out)
+        staged, results = _trees(df, clean, params, out, when)
     elif form in ("network", "dense"):
-        staged, results = _layers(df, clean, params, out)
+        staged, results = _layers(df, clean, params, out, when)
     else:
         raise ValueError(f"unknown model form {form!r}")
     kept = [F.col(f"`{c}`") for c in before if c not in results]
-    return staged.select(*kept, *[F.expr(text).alias(name) for name, text in results.items()])
+    return staged.select(*kept, *[F.expr(_only(text, when)).alias(name) for name, text in results.items()])
 
 
-def _trees(df: DataFrame, x: list[str], params: Params, out: str) -> tuple[DataFrame, dict[str, str]]:
+def _trees(
+    df: DataFrame, x: list[str], params: Params, out: str, when: str | None
+) -> tuple[DataFrame, dict[str, str]]:
     trees, labels = params["trees"], params.get("labels") or []
     leaves = [f"__{out}_leaf{i}" for i in range(len(trees))]
-    staged = _stage(df, {c: tree_leaf(x, t) for c, t in zip(leaves, trees)})
+    staged = _stage(df, {c: tree_leaf(x, t) for c, t in zip(leaves, trees)}, when)
 
     def mean(value) -> str:
         each = [f"get({array_of([value(n) for n in t])}, {c})" for c, t in zip(leaves, trees)]
@@ -129,6 +142,7 @@ def _trees(df: DataFrame, x: list[str], params: Params, out: str) -> tuple[DataF
     staged = _stage(
         staged,
         {c: mean(lambda n, i=i: n["probs"][i] if n["f"] < 0 else None) for i, c in enumerate(shares)},
+        when,
     )
     if params["form"] == "tree":
         # The label a node carries decides, also where two classes have the same count.
@@ -138,9 +152,11 @@ def _trees(df: DataFrame, x: list[str], params: Params, out: str) -> tuple[DataF
     return staged, {out: best, f"{out}_probs": f"array({', '.join(shares)})"}
 
 
-def _layers(df: DataFrame, x: list[str], params: Params, out: str) -> tuple[DataFrame, dict[str, str]]:
+def _layers(
+    df: DataFrame, x: list[str], params: Params, out: str, when: str | None
+) -> tuple[DataFrame, dict[str, str]]:
     values = [f"__{out}_x{i}" for i in range(len(x))]
-    df = _stage(df, dict(zip(values, x)))
+    df = _stage(df, dict(zip(values, x)), when)
     for depth, layer in enumerate(params["layers"]):
         names = [f"__{out}_h{depth}_{i}" for i in range(len(layer["b"]))]
         raw = [
@@ -151,12 +167,12 @@ def _layers(df: DataFrame, x: list[str], params: Params, out: str) -> tuple[Data
             # Shifted by the largest value, so that exp stays finite.
             sums = [f"{n}_raw" for n in names]
             grown = [f"{n}_exp" for n in names]
-            df = _stage(df, dict(zip(sums, raw)))
+            df = _stage(df, dict(zip(sums, raw)), when)
             top = f"greatest({', '.join(sums)})" if len(sums) > 1 else sums[0]
-            df = _stage(df, {g: f"exp({s} - {top})" for g, s in zip(grown, sums)})
-            df = _stage(df, {n: f"{g} / ({' + '.join(grown)})" for n, g in zip(names, grown)})
+            df = _stage(df, {g: f"exp({s} - {top})" for g, s in zip(grown, sums)}, when)
+            df = _stage(df, {n: f"{g} / ({' + '.join(grown)})" for n, g in zip(names, grown)}, when)
         else:
-            df = _stage(df, {n: _ACTIVATIONS[layer["act"]].format(r) for n, r in zip(names, raw)})
+            df = _stage(df, {n: _ACTIVATIONS[layer["act"]].format(r) for n, r in zip(names, raw)}, when)
         values = names
     best = best_of(values)
     labels = params.get("labels") or []

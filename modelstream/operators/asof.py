@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from modelstream.config import Limits
 from modelstream.plans import chunks
-from modelstream.plans.sizes import fits, measure
+from modelstream.plans.sizes import row_bytes
 
 MODEL = "model"
 
@@ -54,13 +54,13 @@ def asof_join(
 def _broadcast(
     records: DataFrame, models: DataFrame, key: str, at: str, seq: str, how: str, limits: Limits
 ) -> DataFrame | None:
-    size = measure(
-        models,
+    size = models.agg(
+        F.count(F.lit(1)).alias("rows"),
         F.min(at).alias("first"),
         F.max(at).alias("last"),
         F.approx_count_distinct(key).alias("keys"),
-    )
-    if not fits(size, limits):
+    ).first()
+    if size["rows"] > limits.broadcast_rows:
         return None
     if size["first"] is None:
         cells, width, first = 0, 1, 0
@@ -73,10 +73,15 @@ def _broadcast(
     def cell(point):
         return F.floor((point - F.lit(first)) / F.lit(width)).cast("bigint")
 
-    if size["rows"] > limits.cell_candidates:
-        crowd = models.groupBy(key, cell(F.col(at)).alias("cell")).count().agg(F.max("count")).first()[0]
-        if crowd > limits.cell_candidates:
-            return None
+    # Bytes of the side, and the most switches of one key in one cell.
+    crowd = (
+        models.groupBy(key, cell(F.col(at)).alias("cell"))
+        .agg(F.count(F.lit(1)).alias("rows"), F.sum(row_bytes(models)).alias("bytes"))
+        .agg(F.coalesce(F.max("rows"), F.lit(0)).alias("most"), F.coalesce(F.sum("bytes"), F.lit(0)).alias("bytes"))
+        .first()
+    )
+    if crowd["most"] > limits.cell_candidates or crowd["bytes"] > limits.broadcast_bytes:
+        return None
     # A model is in force until the next one; one that is replaced at its own point never is. The models are few here.
     until = F.lead(at).over(Window.partitionBy(key).orderBy(at, seq))
     last_cell = F.when(F.col("__until").isNull(), F.lit(cells)).otherwise(cell(F.col("__until") - F.lit(1)))

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from modelstream.config import Limits
-from modelstream.functions import scoring
+from modelstream.functions import compiled, scoring
 from modelstream.operators.asof import MODEL, asof_join
 from modelstream.operators.registry import latest_models
 from modelstream.plans.sizes import lookup_join
@@ -49,11 +49,12 @@ def route(
     policy: Policy = Policy(),
     keep: list[str] | None = None,
     forms: list[str] | None = None,
+    score: str | None = None,
 ) -> DataFrame:
     """Results for records with the struct ``model`` (null when there is none) next to them.
 
     Three ways: bad input, no model, scored. `keep` names further columns to pass through; ``since`` is the time the
-    model took over, null for a marked row.
+    model took over, null for a marked row. `score` names a column that holds the score already.
     """
     typed = F.coalesce(F.length("data_type"), F.lit(0)) > 0
     params = F.col(MODEL).getField("params")
@@ -64,6 +65,7 @@ def route(
     if policy.no_model == "drop":
         wanted = wanted & (has_model | ~typed)
     scored = typed & has_model
+    result = scoring.score(inputs, params, forms) if score is None else F.col(score)
     return joined.filter(wanted).select(
         *(keep or []),
         F.when(scored, F.col(MODEL).getField("name"))
@@ -72,7 +74,7 @@ def route(
         .alias("name"),
         F.when(scored, F.col("data_type")).otherwise(F.lit("")).alias("data_type"),
         F.when(scored, F.col("ts")).otherwise(F.lit(0).cast("bigint")).alias("submission_ts"),
-        F.when(scored, scoring.score(inputs, params, forms)).otherwise(F.lit(0.0)).alias("result"),
+        F.when(scored, result).otherwise(F.lit(0.0)).alias("result"),
         F.when(scored, F.col(MODEL).getField("ts")).alias("since"),
     )
 
@@ -132,3 +134,43 @@ def serve_latest(
         records, side, "data_type", "left" if marked else "inner", spread=spread, limits=limits
     )
     return route(joined, inputs, policy, keep, forms)
+
+
+def serve_few(
+    records: DataFrame,
+    models: DataFrame,
+    inputs: list[str],
+    policy: Policy = Policy(),
+    *,
+    most: int = 32,
+    keep: list[str] | None = None,
+    limits: Limits = Limits(),
+) -> DataFrame:
+    """As `serve_latest`, for a registry of few types: the models are written into the plan and nothing is joined.
+
+    `inputs` are SQL expressions. The newest models are read to the driver only after they were counted and found to be
+    at most `most`; beyond that `serve_latest` does the work.
+    """
+    newest = latest_models(in_force(models, policy))
+    rows = newest.limit(most + 1).collect()
+    if len(rows) > most:
+        return serve_latest(
+            records, models, [F.expr(text) for text in inputs], policy, keep=keep, limits=limits
+        )
+    # `route` reads the model's name, time and usability; the score is a column of its own.
+    scores, known = [], F.lit(None).cast("struct<name:string,ts:bigint,params:boolean>")
+    scored = records
+    for number, row in enumerate(rows):
+        mine = F.col("data_type") == row["data_type"]
+        usable = F.lit(True) if row["params"] is not None else F.lit(None).cast("boolean")
+        known = F.when(
+            mine, F.struct(F.lit(row["name"]).alias("name"), F.lit(row["ts"]).alias("ts"), usable.alias("params"))
+        ).otherwise(known)
+        if row["params"] is not None:
+            out = f"__score{number}"
+            condition = f"data_type = {compiled.text(row['data_type'])}"
+            scored = compiled.with_score(scored, inputs, row["params"].asDict(recursive=True), out, condition)
+            scored = scored.drop(f"{out}_probs")
+            scores.append(F.col(out))
+    total = F.coalesce(*scores, F.lit(None).cast("double"))
+    return route(scored.withColumn(MODEL, known).withColumn("__score", total), [], policy, keep, score="__score")

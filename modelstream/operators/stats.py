@@ -53,6 +53,7 @@ def running_stats(
     """The statistics of the version as they stood after each record, in the order of time and `tie`.
 
     A version with more rows than one task should sort is cut into chunks; each chunk starts from the totals before it.
+    `served` is read several times: give a written result table rather than the query that computes it.
     """
     total = served.count()
     rows = served

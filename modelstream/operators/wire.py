@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from modelstream.functions.features import let
 from modelstream.schemas import ENVELOPE, MODEL, RECORD, ddl
 
 _TEXT_MODEL = (
@@ -12,21 +15,21 @@ _TEXT_MODEL = (
 )
 
 
-def _parsed(value: Column, kind: str) -> Column:
-    """The JSON value, null when it is malformed."""
+def _parsed(value: Column, kind: str, build: Callable[[Column], Column]) -> Column:
+    """`build` of the JSON value, parsed once; null when it is malformed."""
     with_rest = kind[:-1] + ",__rest:string>"
     row = F.from_json(
         value.cast("string"), with_rest, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "__rest"}
     )
-    return F.when(row.isNotNull() & row.getField("__rest").isNull(), row)
+    return let(row, lambda r: F.when(r.isNotNull() & r.getField("__rest").isNull(), build(r)))
 
 
 def decode_record(value: Column) -> Column:
     """A RECORD struct; null when the value cannot be decoded. Absent fields read as 0, "" and no features."""
-    row = _parsed(value, ddl(RECORD))
-    return F.when(
-        row.isNotNull(),
-        F.struct(
+    return _parsed(
+        value,
+        ddl(RECORD),
+        lambda row: F.struct(
             F.coalesce(row.getField("record_id"), F.lit(0)).cast("bigint").alias("record_id"),
             F.coalesce(row.getField("data_type"), F.lit("")).alias("data_type"),
             F.coalesce(row.getField("ts"), F.lit(0)).cast("bigint").alias("ts"),
@@ -51,21 +54,24 @@ def decode_model(value: Column) -> Column:
 
     The payload is base64 text. A model with a payload has no location, one without has an empty payload.
     """
-    row = _parsed(value, _TEXT_MODEL)
-    payload = F.try_to_binary(row.getField("data"), F.lit("base64"))
-    inline = row.getField("data").isNotNull()
-    return F.when(
-        row.isNotNull() & (~inline | payload.isNotNull()),
-        F.struct(
-            F.coalesce(row.getField("name"), F.lit("")).alias("name"),
-            F.coalesce(row.getField("description"), F.lit("")).alias("description"),
-            F.coalesce(row.getField("data_type"), F.lit("")).alias("data_type"),
-            F.coalesce(row.getField("model_kind"), F.lit(0)).alias("model_kind"),
-            F.when(inline, payload).otherwise(F.lit("").cast("binary")).alias("model"),
-            F.when(~inline, F.coalesce(row.getField("location"), F.lit(""))).alias("location"),
-            F.coalesce(row.getField("ts"), F.lit(0)).cast("bigint").alias("ts"),
-        ),
-    )
+
+    def build(row: Column) -> Column:
+        payload = F.try_to_binary(row.getField("data"), F.lit("base64"))
+        inline = row.getField("data").isNotNull()
+        return F.when(
+            ~inline | payload.isNotNull(),
+            F.struct(
+                F.coalesce(row.getField("name"), F.lit("")).alias("name"),
+                F.coalesce(row.getField("description"), F.lit("")).alias("description"),
+                F.coalesce(row.getField("data_type"), F.lit("")).alias("data_type"),
+                F.coalesce(row.getField("model_kind"), F.lit(0)).alias("model_kind"),
+                F.when(inline, payload).otherwise(F.lit("").cast("binary")).alias("model"),
+                F.when(~inline, F.coalesce(row.getField("location"), F.lit(""))).alias("location"),
+                F.coalesce(row.getField("ts"), F.lit(0)).cast("bigint").alias("ts"),
+            ),
+        )
+
+    return _parsed(value, _TEXT_MODEL, build)
 
 
 def encode_record(*fields: Column) -> Column:
@@ -155,30 +161,30 @@ def register_decoders(spark: SparkSession) -> None:
     """
     envelope = ddl(ENVELOPE)
 
-    def row(kind: str) -> str:
+    def function(name: str, kind: str, body: str) -> None:
         options = "map('mode', 'PERMISSIVE', 'columnNameOfCorruptRecord', '__rest')"
-        return f"from_json(CAST(value AS STRING), '{kind[:-1]},__rest:string>', {options})"
-
-    r = row(ddl(RECORD))
-    spark.sql(
-        f"""
-        CREATE OR REPLACE TEMPORARY FUNCTION deserialize_record(value BINARY) RETURNS {envelope} RETURN
-          CASE WHEN {r} IS NOT NULL AND {r}.__rest IS NULL THEN
-            CAST(struct(coalesce({r}.data_type, ''), coalesce({r}.ts, 0L),
-                        struct(coalesce({r}.record_id, 0L), coalesce({r}.data_type, ''), coalesce({r}.ts, 0L),
-                               coalesce({r}.features, CAST(array() AS array<double>))), NULL) AS {envelope}) END
-        """
+        row = f"from_json(CAST(value AS STRING), '{kind[:-1]},__rest:string>', {options})"
+        # One parsed value per message, however often the body mentions it.
+        spark.sql(
+            f"""
+            CREATE OR REPLACE TEMPORARY FUNCTION {name}(value BINARY) RETURNS {envelope} RETURN
+              get(transform(array({row}), r -> CASE WHEN r IS NOT NULL AND r.__rest IS NULL THEN {body} END), 0)
+            """
+        )
+
+    function(
+        "deserialize_record",
+        ddl(RECORD),
+        f"""CAST(struct(coalesce(r.data_type, ''), coalesce(r.ts, 0L),
+              struct(coalesce(r.record_id, 0L), coalesce(r.data_type, ''), coalesce(r.ts, 0L),
+                     coalesce(r.features, CAST(array() AS array<double>))), NULL) AS {envelope})""",
     )
-    m = row(_TEXT_MODEL)
-    spark.sql(
-        f"""
-        CREATE OR REPLACE TEMPORARY FUNCTION deserialize_model(value BINARY) RETURNS {envelope} RETURN
-          CASE WHEN {m} IS NOT NULL AND {m}.__rest IS NULL
-                AND ({m}.data IS NULL OR try_to_binary({m}.data, 'base64') IS NOT NULL) THEN
-            CAST(struct(coalesce({m}.data_type, ''), coalesce({m}.ts, 0L), NULL,
-                        struct(coalesce({m}.name, ''), coalesce({m}.description, ''), coalesce({m}.data_type, ''),
-                               coalesce({m}.model_kind, 0), coalesce(try_to_binary({m}.data, 'base64'), X''),
-                               CASE WHEN {m}.data IS NULL THEN coalesce({m}.location, '') END,
-                               coalesce({m}.ts, 0L))) AS {envelope}) END
-        """
+    function(
+        "deserialize_model",
+        _TEXT_MODEL,
+        f"""CASE WHEN r.data IS NULL OR try_to_binary(r.data, 'base64') IS NOT NULL THEN
+              CAST(struct(coalesce(r.data_type, ''), coalesce(r.ts, 0L), NULL,
+                struct(coalesce(r.name, ''), coalesce(r.description, ''), coalesce(r.data_type, ''),
+                       coalesce(r.model_kind, 0), coalesce(try_to_binary(r.data, 'base64'), X''),
+                       CASE WHEN r.data IS NULL THEN coalesce(r.location, '') END, coalesce(r.ts, 0L))) AS {envelope}) END""",
     )

@@ -9,11 +9,19 @@ from modelstream.schemas import KIND_DOCUMENT, linear_params
 
 DAY_MS = 86_400_000
 
+TABLES = {
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
+    "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "embeddings": "vec_id bigint, embedding array<float>, label int",
+}
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     # The event times carry no zone; they are read as UTC.
     spark.conf.set("spark.sql.session.timeZone", "UTC")
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.schema(TABLES[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def base(spark: SparkSession, sf_dir: str) -> DataFrame:

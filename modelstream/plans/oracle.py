@@ -333,6 +333,7 @@ FROM base WHERE event_type <> 'signup'
 """,
 }
 ORACLE["decode_records_sql"] = ORACLE["decode_records"]
+ORACLE["score_dispatch_compiled"] = ORACLE["score_dispatch"]
 ORACLE["csv_lines"] = ORACLE["csv_scan"]
 
 for _name in ("stream_keyed", "stream_recover", "stream_arrivals"):
