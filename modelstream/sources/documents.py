@@ -8,6 +8,9 @@ never a guess, and the registry treats it as a model that failed to build.
 
 from __future__ import annotations
 
+from functools import lru_cache
+
+from pyspark import SparkContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -251,32 +254,19 @@ def _binary(nodes: Column) -> Column:
     )
 
 
-def _with_trees(df: DataFrame, text: str, doc: str, names: list[str], out: str, depth: int) -> DataFrame:
+def _labels_column(doc: str) -> Column:
     single, many = F.col(doc).getField("TreeModel"), F.col(doc).getField("MiningModel")
-    segments = many.getField("Segmentation").getField("Segment")
-    nodes, labels, trees = f"{out}_nodes", f"{out}_labels", f"{out}_trees"
-    staged = (
-        df.withColumn(
-            nodes,
-            F.expr(
-                f"transform(coalesce(CASE WHEN {doc}.TreeModel.Node IS NOT NULL THEN array({doc}.TreeModel.Node) END, "
-                f"transform({doc}.MiningModel.Segmentation.Segment, s -> s.TreeModel.Node)), "
-                f"root -> {_flat_nodes('root', depth)})"
-            ),
-        )
-        .withColumn(
-            labels,
-            F.coalesce(
-                F.when(single.isNotNull(), _labels(F.col(doc), single.getField("MiningSchema"))).otherwise(
-                    _labels(F.col(doc), many.getField("MiningSchema"))
-                ),
-                F.array().cast("array<string>"),
-            ),
-        )
-        .withColumn(
-            trees, F.transform(nodes, lambda one: _linked(one, names, F.col(labels))).cast(f"array<array<{NODE}>>")
-        )
+    return F.coalesce(
+        F.when(single.isNotNull(), _labels(F.col(doc), single.getField("MiningSchema"))).otherwise(
+            _labels(F.col(doc), many.getField("MiningSchema"))
+        ),
+        F.array().cast("array<string>"),
     )
+
+
+def _trees_params(text: str, doc: str, nodes: str, labels: str, trees: str) -> Column:
+    """PARAMS of a tree or an ensemble from its staged node arrays, labels and linked trees."""
+    single, many = F.col(doc).getField("TreeModel"), F.col(doc).getField("MiningModel")
     function = F.when(single.isNotNull(), single.getField("_functionName")).otherwise(many.getField("_functionName"))
     classes = function == "classification"
     found = F.aggregate(nodes, F.lit(0), lambda s, one: s + F.size(one))
@@ -305,18 +295,15 @@ def _with_trees(df: DataFrame, text: str, doc: str, names: list[str], out: str,
     deepest = F.array_max(
         F.flatten(F.transform(nodes, lambda one: F.transform(one, lambda n: n.getField("id"))))
     )
-    return staged.withColumn(
-        out,
-        F.when(
-            usable,
-            params_struct(
-                form=F.when(single.isNotNull(), "tree").otherwise("forest"),
-                labels=F.when(classes, F.col(labels)),
-                depth=F.floor(F.log2(deepest.cast("double"))).cast("int"),
-                trees=F.col(trees),
-            ),
+    return F.when(
+        usable,
+        params_struct(
+            form=F.when(single.isNotNull(), "tree").otherwise("forest"),
+            labels=F.when(classes, F.col(labels)),
+            depth=F.floor(F.log2(deepest.cast("double"))).cast("int"),
+            trees=F.col(trees),
         ),
-    ).drop(nodes, labels, trees)
+    )
 
 
 # --- networks -----------------------------------------------------------------------------------------------------
@@ -383,20 +370,41 @@ def _network(doc: Column, names: list[str]) -> Column:
 # --- entry points -------------------------------------------------------------------------------------------------
 
 
+@lru_cache(maxsize=64)
+def _columns(context: SparkContext, text: str, names: tuple[str, ...], out: str, depth: int) -> list[dict[str, Column]]:
+    """The columns of each parsing step. They are the same for every table, so a session builds them once."""
+    doc, nodes, labels, trees = f"{out}_doc", f"{out}_nodes", f"{out}_labels", f"{out}_trees"
+    roots = (
+        f"coalesce(CASE WHEN {doc}.TreeModel.Node IS NOT NULL THEN array({doc}.TreeModel.Node) END, "
+        f"transform({doc}.MiningModel.Segmentation.Segment, s -> s.TreeModel.Node))"
+    )
+    linked = F.transform(nodes, lambda one: _linked(one, list(names), F.col(labels))).cast(f"array<array<{NODE}>>")
+    column = F.col(doc)
+    params = (
+        F.when(column.getField("RegressionModel").isNotNull(), _regression(column, list(names)))
+        .when(column.getField("GeneralRegressionModel").isNotNull(), _general_regression(column, list(names)))
+        .when(column.getField("NeuralNetwork").isNotNull(), _network(column, list(names)))
+        .otherwise(_trees_params(text, doc, nodes, labels, trees))
+        .cast(PARAMS)
+    )
+    return [
+        {doc: F.from_xml(F.col(text), document_schema(depth))},
+        {
+            nodes: F.expr(f"transform({roots}, root -> {_flat_nodes('root', depth)})"),
+            labels: _labels_column(doc),
+        },
+        {trees: linked},
+        {out: params},
+    ]
+
+
 def parse_document(models: DataFrame, text: str, names: list[str], out: str, depth: int = MAX_DEPTH) -> DataFrame:
     """`models` with the PARAMS value of the XML document in column `text`."""
-    doc, trees = f"{out}_doc", f"{out}_forest"
-    read = models.withColumn(doc, F.from_xml(F.col(text), document_schema(depth)))
-    read = _with_trees(read, text, doc, names, trees, depth)
-    column = F.col(doc)
-    return read.withColumn(
-        out,
-        F.when(column.getField("RegressionModel").isNotNull(), _regression(column, names))
-        .when(column.getField("GeneralRegressionModel").isNotNull(), _general_regression(column, names))
-        .when(column.getField("NeuralNetwork").isNotNull(), _network(column, names))
-        .otherwise(F.col(trees))
-        .cast(PARAMS),
-    ).drop(doc, trees)
+    steps = _columns(models.sparkSession.sparkContext, text, tuple(names), out, depth)
+    read = models
+    for columns in steps:
+        read = read.withColumns(columns)
+    return read.drop(*[name for columns in steps[:-1] for name in columns])
 
 
 def parse_layers(models: DataFrame, text: str, names: list[str], out: str) -> DataFrame:
