@@ -168,6 +168,22 @@ SCORERS: dict[str, Scorer] = {
 }
 
 
+# The fields of the parameters that each scorer reads.
+NEEDS: dict[str, set[str]] = {
+    "linear": {"intercept", "coefs"},
+    "glm": {"intercept", "coefs", "exponents", "link"},
+    "tree": {"trees", "depth"},
+    "forest": {"trees", "depth", "labels"},
+    "network": {"layers", "labels"},
+    "dense": {"layers"},
+}
+
+
+def possible_forms(fields: list[str]) -> list[str]:
+    """The forms that parameters with these fields can have."""
+    return [form for form, needed in NEEDS.items() if needed <= set(fields)]
+
+
 def score(x: list[Column], p: Column, forms: dict[str, Scorer] | list[str] | None = None) -> Column:
     """The score of a record under the parameters next to it, whatever their form.
 

@@ -11,7 +11,7 @@ from modelstream.config import Limits
 from modelstream.functions import compiled, scoring
 from modelstream.operators.asof import MODEL, asof_join
 from modelstream.operators.registry import latest_models
-from modelstream.plans.sizes import lookup_join
+from modelstream.plans.sizes import fits, lookup_join, measure
 from modelstream.schemas import BAD_INPUT, NO_MODEL
 
 
@@ -54,7 +54,8 @@ def route(
     """Results for records with the struct ``model`` (null when there is none) next to them.
 
     Three ways: bad input, no model, scored. `keep` names further columns to pass through; ``since`` is the time the
-    model took over, null for a marked row. `score` names a column that holds the score already.
+    model took over, null for a marked row. `score` names a column that holds the score already;
+    without it `forms` are the model forms that can occur, by default all that the parameters have fields for.
     """
     typed = F.coalesce(F.length("data_type"), F.lit(0)) > 0
     params = F.col(MODEL).getField("params")
@@ -65,7 +66,11 @@ def route(
     if policy.no_model == "drop":
         wanted = wanted & (has_model | ~typed)
     scored = typed & has_model
-    result = scoring.score(inputs, params, forms) if score is None else F.col(score)
+    if score is not None:
+        result = F.col(score)
+    else:
+        fields = joined.schema[MODEL].dataType["params"].dataType.names
+        result = scoring.score(inputs, params, forms or scoring.possible_forms(fields))
     return joined.filter(wanted).select(
         *(keep or []),
         F.when(scored, F.col(MODEL).getField("name"))
@@ -148,15 +153,16 @@ def serve_few(
 ) -> DataFrame:
     """As `serve_latest`, for a registry of few types: the models are written into the plan and nothing is joined.
 
-    `inputs` are SQL expressions. The newest models are read to the driver only after they were counted and found to be
-    at most `most`; beyond that `serve_latest` does the work.
+    `inputs` are SQL expressions. The newest models are read to the driver only after they were measured and found to be
+    at most `most` and within the broadcast limits; beyond that `serve_latest` does the work.
     """
     newest = latest_models(in_force(models, policy))
-    rows = newest.limit(most + 1).collect()
-    if len(rows) > most:
+    size = measure(newest)
+    if size["rows"] > most or not fits(size, limits):
         return serve_latest(
             records, models, [F.expr(text) for text in inputs], policy, keep=keep, limits=limits
         )
+    rows = newest.collect()
     # `route` reads the model's name, time and usability; the score is a column of its own.
     scores, known = [], F.lit(None).cast("struct<name:string,ts:bigint,params:boolean>")
     scored = records

@@ -56,7 +56,12 @@ class Registry:
 
 def update_registry(models: DataFrame, registry: Registry, checkpoint: str) -> DataStreamWriter:
     """The job that keeps the registry current from a stream of built models."""
-    return models.writeStream.foreachBatch(registry.update).option("checkpointLocation", checkpoint)
+
+    def run(batch: DataFrame, batch_id: int) -> None:
+        if not batch.isEmpty():
+            registry.update(batch, batch_id)
+
+    return models.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint)
 
 
 def _write(results: DataFrame, path: str, batch_id: int) -> None:
@@ -116,17 +121,20 @@ def serve_arrivals(
         batch = batch.persist()
         try:
             records, models = split(batch)
-            # Written first and read back; a batch that is run again overwrites its own part and does not see it below.
-            registry.update(models, batch_id)
-            models = in_force(registry.batch(batch.sparkSession, batch_id), policy)
-            if order == "models_first":
-                newest = _packed(latest_models(models), MODEL)
-                met = lookup_join(records, newest, "data_type", "left", limits=limits)
+            entering = registry.snapshot(batch.sparkSession, batch_id, policy)
+            if models.isEmpty():
+                met = lookup_join(records, _packed(entering, MODEL), "data_type", "left", limits=limits)
             else:
-                met = asof_join(records, models, how="left", limits=limits)
-            entering = _packed(registry.snapshot(batch.sparkSession, batch_id, policy), "__entering")
-            met = lookup_join(met, entering, "data_type", "left", limits=limits)
-            met = met.withColumn(MODEL, F.coalesce(MODEL, "__entering")).drop("__entering")
+                # Written first and read back. A batch that is run again overwrites its own part, which `entering` excludes.
+                registry.update(models, batch_id)
+                changes = in_force(registry.batch(batch.sparkSession, batch_id), policy)
+                if order == "models_first":
+                    newest = _packed(latest_models(changes), MODEL)
+                    met = lookup_join(records, newest, "data_type", "left", limits=limits)
+                else:
+                    met = asof_join(records, changes, how="left", limits=limits)
+                met = lookup_join(met, _packed(entering, "__entering"), "data_type", "left", limits=limits)
+                met = met.withColumn(MODEL, F.coalesce(MODEL, "__entering")).drop("__entering")
             _write(route(met, inputs(), policy, keep, forms), path, batch_id)
         finally:
             batch.unpersist()

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from modelstream.functions import features, text
 from modelstream.operators import registry, stats
-from modelstream.operators.serve import Policy, serve_asof, serve_latest
+from modelstream.operators.serve import Policy, serve_asof, serve_few, serve_latest
 from modelstream.plans import fixtures
 from modelstream.schemas import BAD_INPUT, LONG_MAX, LONG_MIN, NO_MODEL, linear_params
 
@@ -164,3 +164,13 @@ def test_results_of_the_types_together_are_those_of_each(spark):
     for kind in "abc":
         apart.update(run(spark, [r for r in rows if r[1] == kind], [u for u in updates if u[1] == kind]))
     assert together == apart
+
+
+@pytest.mark.parametrize("most", [32, 1])
+@pytest.mark.parametrize("policy", [Policy(), Policy("mark", "mark"), Policy("mark", "mark", "clear")])
+def test_few_models_in_the_plan_serve_as_a_join_does(spark, most, policy):
+    records = spark.createDataFrame([(1, "a", 2, 1.0), (2, "b", 2, 2.0), (3, "it's", 2, 3.0), (4, "z", 2, 1.0), (5, None, 2, 1.0)], RECORDS)
+    updates = models(spark, [("m1", "a", 1, 1.0), ("m2", "b", 1, 2.0), ("bad", "b", 2, None), ("m\\3", "it's", 1, 5.0)])
+    few = serve_few(records, updates, ["x"], policy, most=most, keep=["record_id"])
+    join = serve_latest(records, updates, [F.col("x")], policy, keep=["record_id"], forms=["linear"])
+    assert sorted(few.collect()) == sorted(join.collect())
