@@ -433,19 +433,19 @@ def _current(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-def _wanted(spark: SparkSession, sf: str) -> DataFrame:
+def wanted_types(spark: SparkSession, sf: str) -> DataFrame:
     """Seven types, two of which nobody has heard of."""
     return b.table(spark, sf, "events").select((F.col("user_id") % 7).cast("string").alias("data_type")).distinct()
 
 
 @query
 def state_lookup(spark: SparkSession, sf: str) -> DataFrame:
-    return stats.state_of(_wanted(spark, sf), _current(spark, sf))
+    return stats.state_of(wanted_types(spark, sf), _current(spark, sf))
 
 
 @query
 def stats_report(spark: SparkSession, sf: str) -> DataFrame:
-    lookup = stats.state_of(_wanted(spark, sf), _current(spark, sf))
+    lookup = stats.state_of(wanted_types(spark, sf), _current(spark, sf))
     reported = stats.report(lookup.withColumn("description", F.substring("description", 1, 38)))
     return rounded(
         reported.select("data_type", "name", "kind", "usage", F.nanvl("average", F.lit(None)).alias("average"), "line"),

@@ -348,6 +348,7 @@ ORACLE["stream_state_stats"] = (
     + STATS
     + "SELECT s.* FROM by_model s JOIN latest l ON s.data_type = l.data_type AND s.name = l.name AND s.since = l.since"
 )
+ORACLE["stream_state_lookup"] = ORACLE["state_lookup"]
 ORACLE["stream_messages"] = (
     BASE
     + """,

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -9,9 +12,9 @@ from pyspark.sql.streaming import DataStreamWriter
 
 from modelstream.config import work_folder
 from modelstream.operators import registry as reg
-from modelstream.operators import wire
+from modelstream.operators import stats, wire
 from modelstream.plans import bindings as b
-from modelstream.plans.catalog import model_messages, query, record_messages
+from modelstream.plans.catalog import model_messages, query, record_messages, wanted_types
 from modelstream.schemas import ddl, fields
 from modelstream.sources import sinks, tables
 from modelstream.streaming import batches, keyed, statistics
@@ -37,11 +40,25 @@ SERVED = fields(
 )
 
 
-def rocksdb(spark: SparkSession) -> None:
-    spark.conf.set(
-        "spark.sql.streaming.stateStore.providerClass",
-        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
-    )
+@contextmanager
+def state_settings(spark: SparkSession) -> Iterator[None]:
+    """The settings of a stateful query while it starts and runs: RocksDB, and no more state partitions than the cores of
+    the session have a use for. The session's own settings come back afterwards."""
+    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    wanted = {
+        "spark.sql.streaming.stateStore.providerClass": (
+            "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+        ),
+        "spark.sql.shuffle.partitions": str(min(partitions, 2 * spark.sparkContext.defaultParallelism)),
+    }
+    before = {name: spark.conf.get(name, None) for name in wanted}
+    for name, value in wanted.items():
+        spark.conf.set(name, value)
+    try:
+        yield
+    finally:
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
 
 
 def finish(writer: DataStreamWriter) -> None:
@@ -109,11 +126,11 @@ def _results(served: DataFrame) -> DataFrame:
 
 
 def _run_keyed(spark: SparkSession, sf: str, name: str, processor: bool = False) -> Replay:
-    rocksdb(spark)
     replay = Replay(spark, sf, name)
-    for part in slices(spark, sf):
-        replay.arrive(part)
-        finish(replay.keyed(processor))
+    with state_settings(spark):
+        for part in slices(spark, sf):
+            replay.arrive(part)
+            finish(replay.keyed(processor))
     return replay
 
 
@@ -126,14 +143,14 @@ def stream_keyed(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def stream_recover(spark: SparkSession, sf: str) -> DataFrame:
     """A run that ends after the first slice, and a later one from the same checkpoint over the rest at once."""
-    rocksdb(spark)
     replay = Replay(spark, sf, "stream-recover")
     first, *rest = slices(spark, sf)
-    replay.arrive(first)
-    finish(replay.keyed())
-    for part in rest:
-        replay.arrive(part)
-    finish(replay.keyed())
+    with state_settings(spark):
+        replay.arrive(first)
+        finish(replay.keyed())
+        for part in rest:
+            replay.arrive(part)
+        finish(replay.keyed())
     return _results(replay.served())
 
 
@@ -160,6 +177,16 @@ def stream_state_stats(spark: SparkSession, sf: str) -> DataFrame:
     return current.filter("usage > 0").select("data_type", "name", "since", "usage", "duration", "min", "max")
 
 
+@query
+def stream_state_lookup(spark: SparkSession, sf: str) -> DataFrame:
+    """The state query over the state of the keyed job: known types and unknown ones."""
+    replay = _run_keyed(spark, sf, "stream-state-lookup", processor=True)
+    current = stats.current_stats(
+        reg.latest_models(b.models(spark, sf)), keyed.read_stats(spark, replay.checkpoint)
+    )
+    return stats.state_of(wanted_types(spark, sf), current)
+
+
 @query
 def stream_arrivals(spark: SparkSession, sf: str) -> DataFrame:
     """Batch operators per micro-batch over one stream of records and models."""
@@ -255,5 +282,6 @@ def stream_stats(spark: SparkSession, sf: str) -> DataFrame:
     """Statistics kept current over the results of the keyed job."""
     replay = _run_keyed(spark, sf, "stream-stats")
     served = tables.stream_files(spark, replay.out, SERVED)
-    finish(statistics.write_running(served, f"{replay.other}/stats", f"{replay.other}/checkpoint"))
+    with state_settings(spark):
+        finish(statistics.write_running(served, f"{replay.other}/stats", f"{replay.other}/checkpoint"))
     return statistics.read_running(spark, f"{replay.other}/stats")

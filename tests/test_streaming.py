@@ -42,12 +42,12 @@ class Feed:
 
 
 def run_keyed(spark, feed, policy=Policy(), processor=False, order="event_time", shards=3):
-    replay.rocksdb(spark)
     records, models = feed.streams()
     rows = keyed.stream_rows(records, models, policy, shards)
     met = keyed.meet_models_with_stats(rows, order) if processor else keyed.meet_models(rows, order)
     served = keyed.score_met(met, 1, policy, ["linear"], ddl(replay.LINEAR))
-    replay.finish(sinks.to_files(served, f"{feed.folder}/out", f"{feed.folder}/checkpoint"))
+    with replay.state_settings(spark):
+        replay.finish(sinks.to_files(served, f"{feed.folder}/out", f"{feed.folder}/checkpoint"))
     return {r.record_id: (r.name, r.result) for r in spark.read.schema(replay.SERVED).parquet(f"{feed.folder}/out").collect()}
 
 
