@@ -88,12 +88,15 @@ def _regression(doc: Column, names: list[str]) -> Column:
     method = F.coalesce(model.getField("_normalizationMethod"), F.lit("none"))
     link = F.when(method == "none", "identity").when(method == "exp", "log").when(method == "logit", "logit")
 
-    def term(name: str, field: str, default: float) -> Column:
-        hit = _first(terms, lambda t: t.getField("_name") == name)
-        return F.coalesce(hit.getField(field), F.lit(default))
+    def by_name(field: str, default: float) -> Column:
+        return F.transform(
+            _positions(names),
+            lambda name: F.coalesce(
+                _first(terms, lambda t: t.getField("_name") == name).getField(field), F.lit(default)
+            ),
+        )
 
-    coefs = F.array(*[term(n, "_coefficient", 0.0) for n in names])
-    exponents = F.array(*[term(n, "_exponent", 1.0) for n in names])
+    coefs, exponents = by_name("_coefficient", 0.0), by_name("_exponent", 1.0)
     plain = (link == "identity") & ~F.exists(exponents, lambda e: e != 1.0)
     usable = (
         (model.getField("_functionName") == "regression")
@@ -128,12 +131,12 @@ def _general_regression(doc: Column, names: list[str]) -> Column:
     )
     intercept = F.aggregate(free, F.lit(0.0), lambda s, b: s + b.getField("_beta"))
 
-    def cell(name: str) -> Column:
-        return _first(cells, lambda c: c.getField("_predictorName") == name)
+    own = F.transform(
+        _positions(names), lambda name: _first(cells, lambda c: c.getField("_predictorName") == name)
+    )
 
-    def beta(name: str) -> Column:
-        mine = cell(name)
-        hit = _first(betas, lambda b: b.getField("_parameterName") == mine.getField("_parameterName"))
+    def beta(cell: Column) -> Column:
+        hit = _first(betas, lambda b: b.getField("_parameterName") == cell.getField("_parameterName"))
         return F.coalesce(hit.getField("_beta"), F.lit(0.0))
 
     link = F.coalesce(model.getField("_linkFunction"), F.lit("identity"))
@@ -151,8 +154,8 @@ def _general_regression(doc: Column, names: list[str]) -> Column:
         params_struct(
             form=F.lit("glm"),
             intercept=intercept,
-            coefs=F.array(*[beta(n) for n in names]),
-            exponents=F.array(*[F.coalesce(cell(n).getField("_value"), F.lit(1.0)) for n in names]),
+            coefs=F.transform(own, beta),
+            exponents=F.transform(own, lambda c: F.coalesce(c.getField("_value"), F.lit(1.0))),
             link=link,
         ),
     )
