@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+import zipfile
 from dataclasses import dataclass
 
 from pyspark.sql import SparkSession
@@ -72,3 +74,20 @@ def work_folder(spark: SparkSession, purpose: str) -> str:
         root = tempfile.mkdtemp(prefix="modelstream-")
         spark.sparkContext.setCheckpointDir(root)
     return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the Python workers, once a session: they need not be started from the folder it lies in."""
+    context = spark.sparkContext
+    if getattr(context, "_modelstream_shipped", False):
+        return
+    home = os.path.dirname(os.path.abspath(__file__))
+    path = os.path.join(tempfile.mkdtemp(prefix="modelstream-"), "modelstream.zip")
+    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as out:
+        for folder, _, names in os.walk(home):
+            for name in sorted(names):
+                if name.endswith(".py"):
+                    full = os.path.join(folder, name)
+                    out.write(full, os.path.join("modelstream", os.path.relpath(full, home)))
+    context.addPyFile(path)
+    context._modelstream_shipped = True
