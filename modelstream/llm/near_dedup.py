@@ -6,9 +6,10 @@
    but for a chance of about 4e-6 (k = 64, similarity exactly 0.75; far less above), so they share one of the
    k - k/2 + 1 rarest retained hashes of either, and only these are listed, rarest first by their counts over all classes.
    A passage that many documents share therefore makes no long list, unless it is half of the document.
-3. Within a list nothing is paired with everything. Rounds compare each class with the hub of its list; what is linked is
-   contracted, the hub leaves the list, and a list ends when its classes are one component. A short list is compared
-   class by class. A group of n near copies costs about n comparisons.
+3. Within a long list nothing is paired with everything. Rounds compare each class with the few hubs of its list; what is
+   linked is contracted, the hubs leave the list, and a list ends when its classes are one component. Short lists are compared
+   class by class. A group of n near copies costs about n comparisons; later rounds take more hubs, for lists whose classes share
+   much and are no copies.
 4. A pair is kept if the union of the two sketches estimates a similarity near the threshold, and linked only if the full
    sets reach it.
 """
@@ -29,8 +30,11 @@ SHINGLE = 5
 SKETCH = 64
 # Five standard deviations of the estimate at the threshold, with k retained hashes.
 MARGIN = 5 * (0.75 * 0.25 / SKETCH) ** 0.5
-# Classes of a list that are compared one by one; longer lists go by hubs.
-SHORT_LIST = 6
+# Classes of a list that are compared one by one; longer lists go by hubs, about so many in the first round and
+# `GROWTH` times as many in each further one, so the rounds grow with the logarithm of the longest list.
+SHORT_LIST = 16
+HUBS = 4
+GROWTH = 8
 
 
 def shingle_sets(column: pa.Array) -> Iterator[np.ndarray]:
@@ -164,8 +168,8 @@ def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         .groupBy("key")
         .agg(F.sort_array(F.collect_list(F.struct("df", "value"))).alias("shared"), F.max("n_shingles").alias("n_shingles"))
         .filter(prefix > 0)
-        .select("key", F.explode(F.slice("shared", F.lit(1), prefix.cast("int"))).alias("x"))
-        .select("key", F.col("x.value").alias("value")),
+        .select("key", "n_shingles", F.explode(F.slice("shared", F.lit(1), prefix.cast("int"))).alias("x"))
+        .select("key", F.col("x.value").alias("value"), "n_shingles"),
         "near-lists",
     )
     wanted = sketches.join(lists.select("key").distinct(), "key", "left_semi")
@@ -190,7 +194,7 @@ def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                 F.min("label").alias("low"),
                 F.max("label").alias("high"),
                 F.count(F.lit(1)).alias("n"),
-                F.min_by(F.struct("key", "label"), F.xxhash64("key", F.lit(turn))).alias("hub"),
+                F.min_by("key", F.xxhash64("key", F.lit(turn))).alias("first"),
             )
             .filter("low <> high")
             .drop("low", "high")
@@ -198,23 +202,23 @@ def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         named = common.stored(named.join(live, "value"), "near-live")
         if named.isEmpty():
             break
-        short = named.filter(F.col("n") <= SHORT_LIST)
-        other = short.select("value", F.col("key").alias("b"), F.col("label").alias("other"))
-        long = named.filter((F.col("n") > SHORT_LIST) & (F.col("key") != F.col("hub.key")))
+        # Hubs: every class of a short list, and of a longer one about as many as this round compares with.
+        share = F.pmod(F.xxhash64("key", F.lit(turn)), F.lit(1 << 30)) / (1 << 30)
+        is_hub = (F.col("n") <= SHORT_LIST) | (F.col("key") == F.col("first")) | (share < F.lit(float(HUBS * GROWTH**turn)) / F.col("n"))
+        named = named.withColumn("is_hub", is_hub)
+        hubs = named.filter("is_hub").select(
+            "value", F.col("key").alias("hub"), F.col("label").alias("hub_label"), F.col("n_shingles").alias("hub_size")
+        )
+        near_size = 100 * F.least("n_shingles", "hub_size") >= 75 * F.greatest("n_shingles", "hub_size")
         pairs = (
-            short.join(other, "value")
-            .filter((F.col("key") < F.col("b")) & (F.col("label") != F.col("other")))
-            .select(F.col("key").alias("a"), "b")
-            .unionByName(
-                long.filter(F.col("label") != F.col("hub.label")).select(
-                    F.least("key", "hub.key").alias("a"), F.greatest("key", "hub.key").alias("b")
-                )
-            )
+            named.join(hubs, "value")
+            .filter((F.col("label") != F.col("hub_label")) & near_size & (~F.col("is_hub") | (F.col("key") < F.col("hub"))))
+            .select(F.least("key", "hub").alias("a"), F.greatest("key", "hub").alias("b"))
             .distinct()
         )
         found = common.stored(link_pairs(pairs, wanted, full), "near-links")
         edges = found if edges is None else edges.unionByName(found)
-        lists = long.select("key", "value")
+        lists = named.filter("not is_hub").select("key", "value", "n_shingles")
         group = components(edges, "near-groups").select(F.col("id").alias("key"), F.col("label").alias("to"))
         label = wanted.select("key").join(group, "key", "left").select("key", F.coalesce("to", "key").alias("label"))
         turn += 1
