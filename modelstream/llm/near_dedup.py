@@ -2,10 +2,10 @@
 
 1. Every text becomes its set of distinct five-word shingles (hashes), once: size, digest and the k smallest hashes, its
    sketch. Documents with equal sets are one class; only classes are compared.
-2. Inverted lists of the retained hashes give overlaps. Two sets at the threshold share at least half of their sketches
-   but for a chance of about 4e-6 (k = 64, similarity exactly 0.75; far less above), so they share one of the
-   k - k/2 + 1 rarest retained hashes of either, and only these are listed, rarest first by their counts over all classes.
-   A passage that many documents share therefore makes no long list, unless it is half of the document.
+2. Inverted lists of the retained hashes give overlaps. Two sets at the threshold share three quarters of their sketches,
+   less a few standard deviations where a sketch is not the whole set (`least_overlap`), so they share one of the rarest
+   retained hashes of either, and only these are listed, rarest first by their counts over all classes. A passage that many
+   documents share therefore makes no long list, unless it is most of the document.
 3. Within a long list nothing is paired with everything. Rounds compare each class with the few hubs of its list; what is
    linked is contracted, the hubs leave the list, and a list ends when its classes are one component. Short lists are compared
    class by class. A group of n near copies costs about n comparisons; later rounds take more hubs, for lists whose classes share
@@ -21,15 +21,16 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from modelstream.llm import common
 
 SHINGLE = 5
-SKETCH = 64
-# Five standard deviations of the estimate at the threshold, with k retained hashes.
-MARGIN = 5 * (0.75 * 0.25 / SKETCH) ** 0.5
+SKETCH = 192
+# Standard deviations that overlaps and estimates may lie below their means at the threshold: 3 in a million do.
+SURE = 4.5
+MARGIN = SURE * (0.75 * 0.25 / SKETCH) ** 0.5
 # Classes of a list that are compared one by one; longer lists go by hubs, about so many in the first round and
 # `GROWTH` times as many in each further one, so the rounds grow with the logarithm of the longest list.
 SHORT_LIST = 16
@@ -83,6 +84,17 @@ def _full(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
+def least_overlap(n: Column) -> Column:
+    """Retained hashes that a set of `n` shares with any set at the threshold.
+
+    Sets that fit into their sketches share three quarters at least. Otherwise the hashes retained from the union are drawn
+    without replacement from it, and three quarters less `SURE` standard deviations are shared.
+    """
+    kept = F.least(n, F.lit(SKETCH))
+    spread = F.sqrt(kept * 0.1875 * F.greatest(F.lit(0.0), 1 - 0.75 * SKETCH / n))
+    return F.greatest(F.lit(1), F.ceil(0.75 * kept - SURE * spread - 1e-9)).cast("int")
+
+
 def link_pairs(pairs: DataFrame, sketches: DataFrame, full: DataFrame) -> DataFrame:
     """Of the pairs of keys (a, b), those whose full sets are at least 0.75 similar."""
     one = sketches.select(F.col("key").alias("a"), F.col("sketch").alias("sa"), F.col("n_shingles").alias("na"))
@@ -158,18 +170,19 @@ def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         .dropDuplicates(["key"]),
         "near-sketches",
     )
-    values = sketches.select("key", "n_shingles", F.explode("sketch").alias("value"))
+    values = sketches.select("key", F.explode("sketch").alias("value"))
     counts = values.groupBy("value").agg(F.count(F.lit(1)).alias("df")).filter("df > 1")
     kept = F.least(F.col("n_shingles"), F.lit(SKETCH))
     # Hashes of one class alone are the rarest and make no list; of the others the rarest fill up the prefix.
-    prefix = kept - F.ceil(kept / 2) + 1 - (kept - F.size("shared"))
+    prefix = kept - least_overlap(F.col("n_shingles")) + 1 - (kept - F.size("shared"))
     lists = common.stored(
         values.join(counts, "value")
         .groupBy("key")
-        .agg(F.sort_array(F.collect_list(F.struct("df", "value"))).alias("shared"), F.max("n_shingles").alias("n_shingles"))
+        .agg(F.sort_array(F.collect_list(F.struct("df", "value"))).alias("shared"))
+        .join(sketches.select("key", "n_shingles"), "key")
         .filter(prefix > 0)
-        .select("key", "n_shingles", F.explode(F.slice("shared", F.lit(1), prefix.cast("int"))).alias("x"))
-        .select("key", F.col("x.value").alias("value"), "n_shingles"),
+        .select("key", "n_shingles", F.size("shared").alias("n_shared"), F.explode(F.slice("shared", F.lit(1), prefix.cast("int"))).alias("x"))
+        .select("key", F.col("x.value").alias("value"), "n_shingles", "n_shared"),
         "near-lists",
     )
     wanted = sketches.join(lists.select("key").distinct(), "key", "left_semi")
@@ -207,18 +220,21 @@ def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         is_hub = (F.col("n") <= SHORT_LIST) | (F.col("key") == F.col("first")) | (share < F.lit(float(HUBS * GROWTH**turn)) / F.col("n"))
         named = named.withColumn("is_hub", is_hub)
         hubs = named.filter("is_hub").select(
-            "value", F.col("key").alias("hub"), F.col("label").alias("hub_label"), F.col("n_shingles").alias("hub_size")
+            "value", F.col("key").alias("hub"), F.col("label").alias("hub_label"), F.col("n_shingles").alias("hub_size"), F.col("n_shared").alias("hub_shared")
         )
         near_size = 100 * F.least("n_shingles", "hub_size") >= 75 * F.greatest("n_shingles", "hub_size")
+        # Of whole sets, what is in no other class is in no intersection.
+        most = F.least("n_shared", "hub_shared")
+        possible = (F.greatest("n_shingles", "hub_size") > SKETCH) | (100 * most >= 75 * (F.col("n_shingles") + F.col("hub_size") - most))
         pairs = (
             named.join(hubs, "value")
-            .filter((F.col("label") != F.col("hub_label")) & near_size & (~F.col("is_hub") | (F.col("key") < F.col("hub"))))
+            .filter((F.col("label") != F.col("hub_label")) & near_size & possible & (~F.col("is_hub") | (F.col("key") < F.col("hub"))))
             .select(F.least("key", "hub").alias("a"), F.greatest("key", "hub").alias("b"))
             .distinct()
         )
         found = common.stored(link_pairs(pairs, wanted, full), "near-links")
         edges = found if edges is None else edges.unionByName(found)
-        lists = named.filter("not is_hub").select("key", "value", "n_shingles")
+        lists = named.filter("not is_hub").select("key", "value", "n_shingles", "n_shared")
         group = components(edges, "near-groups").select(F.col("id").alias("key"), F.col("label").alias("to"))
         label = wanted.select("key").join(group, "key", "left").select("key", F.coalesce("to", "key").alias("label"))
         turn += 1
