@@ -27,10 +27,12 @@ from pyspark.sql import functions as F
 from modelstream.llm import common
 
 SHINGLE = 5
-SKETCH = 192
+SKETCH = 160
 # Standard deviations that overlaps and estimates may lie below their means at the threshold: 3 in a million do.
 SURE = 4.5
 MARGIN = SURE * (0.75 * 0.25 / SKETCH) ** 0.5
+# Ids that are sent to all tasks to fetch texts by; more are joined by a shuffle of the texts.
+BROADCAST_IDS = 500_000
 # Classes of a list that are compared one by one; longer lists go by hubs, about so many in the first round and
 # `GROWTH` times as many in each further one, so the rounds grow with the logarithm of the longest list.
 SHORT_LIST = 16
@@ -60,7 +62,7 @@ def _digest(shingles: np.ndarray) -> bytes | None:
     return hashlib.blake2b(shingles.tobytes(), digest_size=16).digest() if len(shingles) else None
 
 
-def _sketches(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _sets(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in common.batches(source, 512):
         sets = list(shingle_sets(batch.column(1)))
         yield pa.RecordBatch.from_arrays(
@@ -69,9 +71,22 @@ def _sketches(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 batch.column(2),
                 pa.array([_digest(s) for s in sets], pa.binary()),
                 pa.array([len(s) for s in sets], pa.int64()),
+            ],
+            ["doc_id", "text_key", "key", "n_shingles"],
+        )
+
+
+def _sketches(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in common.batches(source, 512):
+        sets = list(shingle_sets(batch.column(1)))
+        yield pa.RecordBatch.from_arrays(
+            [
+                batch.column(0),
+                pa.array([_digest(s) for s in sets], pa.binary()),
+                pa.array([len(s) for s in sets], pa.int64()),
                 pa.array([s[:SKETCH].view(np.int64) for s in sets], pa.list_(pa.int64())),
             ],
-            ["doc_id", "text_key", "key", "n_shingles", "sketch"],
+            ["doc_id", "key", "n_shingles", "sketch"],
         )
 
 
@@ -157,14 +172,15 @@ def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     docs = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     rows = common.stored(
         docs.select("doc_id", "text", F.xxhash64("text").alias("text_key")).mapInArrow(
-            _sketches, "doc_id bigint, text_key bigint, key binary, n_shingles bigint, sketch array<bigint>"
+            _sets, "doc_id bigint, text_key bigint, key binary, n_shingles bigint"
         ),
         "near-sets",
     )
-    # One row of each class carries its sketch and, for the exact check, its text.
+    # One row of each class carries its sketch, which is made in a second pass: sketches of all rows are not kept.
     classes = rows.filter("key is not null").groupBy("key").agg(F.min("doc_id").alias("doc_id"))
+    made = docs.mapInArrow(_sketches, "doc_id bigint, key binary, n_shingles bigint, sketch array<bigint>")
     sketches = common.stored(
-        rows.alias("r")
+        made.alias("r")
         .join(classes.alias("c"), (F.col("r.key") == F.col("c.key")) & F.col("r.doc_id").eqNullSafe(F.col("c.doc_id")))
         .select("r.key", "r.doc_id", "r.n_shingles", "r.sketch")
         .dropDuplicates(["key"]),
@@ -186,7 +202,9 @@ def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         "near-lists",
     )
     wanted = sketches.join(lists.select("key").distinct(), "key", "left_semi")
-    first = wanted.select("doc_id").distinct()
+    first = common.stored(wanted.select("doc_id").distinct(), "near-first")
+    if first.count() <= BROADCAST_IDS:
+        first = F.broadcast(first)
     full = common.stored(
         docs.join(first, docs.doc_id.eqNullSafe(first.doc_id), "left_semi")
         .select("doc_id", "text")
