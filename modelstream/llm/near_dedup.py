@@ -31,12 +31,14 @@ SKETCH = 160
 # Standard deviations that overlaps and estimates may lie below their means at the threshold: 3 in a million do.
 SURE = 4.5
 MARGIN = SURE * (0.75 * 0.25 / SKETCH) ** 0.5
+# Places of the bitmap of a set.
+BITS = 512
 # Ids that are sent to all tasks to fetch texts by; more are joined by a shuffle of the texts.
 BROADCAST_IDS = 500_000
-# Classes of a list that are compared one by one; longer lists go by hubs, about so many in the first round and
-# `GROWTH` times as many in each further one, so the rounds grow with the logarithm of the longest list.
+# Classes of a list that are compared one by one; longer lists go by hubs: one in the first round, then about `HUBS` times
+# a power of `GROWTH`, so the rounds grow with the logarithm of the longest list.
 SHORT_LIST = 16
-HUBS = 4
+HUBS = 2
 GROWTH = 8
 
 
@@ -85,11 +87,20 @@ def _sketches(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 pa.array([_digest(s) for s in sets], pa.binary()),
                 pa.array([len(s) for s in sets], pa.int64()),
                 pa.array([s[:SKETCH].view(np.int64) for s in sets], pa.list_(pa.int64())),
+                pa.array([_bits(s) for s in sets], pa.list_(pa.int64())),
             ],
-            ["doc_id", "key", "n_shingles", "sketch"],
+            ["doc_id", "key", "n_shingles", "sketch", "bits"],
         )
 
 
+def _bits(shingles: np.ndarray) -> list[int]:
+    """A bitmap of `BITS` places with those of the set's hashes: a place of one set that another lacks is an element it lacks."""
+    out = np.zeros(BITS // 64, np.uint64)
+    place = shingles % np.uint64(BITS)
+    np.bitwise_or.at(out, (place >> np.uint64(6)).astype(np.int64), np.uint64(1) << (place & np.uint64(63)))
+    return out.view(np.int64).tolist()
+
+
 def _full(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in common.batches(source, 512):
         sets = list(shingle_sets(batch.column(1)))
@@ -99,6 +110,11 @@ def _full(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
+def missing(one: str, other: str) -> Column:
+    """Places of a bitmap that another lacks."""
+    return sum(F.bit_count(F.col(one)[i].bitwiseAND(F.bitwise_not(F.col(other)[i]))) for i in range(BITS // 64))
+
+
 def least_overlap(n: Column) -> Column:
     """Retained hashes that a set of `n` shares with any set at the threshold.
 
@@ -178,11 +194,11 @@ def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     )
     # One row of each class carries its sketch, which is made in a second pass: sketches of all rows are not kept.
     classes = rows.filter("key is not null").groupBy("key").agg(F.min("doc_id").alias("doc_id"))
-    made = docs.mapInArrow(_sketches, "doc_id bigint, key binary, n_shingles bigint, sketch array<bigint>")
+    made = docs.mapInArrow(_sketches, "doc_id bigint, key binary, n_shingles bigint, sketch array<bigint>, bits array<bigint>")
     sketches = common.stored(
         made.alias("r")
         .join(classes.alias("c"), (F.col("r.key") == F.col("c.key")) & F.col("r.doc_id").eqNullSafe(F.col("c.doc_id")))
-        .select("r.key", "r.doc_id", "r.n_shingles", "r.sketch")
+        .select("r.key", "r.doc_id", "r.n_shingles", "r.sketch", "r.bits")
         .dropDuplicates(["key"]),
         "near-sketches",
     )
@@ -195,10 +211,10 @@ def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         values.join(counts, "value")
         .groupBy("key")
         .agg(F.sort_array(F.collect_list(F.struct("df", "value"))).alias("shared"))
-        .join(sketches.select("key", "n_shingles"), "key")
+        .join(sketches.select("key", "n_shingles", "bits"), "key")
         .filter(prefix > 0)
-        .select("key", "n_shingles", F.size("shared").alias("n_shared"), F.explode(F.slice("shared", F.lit(1), prefix.cast("int"))).alias("x"))
-        .select("key", F.col("x.value").alias("value"), "n_shingles", "n_shared"),
+        .select("key", "n_shingles", "bits", F.size("shared").alias("n_shared"), F.explode(F.slice("shared", F.lit(1), prefix.cast("int"))).alias("x"))
+        .select("key", F.col("x.value").alias("value"), "n_shingles", "n_shared", "bits"),
         "near-lists",
     )
     wanted = sketches.join(lists.select("key").distinct(), "key", "left_semi")
@@ -225,7 +241,7 @@ def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                 F.min("label").alias("low"),
                 F.max("label").alias("high"),
                 F.count(F.lit(1)).alias("n"),
-                F.min_by("key", F.xxhash64("key", F.lit(turn))).alias("first"),
+                F.max_by("key", F.struct(F.col("n_shared") / F.col("n_shingles"), "key")).alias("first"),
             )
             .filter("low <> high")
             .drop("low", "high")
@@ -233,17 +249,20 @@ def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         named = common.stored(named.join(live, "value"), "near-live")
         if named.isEmpty():
             break
-        # Hubs: every class of a short list, and of a longer one about as many as this round compares with.
+        # Hubs: every class of a short list; of a longer one the class with the largest share of hashes that others have, the
+        # centre of a group of copies, and from the second round on about as many more as the round compares with.
         share = F.pmod(F.xxhash64("key", F.lit(turn)), F.lit(1 << 30)) / (1 << 30)
-        is_hub = (F.col("n") <= SHORT_LIST) | (F.col("key") == F.col("first")) | (share < F.lit(float(HUBS * GROWTH**turn)) / F.col("n"))
+        is_hub = (F.col("n") <= SHORT_LIST) | (F.col("key") == F.col("first")) | (share < F.lit(float(HUBS * GROWTH**turn if turn else 0)) / F.col("n"))
         named = named.withColumn("is_hub", is_hub)
         hubs = named.filter("is_hub").select(
-            "value", F.col("key").alias("hub"), F.col("label").alias("hub_label"), F.col("n_shingles").alias("hub_size"), F.col("n_shared").alias("hub_shared")
+            "value", F.col("key").alias("hub"), F.col("label").alias("hub_label"), F.col("n_shingles").alias("hub_size"), F.col("n_shared").alias("hub_shared"), F.col("bits").alias("hub_bits")
         )
         near_size = 100 * F.least("n_shingles", "hub_size") >= 75 * F.greatest("n_shingles", "hub_size")
-        # Of whole sets, what is in no other class is in no intersection.
-        most = F.least("n_shared", "hub_shared")
-        possible = (F.greatest("n_shingles", "hub_size") > SKETCH) | (100 * most >= 75 * (F.col("n_shingles") + F.col("hub_size") - most))
+        # Bounds of the intersection: without what is in no other class (of whole sets), without what the bitmaps tell apart.
+        alone = F.when(F.greatest("n_shingles", "hub_size") > SKETCH, F.least("n_shingles", "hub_size")).otherwise(F.least("n_shared", "hub_shared"))
+        apart = F.least(F.col("n_shingles") - missing("bits", "hub_bits"), F.col("hub_size") - missing("hub_bits", "bits"))
+        most = F.least(alone, apart)
+        possible = 100 * most >= 75 * (F.col("n_shingles") + F.col("hub_size") - most)
         pairs = (
             named.join(hubs, "value")
             .filter((F.col("label") != F.col("hub_label")) & near_size & possible & (~F.col("is_hub") | (F.col("key") < F.col("hub"))))
@@ -252,7 +271,7 @@ def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         )
         found = common.stored(link_pairs(pairs, wanted, full), "near-links")
         edges = found if edges is None else edges.unionByName(found)
-        lists = named.filter("not is_hub").select("key", "value", "n_shingles", "n_shared")
+        lists = named.filter("not is_hub").select("key", "value", "n_shingles", "n_shared", "bits")
         group = components(edges, "near-groups").select(F.col("id").alias("key"), F.col("label").alias("to"))
         label = wanted.select("key").join(group, "key", "left").select("key", F.coalesce("to", "key").alias("label"))
         turn += 1
