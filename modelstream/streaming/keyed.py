@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
+from modelstream.config import ship_package
 from modelstream.operators.serve import Policy, in_force, route
 from modelstream.schemas import PARAMS
 
@@ -107,6 +108,8 @@ def meet_models(stream: DataFrame, order: str = "event_time") -> DataFrame:
     record applies from its arrival on.
     """
 
+    ship_package(stream.sparkSession)
+
     def serve(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         rows = pd.concat(list(batches), ignore_index=True)
         current = state.get if state.exists else None
@@ -164,6 +167,7 @@ def _extremes(values: np.ndarray, old: Any) -> tuple[int | None, int | None]:
 
 def meet_models_with_stats(stream: DataFrame, order: str = "event_time") -> DataFrame:
     """As `meet_models`, with the statistics of the current model kept beside it. Needs the RocksDB state store."""
+    ship_package(stream.sparkSession)
     return stream.groupBy("data_type", "shard").transformWithStateInPandas(
         ServingProcessor(order), MET, "Append", "None"
     )
