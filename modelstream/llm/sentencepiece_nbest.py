@@ -18,7 +18,7 @@ from __future__ import annotations
 import hashlib
 import heapq
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -29,14 +29,14 @@ from modelstream.llm import common
 
 VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
 NBEST = 4
-# Words whose lattices a worker remembers; the memory is emptied when full.
+# Words whose best paths a worker remembers; the memory is emptied when full.
 REMEMBERED = 150_000
 
 BLANK = "\u2581"
 # A word with its leading blanks: the lattice is cut before a run of blanks and around line ends.
 WORDS = re.compile(r"[^ \n\u2581]+|\n|\u2581| +[^ \n\u2581]*")
 
-Segmentation = tuple[float, tuple[int, ...]]
+Segmentation = tuple[float, Sequence[int]]
 
 
 class Pieces:
@@ -63,10 +63,15 @@ class Pieces:
         self.longest = max(map(len, self.ids))
         # A byte costs more than any piece, so bytes stand only where no piece does.
         self.byte_score = (min(scores) if scores else 0.0) - 10.0
-        self.words: dict[str, tuple[float, float, tuple[int, ...]]] = {}
+        self.score = np.zeros(len(self.strings))
+        for number, score in self.ids.values():
+            self.score[number] = score
+        self.byte_ids = np.array([number for number, _ in self.bytes], np.int64)
+        self._index()
+        self._forget()
 
-    def decode(self, ids: list[int]) -> str:
-        return b"".join(self.strings[i] for i in ids).decode()
+    def decode(self, ids: Iterable[int]) -> str:
+        return b"".join(map(self.strings.__getitem__, ids)).decode()
 
     def edges(self, word: str) -> list[list[tuple[int, float, tuple[int, ...]]]]:
         """For each end position the edges (start, score, ids) of the lattice."""
@@ -84,50 +89,153 @@ class Pieces:
                 ends[i + 1].append((i, self.byte_score * len(code), tuple(self.bytes[b][0] for b in code)))
         return ends
 
-    def best_two(self, word: str) -> tuple[float, float, tuple[int, ...]]:
-        """Score of the best path, of the second best (minus infinity without one), and the ids of the best."""
-        known = self.words.get(word)
-        if known is not None:
-            return known
-        n, longest, get = len(word), self.longest, self.ids.get
-        low = float("-inf")
-        first, second = [low] * (n + 1), [low] * (n + 1)
-        back: list[tuple[int, tuple[int, ...]] | None] = [None] * (n + 1)
-        first[0] = 0.0
-        for i in range(n):
-            f, s, single = first[i], second[i], False
-            for j in range(i + 1, (n if n < i + longest else i + longest) + 1):
-                found = get(word[i:j])
-                if found:
-                    if j == i + 1:
-                        single = True
-                    score = f + found[1]
-                    if score > first[j]:
-                        other = s + found[1]
-                        second[j] = first[j] if first[j] > other else other
-                        first[j], back[j] = score, (i, (found[0],))
-                    elif score > second[j]:
-                        second[j] = score
-            if not single:
-                code = word[i].encode()
-                cost = self.byte_score * len(code)
-                j, score = i + 1, f + cost
-                if score > first[j]:
-                    other = s + cost
-                    second[j] = first[j] if first[j] > other else other
-                    first[j], back[j] = score, (i, tuple(self.bytes[b][0] for b in code))
-                elif score > second[j]:
-                    second[j] = score
-        ids: tuple[int, ...] = ()
-        at = n
-        while at:
-            at, own = back[at]
-            ids = own + ids
-        if len(word) <= 64:
-            if len(self.words) >= REMEMBERED:
-                self.words.clear()
-            self.words[word] = (first[n], second[n], ids)
-        return first[n], second[n], ids
+    def solve(self, words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Forward Viterbi over many words at once: score of the best path of each, of the second best (minus infinity
+        without one), sizes of the best paths and their ids one after the other.
+
+        All words advance by the same character and edge length together, so a step is a few array passes. Of equal
+        scores the edge that begins first wins.
+        """
+        size = np.fromiter(map(len, words), np.int64, len(words))
+        codes = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), np.uint32)
+        end = np.cumsum(size)
+        begin = end - size
+        place = np.arange(len(codes)) - np.repeat(begin, size)
+        room = np.repeat(size, size) - place
+        # Edges of one length after the other; a start is given up when no piece begins like it.
+        edges, alone = [], np.ones(len(codes), bool)
+        active, value = np.arange(len(codes)), np.zeros(len(codes), np.uint64)
+        for length in range(1, self.longest + 1):
+            value = value * np.uint64(common.BASE) + codes[active + (length - 1)] + np.uint64(1)
+            known = self._entry(value)
+            active, value, known = active[known >= 0], value[known >= 0], known[known >= 0]
+            piece = self.entry_piece[known]
+            whole = piece >= 0
+            at, piece = active[whole], piece[whole]
+            edges.append((at, piece, self.score[piece]))
+            if length == 1:
+                alone[at] = False
+            longer = room[active] > length
+            active, value = active[longer], value[longer]
+            if not len(active):
+                break
+        spelled = np.flatnonzero(alone)
+        n_bytes = 1 + (codes[spelled] >= 0x80) + (codes[spelled] >= 0x800) + (codes[spelled] >= 0x10000)
+        at, piece, cost = edges[0]
+        edges[0] = (np.append(at, spelled), np.append(piece, np.full(len(spelled), -1)), np.append(cost, self.byte_score * n_bytes))
+        # Edges of each length by the place of their start. Node k + 1 of a word's own row stands behind its character k.
+        ordered = []
+        for at, piece, cost in edges:
+            order = np.argsort(place[at], kind="stable")
+            at = at[order]
+            cuts = np.searchsorted(place[at], np.arange(int(size.max(initial=0)) + 1))
+            ordered.append((at, piece[order], cost[order], cuts))
+        node = np.arange(len(codes)) + np.repeat(np.arange(len(words)), size)
+        nodes = len(codes) + len(words)
+        first, second = np.full(nodes, -np.inf), np.full(nodes, -np.inf)
+        step, taken = np.zeros(nodes, np.int64), np.zeros(nodes, np.int64)
+        first[begin + np.arange(len(words))] = 0.0
+        for k in range(int(size.max(initial=0))):
+            for length, (at, piece, cost, cuts) in enumerate(ordered, 1):
+                low, high = cuts[k], cuts[k + 1]
+                if low == high:
+                    continue
+                start = node[at[low:high]]
+                goal = start + length
+                score, other = first[start] + cost[low:high], second[start] + cost[low:high]
+                old = first[goal]
+                better = score > old
+                second[goal] = np.where(better, np.maximum(old, other), np.maximum(second[goal], score))
+                hit = goal[better]
+                first[hit], step[hit], taken[hit] = score[better], length, piece[low:high][better]
+        last = end + np.arange(len(words))
+        # Back from the ends, all words together; then into the order of the text.
+        rows, starts, chosen = [], [], []
+        word, at = np.arange(len(words)), last
+        while len(word):
+            rows.append(word)
+            chosen.append(taken[at])
+            at = at - step[at]
+            starts.append(at - word)
+            go = at > begin[word] + word
+            word, at = word[go], at[go]
+        row, start, piece = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (rows, starts, chosen))
+        order = np.argsort(start)
+        row, start, piece = row[order], start[order], piece[order]
+        spelled = piece < 0
+        code = codes[start]
+        times = np.where(spelled, 1 + (code >= 0x80).astype(np.int64) + (code >= 0x800) + (code >= 0x10000), 1)
+        ids = np.repeat(piece, times)
+        if spelled.any():
+            raw = code[spelled].tobytes().decode("utf-32-le", "surrogatepass").encode("utf-8", "surrogatepass")
+            ids[np.repeat(spelled, times)] = self.byte_ids[np.frombuffer(raw, np.uint8)]
+        sizes = np.bincount(row, weights=times, minlength=len(words)).astype(np.int64)
+        return first[last], second[last], sizes, ids.astype(np.int32)
+
+    def _entry(self, value: np.ndarray) -> np.ndarray:
+        """The entry of each hash among the beginnings of pieces, -1 without one."""
+        slot = (common.mixed(value) >> np.uint64(64 - self.slot_bits)).astype(np.int64)
+        found = self.slots[slot]
+        open_ = np.flatnonzero((found >= 0) & (self.entry_hash[found] != value))
+        while len(open_):
+            slot[open_] = (slot[open_] + 1) & ((1 << self.slot_bits) - 1)
+            found[open_] = self.slots[slot[open_]]
+            open_ = open_[(found[open_] >= 0) & (self.entry_hash[found[open_]] != value[open_])]
+        return found
+
+    def _index(self) -> None:
+        """A hash table of all beginnings of pieces, each with its piece or -1."""
+        whole = {word: number for word, (number, _) in self.ids.items()}
+        begins = list(dict.fromkeys(word[:k] for word in whole for k in range(1, len(word) + 1)))
+        hashes = []
+        for text in begins:
+            h = 0
+            for c in text:
+                h = (h * common.BASE + ord(c) + 1) & ((1 << 64) - 1)
+            hashes.append(h)
+        if len(set(hashes)) < len(hashes):
+            raise ValueError("two beginnings of pieces have one hash")
+        self.entry_hash = np.array(hashes, np.uint64)
+        self.entry_piece = np.array([whole.get(text, -1) for text in begins], np.int64)
+        self.slot_bits = max(4, (4 * len(begins)).bit_length())
+        self.slots = np.full(1 << self.slot_bits, -1, np.int64)
+        wanted = (common.mixed(self.entry_hash) >> np.uint64(64 - self.slot_bits)).astype(np.int64)
+        for entry, slot in enumerate(wanted.tolist()):
+            while self.slots[slot] >= 0:
+                slot = (slot + 1) & ((1 << self.slot_bits) - 1)
+            self.slots[slot] = entry
+
+    def slots_of(self, words: list[str]) -> np.ndarray:
+        """Where the memory keeps each word; words that it lacks are solved together."""
+        if len(self.words) >= REMEMBERED:
+            self._forget()
+        get = self.words.get
+        found = np.fromiter((get(w, -1) for w in words), np.int64, len(words))
+        if (found < 0).any():
+            fresh = list(dict.fromkeys(words[k] for k in np.flatnonzero(found < 0).tolist()))
+            first, second, sizes, ids = self.solve(fresh)
+            self.words.update(zip(fresh, range(len(self.words), len(self.words) + len(fresh))))
+            self.first = np.append(self.first, first)
+            self.gap = np.append(self.gap, first - second)
+            self.offset = np.append(self.offset, self.offset[-1] + np.cumsum(sizes))
+            self.flat = np.append(self.flat, ids)
+            found = np.fromiter(map(self.words.__getitem__, words), np.int64, len(words))
+        return found
+
+    def _forget(self) -> None:
+        self.words: dict[str, int] = {}
+        self.first, self.gap = np.zeros(0), np.zeros(0)
+        self.offset, self.flat = np.zeros(1, np.int64), np.zeros(0, np.int32)
+        self.ranked: dict[tuple[str, int], list[Segmentation]] = {}
+
+    def ranks(self, word: str, most: int) -> list[Segmentation]:
+        """`nbest`, remembered for short words."""
+        known = self.ranked.get((word, most))
+        if known is None:
+            known = self.nbest(word, most)
+            if len(word) <= 64:
+                self.ranked[word, most] = known
+        return known
 
     def nbest(self, word: str, most: int) -> list[Segmentation]:
         """The `most` best paths of a lattice: forward Viterbi scores, then A* from the end."""
@@ -160,16 +268,35 @@ class Pieces:
 
     def encode(self, text: str, most: int) -> list[Segmentation]:
         """The `most` best segmentations of a text, the best first; of equal scores, in the order of the search."""
-        words = WORDS.findall(text)
-        get, slow = self.words.get, self.best_two
-        best = [get(w) or slow(w) for w in words]
-        total = sum(b[0] for b in best)
-        # Places where leaving the best path costs least; only these can matter.
-        gaps = heapq.nsmallest(most - 1, ((b[0] - b[1], k) for k, b in enumerate(best) if b[1] > float("-inf")))
-        places = sorted(k for _, k in gaps)
-        choices = [self.nbest(words[k], most) for k in places]
+        return next(self.encode_all([text], most))
+
+    def encode_all(self, texts: list[str], most: int) -> Iterator[list[Segmentation]]:
+        """`encode` of each text. Texts are looked at together up to `common.PIECE_BYTES` characters, or one longer alone."""
+        low = 0
+        while low < len(texts):
+            high, size = low + 1, len(texts[low])
+            while high < len(texts) and size + len(texts[high]) <= common.PIECE_BYTES:
+                size += len(texts[high])
+                high += 1
+            split = [WORDS.findall(text) for text in texts[low:high]]
+            slots = self.slots_of([w for words in split for w in words])
+            at = 0
+            for words in split:
+                yield self._chain(words, slots[at : at + len(words)], most)
+                at += len(words)
+            low = high
+
+    def _chain(self, words: list[str], slots: np.ndarray, most: int) -> list[Segmentation]:
+        """The best paths of the chain of a text's lattices."""
+        scores, gaps = self.first[slots], self.gap[slots]
+        # Places where leaving the best path costs least, of equal ones the first; only these can matter.
+        cheap = np.flatnonzero(gaps < np.inf)
+        if len(cheap) > 4 * most:
+            cheap = cheap[gaps[cheap] <= np.partition(gaps[cheap], most - 1)[most - 1]]
+        places = np.sort(cheap[np.argsort(gaps[cheap], kind="stable")[: most - 1]]).tolist()
+        choices = [self.ranks(words[k], most) for k in places]
         # Forward scores along the chain, then A* backwards over its words.
-        ahead = [total - sum(best[k][0] for k in places)]
+        ahead = [float(scores.sum()) - sum(float(scores[k]) for k in places)]
         for own in choices:
             ahead.append(ahead[-1] + own[0][0])
         queue: list[tuple] = [(-ahead[-1], 0, len(places), 0.0, ())]
@@ -182,10 +309,17 @@ class Pieces:
             for c, (score, _) in enumerate(choices[at - 1]):
                 heapq.heappush(queue, (-(ahead[at - 1] + score + behind), order, at - 1, behind + score, (c, *chosen)))
                 order += 1
+        # Ids of the best path, and where those of the places stand in them.
+        size = self.offset[slots + 1] - self.offset[slots]
+        stop = np.cumsum(size)
+        ids = self.flat[np.repeat(self.offset[slots] - (stop - size), size) + np.arange(stop[-1] if len(stop) else 0)]
         out = []
         for score, chosen in picks:
-            swapped = {k: own[c][1] for k, own, c in zip(places, choices, chosen)}
-            out.append((score, tuple(i for k, b in enumerate(best) for i in swapped.get(k, b[2]))))
+            parts, done = [], 0
+            for k, own, c in zip(places, choices, chosen):
+                parts += [ids[done : stop[k] - size[k]], np.array(own[c][1], np.int32)]
+                done = stop[k]
+            out.append((score, np.concatenate([*parts, ids[done:]])))
         return out
 
 
@@ -206,12 +340,11 @@ def _encode(path: str, most: int):
         pieces = pieces_of(path)
         for batch in common.batches(source, 256):
             scores, ids, sizes, counts = [], [], [], []
-            for text in batch.column(1).to_pylist():
-                found = pieces.encode(text or "", most)
+            for found in pieces.encode_all([text or "" for text in batch.column(1).to_pylist()], most):
                 counts.append(len(found))
                 for score, own in found:
                     scores.append(score)
-                    ids.append(np.array(own, np.int32))
+                    ids.append(own)
                     sizes.append(len(own))
             flat = pa.array(np.concatenate(ids) if ids else np.zeros(0, np.int32), pa.int32())
             lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)), flat)
@@ -259,13 +392,13 @@ def _digest(path: str, most: int):
         names = ["doc_id", "n_segmentations", "n_pieces", "score", "scores", "ids_sha256", "decoded"]
         for batch in common.batches(source, 256):
             out: list[list] = [[] for _ in names[1:]]
-            for text in batch.column(1).to_pylist():
-                text = text or ""
-                found = pieces.encode(text, most)
+            texts = [text or "" for text in batch.column(1).to_pylist()]
+            for text, found in zip(texts, pieces.encode_all(texts, most)):
                 joined = hashlib.sha256()
                 for _, ids in found:
-                    joined.update(np.array([len(ids), *ids], "<i4").tobytes())
-                ok = all(pieces.decode(ids) == text for _, ids in found)
+                    joined.update(len(ids).to_bytes(4, "little"))
+                    joined.update(ids.astype("<i4").tobytes())
+                ok = all(pieces.decode(ids.tolist()) == text for _, ids in found)
                 for column, value in zip(out, (len(found), len(found[0][1]), found[0][0], [s for s, _ in found], joined.hexdigest(), ok)):
                     column.append(value)
             kinds = [pa.int64(), pa.int64(), pa.float64(), pa.list_(pa.float64()), pa.string(), pa.bool_()]
