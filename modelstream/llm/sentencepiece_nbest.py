@@ -18,7 +18,8 @@ from __future__ import annotations
 import hashlib
 import heapq
 import re
-from collections.abc import Iterable, Iterator, Sequence
+from collections.abc import Iterable, Iterator
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -36,7 +37,7 @@ BLANK = "\u2581"
 # A word with its leading blanks: the lattice is cut before a run of blanks and around line ends.
 WORDS = re.compile(r"[^ \n\u2581]+|\n|\u2581| +[^ \n\u2581]*")
 
-Segmentation = tuple[float, Sequence[int]]
+Segmentation = tuple[float, tuple[int, ...]]
 
 
 class Pieces:
@@ -209,17 +210,18 @@ class Pieces:
         """Where the memory keeps each word; words that it lacks are solved together."""
         if len(self.words) >= REMEMBERED:
             self._forget()
-        get = self.words.get
-        found = np.fromiter((get(w, -1) for w in words), np.int64, len(words))
-        if (found < 0).any():
-            fresh = list(dict.fromkeys(words[k] for k in np.flatnonzero(found < 0).tolist()))
+        found = np.fromiter(map(self.words.get, words, repeat(-1)), np.int64, len(words))
+        lacking = np.flatnonzero(found < 0).tolist()
+        if lacking:
+            lacked = [words[k] for k in lacking]
+            fresh = list(dict.fromkeys(lacked))
             first, second, sizes, ids = self.solve(fresh)
             self.words.update(zip(fresh, range(len(self.words), len(self.words) + len(fresh))))
             self.first = np.append(self.first, first)
             self.gap = np.append(self.gap, first - second)
             self.offset = np.append(self.offset, self.offset[-1] + np.cumsum(sizes))
             self.flat = np.append(self.flat, ids)
-            found = np.fromiter(map(self.words.__getitem__, words), np.int64, len(words))
+            found[lacking] = np.fromiter(map(self.words.__getitem__, lacked), np.int64, len(lacked))
         return found
 
     def _forget(self) -> None:
@@ -268,10 +270,10 @@ class Pieces:
 
     def encode(self, text: str, most: int) -> list[Segmentation]:
         """The `most` best segmentations of a text, the best first; of equal scores, in the order of the search."""
-        return next(self.encode_all([text], most))
+        return [(score, tuple(ids.tolist())) for score, ids in next(self.encode_all([text], most))]
 
-    def encode_all(self, texts: list[str], most: int) -> Iterator[list[Segmentation]]:
-        """`encode` of each text. Texts are looked at together up to `common.PIECE_BYTES` characters, or one longer alone."""
+    def encode_all(self, texts: list[str], most: int) -> Iterator[list[tuple[float, np.ndarray]]]:
+        """`encode` of each text, ids as arrays. Texts are looked at together up to `common.PIECE_BYTES` characters, or one longer alone."""
         low = 0
         while low < len(texts):
             high, size = low + 1, len(texts[low])
@@ -286,14 +288,16 @@ class Pieces:
                 at += len(words)
             low = high
 
-    def _chain(self, words: list[str], slots: np.ndarray, most: int) -> list[Segmentation]:
+    def _chain(self, words: list[str], slots: np.ndarray, most: int) -> list[tuple[float, np.ndarray]]:
         """The best paths of the chain of a text's lattices."""
         scores, gaps = self.first[slots], self.gap[slots]
         # Places where leaving the best path costs least, of equal ones the first; only these can matter.
         cheap = np.flatnonzero(gaps < np.inf)
-        if len(cheap) > 4 * most:
-            cheap = cheap[gaps[cheap] <= np.partition(gaps[cheap], most - 1)[most - 1]]
-        places = np.sort(cheap[np.argsort(gaps[cheap], kind="stable")[: most - 1]]).tolist()
+        if len(cheap) >= most > 1:
+            limit = np.partition(gaps[cheap], most - 2)[most - 2]
+            less = cheap[gaps[cheap] < limit]
+            cheap = np.sort(np.append(less, cheap[gaps[cheap] == limit][: most - 1 - len(less)]))
+        places = cheap[: most - 1].tolist()
         choices = [self.ranks(words[k], most) for k in places]
         # Forward scores along the chain, then A* backwards over its words.
         ahead = [float(scores.sum()) - sum(float(scores[k]) for k in places)]
