@@ -14,6 +14,15 @@ from pyspark.sql import functions as F
 
 Params = dict[str, Any]
 
+# Levels of a tree that are written as nested CASE expressions; what is deeper is scored as data.
+NESTED = 24
+FORMS = ("linear", "glm", "tree", "forest", "network", "dense")
+
+
+def writable(params: Params | None) -> bool:
+    """Can this model be written into a plan? The answers are those of the scoring as data."""
+    return params is None or params["form"] in FORMS and (params.get("depth") or 0) <= NESTED
+
 
 def number(value: float) -> str:
     """A double literal."""
@@ -43,7 +52,7 @@ def label_of(labels: list[str], index: str) -> str:
 
 
 def linear(x: list[str], params: Params) -> str:
-    terms = [f"{number(c)} * {v}" for c, v in zip(params["coefs"], x) if c != 0.0]
+    terms = [f"{number(c)} * {v}" for c, v in zip(params["coefs"], x)]
     return " + ".join([number(params["intercept"]), *terms])
 
 
@@ -52,7 +61,6 @@ def glm(x: list[str], params: Params) -> str:
     terms = [
         f"{number(c)} * {v if e == 1.0 else f'power({v}, {number(e)})'}"
         for c, e, v in zip(params["coefs"], powers, x)
-        if c != 0.0
     ]
     eta = " + ".join([number(params["intercept"]), *terms])
     return {
@@ -92,7 +100,11 @@ def _only(text: str, when: str | None) -> str:
 
 
 def _tree_score(node: Params) -> float | None:
-    return float(node["score"]) if node["f"] < 0 and node["score"] is not None else None
+    """The score of a leaf; None for a label that spells no number."""
+    try:
+        return float(node["score"]) if node["f"] < 0 and node["score"] is not None else None
+    except ValueError:
+        return None
 
 
 def with_score(
@@ -160,7 +172,7 @@ def _layers(
     for depth, layer in enumerate(params["layers"]):
         names = [f"__{out}_h{depth}_{i}" for i in range(len(layer["b"]))]
         raw = [
-            " + ".join([number(b), *[f"{number(w)} * {v}" for w, v in zip(row, values)]])
+            f"{number(b)} + ({' + '.join(['0D', *[f'{number(w)} * {v}' for w, v in zip(row, values)]])})"
             for row, b in zip(layer["w"], layer["b"])
         ]
         if layer["act"] == "softmax":

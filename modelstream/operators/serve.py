@@ -149,20 +149,22 @@ def serve_few(
     *,
     most: int = 32,
     keep: list[str] | None = None,
+    forms: list[str] | None = None,
     limits: Limits = Limits(),
 ) -> DataFrame:
     """As `serve_latest`, for a registry of few types: the models are written into the plan and nothing is joined.
 
     `inputs` are SQL expressions. The newest models are read to the driver only after they were measured and found to be
-    at most `most` and within the broadcast limits; beyond that `serve_latest` does the work.
+    at most `most` and within the broadcast limits; beyond that, and where a model cannot be written out (a form of the
+    caller's own, a very deep tree), `serve_latest` does the work. Both score alike.
     """
     newest = latest_models(in_force(models, policy))
     size = measure(newest)
-    if size["rows"] > most or not fits(size, limits):
+    rows = newest.collect() if size["rows"] <= most and fits(size, limits) else None
+    if rows is None or not all(compiled.writable(r["params"] and r["params"].asDict(recursive=True)) for r in rows):
         return serve_latest(
-            records, models, [F.expr(text) for text in inputs], policy, keep=keep, limits=limits
+            records, models, [F.expr(text) for text in inputs], policy, keep=keep, forms=forms, limits=limits
         )
-    rows = newest.collect()
     # `route` reads the model's name, time and usability; the score is a column of its own.
     scores, known = [], F.lit(None).cast("struct<name:string,ts:bigint,params:boolean>")
     scored = records

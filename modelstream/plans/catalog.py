@@ -446,7 +446,7 @@ def state_lookup(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def stats_report(spark: SparkSession, sf: str) -> DataFrame:
     lookup = stats.state_of(wanted_types(spark, sf), _current(spark, sf))
-    reported = stats.report(lookup.withColumn("description", F.substring("description", 1, 38)))
+    reported = stats.report(lookup)
     return rounded(
         reported.select("data_type", "name", "kind", "usage", F.nanvl("average", F.lit(None)).alias("average"), "line"),
         "average",

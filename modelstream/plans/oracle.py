@@ -270,7 +270,7 @@ FROM served WINDOW w AS (PARTITION BY data_type ORDER BY submission_ts, record_i
     + STATS
     + """
 SELECT data_type, name, 'PMML' AS kind, usage, CASE WHEN usage > 0 THEN round(duration / usage, 6) END AS average,
-  printf('| %-50s | %-38s | %-19s | %s | %3d | %3d |', name, substr(description, 1, 38),
+  printf('| %-50s | %-38s | %-19s | %s | %3d | %3d |', name, description,
          strftime(make_timestamp(since * 1000), '%Y/%m/%d %H:%M:%S'),
          CASE WHEN usage = 0 THEN '     NaN' ELSE printf('%8.5f', duration / usage) END, "min", "max") AS line
 FROM state

@@ -1,430 +1,407 @@
-"""Model documents to parameter columns, with Spark's own XML and JSON functions.
+"""Model documents to parameter columns.
 
-XML model documents (regression, general regression, tree, tree ensemble, neural network) are read with `from_xml` and a
-declared schema. Tree nodes nest; the schema is unrolled to `MAX_DEPTH` levels and the levels are flattened to a node
-array. A document the parameters cannot hold exactly (deeper trees, other predicates, interaction terms) yields null,
-never a guess, and the registry treats it as a model that failed to build.
+XML model documents (regression, general regression, tree, tree ensemble, neural network) are read by the standard library's
+parser inside an Arrow function over the small model table; trees may be of any depth, and every document is walked once.
+Whatever the parameters cannot hold exactly (an element or attribute that changes the answer and is not listed here,
+interaction terms, other predicates or ensemble rules, links over layers) yields null, never a guess, and the
+registry treats it as a model that failed to build. Dense layers in JSON are read with Spark's own functions.
 """
 
 from __future__ import annotations
 
-from functools import lru_cache
+from typing import Any
+from xml.etree import ElementTree
 
-from pyspark import SparkContext
-from pyspark.sql import Column, DataFrame
+import pyarrow as pa
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
-from modelstream.functions.features import let
-from modelstream.schemas import LAYER, NODE, PARAMS, params_struct
-
-MAX_DEPTH = 12
-
-_PREDICATE = "struct<_field:string,_operator:string,_value:double>"
-_COUNTS = "array<struct<_value:string,_recordCount:double>>"
-_TARGET = "MiningSchema:struct<MiningField:array<struct<_name:string,_usageType:string>>>"
-
-
-def _node(levels: int) -> str:
-    own = f"_score:string,SimplePredicate:{_PREDICATE},ScoreDistribution:{_COUNTS}"
-    below = f",Node:array<{_node(levels - 1)}>" if levels else ""
-    return f"struct<{own}{below}>"
-
-
-def document_schema(depth: int) -> str:
-    """The type `from_xml` reads a document into."""
-    tree = f"struct<_functionName:string,{_TARGET},Node:{_node(depth)}>"
-    return (
-        "struct<"
-        "DataDictionary:struct<DataField:array<struct<_name:string,Value:array<struct<_value:string>>>>>,"
-        "RegressionModel:struct<_functionName:string,_normalizationMethod:string,"
-        "RegressionTable:array<struct<_intercept:double,"
-        "NumericPredictor:array<struct<_name:string,_exponent:double,_coefficient:double>>>>>,"
-        "GeneralRegressionModel:struct<_linkFunction:string,"
-        "PPMatrix:struct<PPCell:array<struct<_value:double,_predictorName:string,_parameterName:string>>>,"
-        "ParamMatrix:struct<PCell:array<struct<_parameterName:string,_beta:double>>>>,"
-        f"TreeModel:{tree},"
-        f"MiningModel:struct<_functionName:string,{_TARGET},Segmentation:struct<_multipleModelMethod:string,"
-        f"Segment:array<struct<TreeModel:{tree}>>>>,"
-        f"NeuralNetwork:struct<_activationFunction:string,{_TARGET},"
-        "NeuralInputs:struct<NeuralInput:array<struct<_id:string,DerivedField:struct<FieldRef:struct<_field:string>>>>>,"
-        "NeuralLayer:array<struct<_activationFunction:string,_normalizationMethod:string,"
-        "Neuron:array<struct<_id:string,_bias:double,Con:array<struct<_from:string,_weight:double>>>>>>,"
-        "NeuralOutputs:struct<NeuralOutput:array<struct<_outputNeuron:string,"
-        "DerivedField:struct<NormDiscrete:struct<_value:string>>>>>>"
-        ">"
-    )
-
-
-def _first(values: Column, test) -> Column:
-    """The first element that passes, null when none does."""
-    return F.get(F.filter(values, test), 0)
-
-
-def _labels(doc: Column, mining: Column) -> Column:
-    """The classes of the target field, in the order the document declares them."""
-    target = _first(
-        mining.getField("MiningField"), lambda m: m.getField("_usageType").isin("target", "predicted")
-    ).getField("_name")
-    field = _first(
-        doc.getField("DataDictionary").getField("DataField"), lambda d: d.getField("_name") == target
-    )
-    return F.transform(field.getField("Value"), lambda v: v.getField("_value"))
-
+from modelstream.config import ship_package
+from modelstream.schemas import LAYER, PARAM_FIELDS, PARAMS, params_struct
 
-def _positions(names: list[str]) -> Column:
-    return F.array(*[F.lit(n) for n in names])
+Element = ElementTree.Element
+Params = dict[str, Any]
 
-
-# --- regression ---------------------------------------------------------------------------------------------------
-
-
-def _regression(doc: Column, names: list[str]) -> Column:
-    model = doc.getField("RegressionModel")
-    table = F.get(model.getField("RegressionTable"), 0)
-    terms = F.coalesce(
-        table.getField("NumericPredictor"),
-        F.array().cast("array<struct<_name:string,_exponent:double,_coefficient:double>>"),
-    )
-    method = F.coalesce(model.getField("_normalizationMethod"), F.lit("none"))
-    link = F.when(method == "none", "identity").when(method == "exp", "log").when(method == "logit", "logit")
-
-    def by_name(field: str, default: float) -> Column:
-        return F.transform(
-            _positions(names),
-            lambda name: F.coalesce(
-                _first(terms, lambda t: t.getField("_name") == name).getField(field), F.lit(default)
-            ),
-        )
-
-    coefs, exponents = by_name("_coefficient", 0.0), by_name("_exponent", 1.0)
-    plain = (link == "identity") & ~F.exists(exponents, lambda e: e != 1.0)
-    usable = (
-        (model.getField("_functionName") == "regression")
-        & (F.size(model.getField("RegressionTable")) == 1)
-        & table.getField("_intercept").isNotNull()
-        & link.isNotNull()
-        & (F.size(F.array_distinct(F.transform(terms, lambda t: t.getField("_name")))) == F.size(terms))
-        & F.forall(terms, lambda t: t.getField("_coefficient").isNotNull())
-    )
-    return F.when(
-        usable,
-        params_struct(
-            form=F.when(plain, "linear").otherwise("glm"),
-            intercept=table.getField("_intercept"),
-            coefs=coefs,
-            exponents=F.when(~plain, exponents),
-            link=link,
-        ),
-    )
+# Elements without influence on a score, and attributes of any model without one.
+SILENT = {"Extension", "Output", "ModelStats", "ModelExplanation", "ModelVerification"}
+NAMES = {"modelName", "algorithmName", "functionName", "isScorable"}
 
 
-def _general_regression(doc: Column, names: list[str]) -> Column:
-    model = doc.getField("GeneralRegressionModel")
-    betas = model.getField("ParamMatrix").getField("PCell")
-    cells = F.coalesce(
-        model.getField("PPMatrix").getField("PPCell"),
-        F.array().cast("array<struct<_value:double,_predictorName:string,_parameterName:string>>"),
-    )
-    free = F.filter(
-        betas,
-        lambda b: ~F.exists(cells, lambda c: c.getField("_parameterName") == b.getField("_parameterName")),
-    )
-    intercept = F.aggregate(free, F.lit(0.0), lambda s, b: s + b.getField("_beta"))
+class Unsupported(ValueError):
+    """The document asks for something that the parameters cannot hold."""
 
-    own = F.transform(
-        _positions(names), lambda name: _first(cells, lambda c: c.getField("_predictorName") == name)
-    )
 
-    def beta(cell: Column) -> Column:
-        hit = _first(betas, lambda b: b.getField("_parameterName") == cell.getField("_parameterName"))
-        return F.coalesce(hit.getField("_beta"), F.lit(0.0))
-
-    link = F.coalesce(model.getField("_linkFunction"), F.lit("identity"))
-    once = lambda field: F.size(F.array_distinct(F.transform(cells, lambda c: c.getField(field)))) == F.size(cells)
-    usable = (
-        (F.size(betas) > 0)
-        & F.forall(betas, lambda b: b.getField("_beta").isNotNull())
-        & F.forall(cells, lambda c: c.getField("_value").isNotNull())
-        & once("_predictorName")
-        & once("_parameterName")
-        & link.isin("identity", "log", "logit", "inverse")
-    )
-    return F.when(
-        usable,
-        params_struct(
-            form=F.lit("glm"),
-            intercept=intercept,
-            coefs=F.transform(own, beta),
-            exponents=F.transform(own, lambda c: F.coalesce(c.getField("_value"), F.lit(1.0))),
-            link=link,
-        ),
-    )
+def _need(test: bool, what: str) -> None:
+    if not test:
+        raise Unsupported(what)
 
 
-# --- trees --------------------------------------------------------------------------------------------------------
+def _tag(e: Element) -> str:
+    return e.tag.rpartition("}")[2]
 
 
-def _flat_nodes(root: str, depth: int) -> str:
-    """SQL text: all nodes of the tree at `root`, level by level, as structs (id, kids, score, test, counts).
+def _number(text: str | None, default: float | None = None) -> float:
+    if text is None and default is not None:
+        return default
+    _need(text is not None and "_" not in text, "a number is missing")
+    return float(text)
 
-    The root is 1 and the children of n are 2n and 2n + 1.
-    """
 
-    def strip(level: str, last: bool) -> str:
-        kids = "0" if last else "coalesce(array_size(n.node.Node), 0)"
-        return (
-            f"transform({level}, n -> named_struct('id', n.id, 'kids', {kids}, 'score', n.node._score, "
-            "'test', n.node.SimplePredicate, 'counts', n.node.ScoreDistribution))"
-        )
+def _parts(e: Element, *known: str, attributes: set[str] = frozenset()) -> dict[str, list[Element]]:
+    """The children by name. Attributes and children outside those that are named are not supported."""
+    _need(set(e.attrib) <= attributes, f"{_tag(e)} with {sorted(e.attrib)}")
+    out: dict[str, list[Element]] = {name: [] for name in known}
+    for child in e:
+        name = _tag(child)
+        if name not in SILENT:
+            _need(name in out, f"{name} in {_tag(e)}")
+            out[name].append(child)
+    return out
 
-    level = f"array(named_struct('id', 1L, 'node', {root}))"
-    levels = [strip(level, depth == 0)]
-    for below in range(depth - 1, -1, -1):
-        level = (
-            f"flatten(transform({level}, n -> coalesce("
-            "transform(n.node.Node, (c, i) -> named_struct('id', n.id * 2 + i, 'node', c)), "
-            f"CAST(array() AS array<struct<id:bigint,node:{_node(below)}>>))))"
-        )
-        levels.append(strip(level, below == 0))
-    return f"concat({', '.join(levels)})"
 
+def _one(found: list[Element], what: str) -> Element:
+    _need(len(found) == 1, f"one {what}")
+    return found[0]
 
-def _linked(nodes: Column, names: list[str], labels: Column) -> Column:
-    """Node structs with array positions for children, input positions for fields and class shares for counts."""
-    ids = F.transform(nodes, lambda n: n.getField("id"))
 
-    def position(node_id: Column) -> Column:
-        return (F.array_position(ids, node_id) - 1).cast("int")
+# --- what all models share ------------------------------------------------------------------------------------------
 
-    def shares(counts: Column) -> Column:
-        total = F.aggregate(counts, F.lit(0.0), lambda s, c: s + c.getField("_recordCount"))
-        return F.transform(
-            labels,
-            lambda label: F.coalesce(
-                _first(counts, lambda c: c.getField("_value") == label).getField("_recordCount"), F.lit(0.0)
-            )
-            / F.when(total > 0, total),
-        )
 
-    def link(n: Column) -> Column:
-        first, second = position(n.getField("id") * 2), position(n.getField("id") * 2 + 1)
-        test = F.get(nodes, first).getField("test")
-        operator = test.getField("_operator")
-        swapped = operator.isin("greaterThan", "greaterOrEqual")
-        field = F.array_position(_positions(names), test.getField("_field")) - 1
-        leaf = n.getField("kids") == 0
-        return F.struct(
-            # An input nobody knows reads as 0.0: it gets the position behind the last one.
-            F.when(leaf, F.lit(-1)).when(field < 0, F.lit(len(names))).otherwise(field).cast("int").alias("f"),
-            test.getField("_value").alias("thr"),
-            operator.isin("lessThan", "greaterOrEqual").alias("strict"),
-            F.when(~leaf, F.when(swapped, second).otherwise(first)).alias("l"),
-            F.when(~leaf, F.when(swapped, first).otherwise(second)).alias("r"),
-            n.getField("score").alias("score"),
-            shares(n.getField("counts")).alias("probs"),
-        )
+class Fields:
+    """The inputs by position and the classes of the declared fields. An input without a declaration takes any number."""
 
-    return F.transform(nodes, link)
+    def __init__(self, dictionaries: list[Element], names: list[str]) -> None:
+        self.positions = {name: i for i, name in enumerate(names)}
+        self.width = len(names)
+        self.declared: dict[str, Element] = {}
+        _need(len(dictionaries) < 2, "one dictionary")
+        for dictionary in dictionaries:
+            for field in _parts(dictionary, "DataField", attributes={"numberOfFields"})["DataField"]:
+                self.declared[field.get("name")] = field
 
+    def input(self, name: str | None) -> int:
+        """The position of a continuous input that takes any number; that behind the last one, read as 0.0, if unknown."""
+        _need(name is not None, "an input")
+        field = self.declared.get(name)
+        if field is not None:
+            _need(field.get("optype") == "continuous" and field.get("dataType") in ("double", "integer"), f"input {name}")
+            _parts(field, attributes=set(field.attrib))
+        return self.positions.get(name, self.width)
 
-def _binary(nodes: Column) -> Column:
-    """Every inner node has two children whose tests are each other's opposite."""
+    def labels(self, schemas: list[Element]) -> list[str]:
+        """The classes of the target, in the order the document declares them."""
+        target = [m.get("name") for schema in schemas for m in schema if m.get("usageType") in ("target", "predicted")]
+        _need(len(target) == 1 and target[0] in self.declared, "one target")
+        values = [v for v in self.declared[target[0]] if _tag(v) == "Value"]
+        _need(all(v.get("property", "valid") == "valid" for v in values), "values of the target")
+        return [v.get("value") for v in values]
 
-    def at(node_id: Column) -> Column:
-        return _first(nodes, lambda m: m.getField("id") == node_id).getField("test")
 
-    def opposite(a: Column, b: Column) -> Column:
-        pairs = [
-            ("lessOrEqual", "greaterThan"),
-            ("greaterThan", "lessOrEqual"),
-            ("lessThan", "greaterOrEqual"),
-            ("greaterOrEqual", "lessThan"),
-        ]
-        ops = F.struct(a.getField("_operator"), b.getField("_operator"))
-        return (
-            (a.getField("_field") == b.getField("_field"))
-            & (a.getField("_value") == b.getField("_value"))
-            & ops.isin(*[F.struct(F.lit(p), F.lit(q)) for p, q in pairs])
+def _model(e: Element, functions: tuple[str, ...], *known: str, attributes: set[str] = frozenset()) -> dict[str, list[Element]]:
+    """The parts of a model whose schema and targets change no value."""
+    _need(e.get("functionName") in functions and e.get("isScorable", "true") == "true", "the function")
+    parts = _parts(e, "MiningSchema", "Targets", "LocalTransformations", *known, attributes=NAMES | attributes)
+    _need(len(parts["MiningSchema"]) < 2, "one schema")
+    for field in (f for schema in parts["MiningSchema"] for f in _parts(schema, "MiningField")["MiningField"]):
+        _parts(
+            field,
+            attributes={"name", "usageType", "optype", "importance", "outliers", "lowValue", "highValue", "missingValueTreatment", "invalidValueTreatment"},
         )
-
-    return F.forall(
-        nodes,
-        lambda n: (n.getField("kids") == 0)
-        | (
-            (n.getField("kids") == 2)
-            & F.coalesce(opposite(at(n.getField("id") * 2), at(n.getField("id") * 2 + 1)), F.lit(False))
-        ),
+        _need(field.get("outliers", "asIs") == "asIs" and field.get("missingValueTreatment") != "returnInvalid", "a treatment")
+    for target in (t for targets in parts["Targets"] for t in targets if _tag(t) not in SILENT):
+        _parts(target, attributes={"field", "optype", "rescaleConstant", "rescaleFactor"})
+        _need(_number(target.get("rescaleConstant"), 0.0) == 0 and _number(target.get("rescaleFactor"), 1.0) == 1, "a rescaled target")
+    _need(not any(len(t) for t in parts["LocalTransformations"]), "derived fields")
+    return parts
+
+
+def _terms(fields: Fields, terms: list[tuple[str, float, float]], intercept: float) -> tuple[float, list[float], list[float]]:
+    """Intercept, coefficients and exponents by position. An unknown input is 0.0, and so is each positive power of it."""
+    coefs, exponents = [0.0] * fields.width, [1.0] * fields.width
+    _need(len({name for name, _, _ in terms}) == len(terms), "terms of one input")
+    for name, coefficient, exponent in terms:
+        at = fields.input(name)
+        if at < fields.width:
+            coefs[at], exponents[at] = coefficient, exponent
+        else:
+            _need(exponent >= 0, "a negative power of 0")
+            intercept += coefficient if exponent == 0 else 0.0
+    return intercept, coefs, exponents
+
+
+# --- regression -----------------------------------------------------------------------------------------------------
+
+
+def _regression(e: Element, fields: Fields) -> Params:
+    parts = _model(e, ("regression",), "RegressionTable", attributes={"normalizationMethod", "modelType", "targetFieldName"})
+    table = _one(parts["RegressionTable"], "table")
+    links = {"none": "identity", "exp": "log", "logit": "logit"}
+    method = e.get("normalizationMethod", "none")
+    _need(method in links, method)
+    terms = []
+    for t in _parts(table, "NumericPredictor", attributes={"intercept"})["NumericPredictor"]:
+        _parts(t, attributes={"name", "exponent", "coefficient"})
+        terms.append((t.get("name"), _number(t.get("coefficient")), _number(t.get("exponent"), 1.0)))
+    intercept, coefs, exponents = _terms(fields, terms, _number(table.get("intercept")))
+    if links[method] == "identity" and all(x == 1 for x in exponents):
+        return {"form": "linear", "intercept": intercept, "coefs": coefs, "link": "identity"}
+    return {"form": "glm", "intercept": intercept, "coefs": coefs, "exponents": exponents, "link": links[method]}
+
+
+def _general_regression(e: Element, fields: Fields) -> Params:
+    parts = _model(
+        e, ("regression",), "ParameterList", "FactorList", "CovariateList", "PPMatrix", "ParamMatrix", "PCovMatrix",
+        attributes={"modelType", "linkFunction", "distribution", "distParameter", "targetVariableName", "modelDF"},
     )
-
-
-def _labels_column(doc: str) -> Column:
-    single, many = F.col(doc).getField("TreeModel"), F.col(doc).getField("MiningModel")
-    return F.coalesce(
-        F.when(single.isNotNull(), _labels(F.col(doc), single.getField("MiningSchema"))).otherwise(
-            _labels(F.col(doc), many.getField("MiningSchema"))
-        ),
-        F.array().cast("array<string>"),
-    )
-
-
-def _trees_params(text: str, doc: str, nodes: str, labels: str, trees: str) -> Column:
-    """PARAMS of a tree or an ensemble from its staged node arrays, labels and linked trees."""
-    single, many = F.col(doc).getField("TreeModel"), F.col(doc).getField("MiningModel")
-    function = F.when(single.isNotNull(), single.getField("_functionName")).otherwise(many.getField("_functionName"))
-    classes = function == "classification"
-    found = F.aggregate(nodes, F.lit(0), lambda s, one: s + F.size(one))
-    leaves_complete = F.forall(
-        trees,
-        lambda one: F.forall(
-            one,
-            lambda n: (n.getField("f") >= 0)
-            | F.when(
-                classes,
-                n.getField("score").isNotNull() & F.forall(n.getField("probs"), lambda q: q.isNotNull()),
-            ).otherwise(n.getField("score").try_cast("double").isNotNull()),
-        ),
-    )
-    usable = (
-        (F.size(nodes) > 0)
-        # Nodes below the declared depth would be missing here.
-        & (found == F.regexp_count(F.col(text), F.lit(r"<(\w+:)?Node\b")))
-        & F.forall(nodes, _binary)
-        & leaves_complete
-        & function.isin("regression", "classification")
-        & (~classes | (F.size(labels) > 0))
-        & (single.isNotNull() | (many.getField("Segmentation").getField("_multipleModelMethod") == "average"))
-    )
-    # The longest path visits one node per level; the largest id names the deepest level.
-    deepest = F.array_max(
-        F.flatten(F.transform(nodes, lambda one: F.transform(one, lambda n: n.getField("id"))))
-    )
-    return F.when(
-        usable,
-        params_struct(
-            form=F.when(single.isNotNull(), "tree").otherwise("forest"),
-            labels=F.when(classes, F.col(labels)),
-            depth=F.floor(F.log2(deepest.cast("double"))).cast("int"),
-            trees=F.col(trees),
-        ),
-    )
-
-
-# --- networks -----------------------------------------------------------------------------------------------------
-
-
-def _network(doc: Column, names: list[str]) -> Column:
-    model = doc.getField("NeuralNetwork")
-    layers, inputs = model.getField("NeuralLayer"), model.getField("NeuralInputs").getField("NeuralInput")
-    outputs = model.getField("NeuralOutputs").getField("NeuralOutput")
-
-    def below(depth: Column) -> Column:
-        """Ids a neuron of the layer may refer to, in the order of the values it gets."""
-        first = F.transform(
-            _positions(names),
-            lambda name: _first(
-                inputs, lambda i: i.getField("DerivedField").getField("FieldRef").getField("_field") == name
-            ).getField("_id"),
-        )
-        earlier = F.transform(F.get(layers, depth - 1).getField("Neuron"), lambda n: n.getField("_id"))
-        return F.when(depth == 0, first).otherwise(earlier)
-
-    def layer(one: Column, depth: Column) -> Column:
-        act = F.coalesce(one.getField("_activationFunction"), model.getField("_activationFunction"))
-        soft = one.getField("_normalizationMethod") == "softmax"
-        return F.struct(
-            let(
-                below(depth),
-                lambda ids: F.transform(
-                    one.getField("Neuron"),
-                    lambda n: F.transform(
-                        ids,
-                        lambda i: F.coalesce(
-                            _first(n.getField("Con"), lambda c: c.getField("_from") == i).getField("_weight"),
-                            F.lit(0.0),
-                        ),
-                    ),
-                ),
-            ).alias("w"),
-            F.transform(
-                one.getField("Neuron"), lambda n: F.coalesce(n.getField("_bias"), F.lit(0.0))
-            ).alias("b"),
-            F.when(F.coalesce(soft, F.lit(False)) & (act == "identity"), F.lit("softmax"))
-            .when(soft.isNull() & act.isin("identity", "logistic", "tanh", "rectifier"), act)
-            .alias("act"),
+    kind, link = e.get("modelType"), e.get("linkFunction", "identity")
+    _need(kind == "generalizedLinear" or kind in ("regression", "generalLinear") and link == "identity", f"model type {kind}")
+    _need(link in ("identity", "log", "logit", "inverse"), link)
+    _need(not any(len(f) for f in parts["FactorList"]), "factors")
+    betas: dict[str, float] = {}
+    for cell in _parts(_one(parts["ParamMatrix"], "parameters"), "PCell")["PCell"]:
+        _parts(cell, attributes={"parameterName", "beta", "df"})
+        _need(cell.get("parameterName") not in betas, "a parameter twice")
+        betas[cell.get("parameterName")] = _number(cell.get("beta"))
+    _need(bool(betas), "no parameters")
+    terms, used = [], set()
+    for matrix in parts["PPMatrix"]:
+        for cell in _parts(matrix, "PPCell")["PPCell"]:
+            _parts(cell, attributes={"value", "predictorName", "parameterName"})
+            _need(cell.get("parameterName") not in used, "an interaction")
+            used.add(cell.get("parameterName"))
+            terms.append((cell.get("predictorName"), betas.get(cell.get("parameterName"), 0.0), _number(cell.get("value"))))
+    intercept, coefs, exponents = _terms(fields, terms, sum(b for name, b in betas.items() if name not in used))
+    return {"form": "glm", "intercept": intercept, "coefs": coefs, "exponents": exponents, "link": link}
+
+
+# --- trees ----------------------------------------------------------------------------------------------------------
+
+
+_OPPOSITE = {
+    "lessOrEqual": "greaterThan",
+    "greaterThan": "lessOrEqual",
+    "lessThan": "greaterOrEqual",
+    "greaterOrEqual": "lessThan",
+}
+
+
+def _test(node: dict[str, list[Element]]) -> tuple[str, str, float] | None:
+    """Field, operator and value of a node's predicate; None for the one that is always true."""
+    simple = node["SimplePredicate"]
+    _need(len(simple) + len(node["True"]) == 1, "one predicate")
+    if not simple:
+        return None
+    _parts(simple[0], attributes={"field", "operator", "value"})
+    _need(simple[0].get("operator") in _OPPOSITE, "the operator")
+    return simple[0].get("field"), simple[0].get("operator"), _number(simple[0].get("value"))
+
+
+def _shares(counts: list[Element], labels: list[str]) -> list[float] | None:
+    """The share of each class."""
+    found = dict.fromkeys(labels, 0.0)
+    for c in counts:
+        _parts(c, attributes={"value", "recordCount", "confidence"})
+        _need(c.get("value") in found, "an undeclared class")
+        found[c.get("value")] += _number(c.get("recordCount"))
+    total = sum(found.values())
+    return [n / total for n in found.values()] if total > 0 else None
+
+
+def _nodes(root: Element, fields: Fields, labels: list[str]) -> tuple[list[Params], int]:
+    """The nodes of a tree, the root first, with positions for children; and its depth. Inner nodes have two children
+    of which one takes what the other does not."""
+    out: list[Params] = []
+    deepest = 0
+    # Each entry: the element with its parts, its level, and where its position is to be written.
+    waiting: list[tuple[Element, dict, int, Params | None, str]] = []
+
+    def read(e: Element) -> dict[str, list[Element]]:
+        return _parts(
+            e, "SimplePredicate", "True", "ScoreDistribution", "Node", attributes={"id", "score", "recordCount", "defaultChild"}
         )
 
-    built = F.transform(layers, layer)
-    # Outputs in the order of the last layer's neurons.
-    labels = F.transform(
-        F.get(layers, F.size(layers) - 1).getField("Neuron"),
-        lambda n: _first(outputs, lambda o: o.getField("_outputNeuron") == n.getField("_id"))
-        .getField("DerivedField")
-        .getField("NormDiscrete")
-        .getField("_value"),
-    )
-    usable = (
-        (F.size(layers) > 0)
-        & F.forall(built, lambda one: one.getField("act").isNotNull())
-        & F.forall(labels, lambda label: label.isNotNull())
+    parts = read(root)
+    _need(_test(parts) is None, "a test of the root")
+    waiting.append((root, parts, 0, None, ""))
+    while waiting:
+        e, parts, level, above, side = waiting.pop()
+        if above is not None:
+            above[side] = len(out)
+        deepest = max(deepest, level)
+        score, probs = e.get("score"), _shares(parts["ScoreDistribution"], labels) if labels else None
+        node: Params = {"f": -1, "thr": None, "strict": None, "l": None, "r": None, "score": score, "probs": probs}
+        out.append(node)
+        if not parts["Node"]:
+            _need(score is not None and (not labels or probs is not None), "a leaf without a value")
+            if not labels:
+                _number(score)
+            continue
+        _need(len(parts["Node"]) == 2, "two children")
+        kids = [(kid, read(kid)) for kid in parts["Node"]]
+        first, second = (_test(of) for _, of in kids)
+        _need(first is not None and (second is None or second == (first[0], _OPPOSITE[first[1]], first[2])), "opposite tests")
+        field, operator, value = first
+        node |= {"f": fields.input(field), "thr": value, "strict": operator in ("lessThan", "greaterOrEqual")}
+        sides = "lr" if operator in ("lessThan", "lessOrEqual") else "rl"
+        for side, (kid, of) in reversed(list(zip(sides, kids))):
+            waiting.append((kid, of, level + 1, node, side))
+    return out, deepest
+
+
+_TREE = {"splitCharacteristic", "missingValueStrategy", "missingValuePenalty", "noTrueChildStrategy"}
+
+
+def _trees(e: Element, fields: Fields) -> Params:
+    functions = ("regression", "classification")
+    if _tag(e) == "TreeModel":
+        parts = _model(e, functions, "Node", attributes=_TREE)
+        roots = [_one(parts["Node"], "root")]
+    else:
+        parts = _model(e, functions, "Segmentation")
+        inner = _one(parts["Segmentation"], "segmentation")
+        _need(inner.get("multipleModelMethod") == "average", "the ensemble rule")
+        roots = []
+        for segment in _parts(inner, "Segment", attributes={"multipleModelMethod"})["Segment"]:
+            own = _parts(segment, "True", "TreeModel", attributes={"id", "weight"})
+            _need(len(own["True"]) == 1 and _number(segment.get("weight"), 1.0) == 1, "a segment with a condition")
+            tree = _one(own["TreeModel"], "tree")
+            roots.append(_one(_model(tree, (e.get("functionName"),), "Node", attributes=_TREE)["Node"], "root"))
+        _need(bool(roots), "no trees")
+    labels = fields.labels(parts["MiningSchema"]) if e.get("functionName") == "classification" else []
+    _need(bool(labels) or e.get("functionName") == "regression", "no classes")
+    trees = [_nodes(root, fields, labels) for root in roots]
+    return {
+        "form": "tree" if _tag(e) == "TreeModel" else "forest",
+        "labels": labels or None,
+        "depth": max(depth for _, depth in trees),
+        "trees": [nodes for nodes, _ in trees],
+    }
+
+
+# --- networks -------------------------------------------------------------------------------------------------------
+
+
+def _network(e: Element, fields: Fields) -> Params:
+    parts = _model(
+        e, ("classification",), "NeuralInputs", "NeuralLayer", "NeuralOutputs",
+        attributes={"activationFunction", "normalizationMethod", "numberOfLayers"},
     )
-    return F.when(usable, params_struct(form=F.lit("network"), labels=labels, layers=built))
-
+    _need(e.get("normalizationMethod", "none") == "none", "normalization of all layers")
+    # Where the value of each neuron of the layer below is found; inputs nobody knows are 0.0 and have no place.
+    below: dict[str, int | None] = {}
+    for i in _parts(_one(parts["NeuralInputs"], "inputs"), "NeuralInput", attributes={"numberOfInputs"})["NeuralInput"]:
+        derived = _one(_parts(i, "DerivedField", attributes={"id"})["DerivedField"], "field")
+        ref = _one(_parts(derived, "FieldRef", attributes={"name", "optype", "dataType"})["FieldRef"], "field")
+        _parts(ref, attributes={"field"})
+        _need(derived.get("dataType", "double") == "double" and i.get("id") not in below, "an input")
+        at = fields.input(ref.get("field"))
+        _need(at == fields.width or at not in below.values(), "an input twice")
+        below[i.get("id")] = at if at < fields.width else None
+    width, layers = fields.width, []
+    _need(bool(parts["NeuralLayer"]), "no layers")
+    for layer in parts["NeuralLayer"]:
+        own = _parts(layer, "Neuron", attributes={"activationFunction", "normalizationMethod", "numberOfNeurons"})["Neuron"]
+        act = layer.get("activationFunction", e.get("activationFunction"))
+        if layer.get("normalizationMethod", "none") == "softmax":
+            _need(act == "identity", "softmax of an activation")
+            act = "softmax"
+        else:
+            _need(layer.get("normalizationMethod", "none") == "none" and act in ("identity", "logistic", "tanh", "rectifier"), "the activation")
+        weights, here = [], {}
+        for neuron in own:
+            row, seen = [0.0] * width, set()
+            for con in _parts(neuron, "Con", attributes={"id", "bias"})["Con"]:
+                _parts(con, attributes={"from", "weight"})
+                source = con.get("from")
+                _need(source in below and source not in seen, "a link to another layer, or twice")
+                seen.add(source)
+                weight = _number(con.get("weight"))
+                if below[source] is not None:
+                    row[below[source]] = weight
+            _need(neuron.get("id") not in here, "a neuron twice")
+            here[neuron.get("id")] = len(weights)
+            weights.append(row)
+        _need(bool(weights), "an empty layer")
+        layers.append({"w": weights, "b": [_number(n.get("bias"), 0.0) for n in own], "act": act})
+        below, width = here, len(weights)
+    labels: dict[str, str] = {}
+    for output in _parts(_one(parts["NeuralOutputs"], "outputs"), "NeuralOutput", attributes={"outputNeuron"} | {"numberOfOutputs"})["NeuralOutput"]:
+        derived = _one(_parts(output, "DerivedField", attributes={"outputNeuron"})["DerivedField"], "field")
+        norm = _one(_parts(derived, "NormDiscrete", attributes={"name", "optype", "dataType"})["NormDiscrete"], "class")
+        _parts(norm, attributes={"field", "value"})
+        _need(output.get("outputNeuron") in below and output.get("outputNeuron") not in labels, "an output")
+        labels[output.get("outputNeuron")] = norm.get("value")
+    _need(labels.keys() == below.keys() and None not in labels.values(), "a class for each neuron of the last layer")
+    return {"form": "network", "labels": [labels[n] for n in below], "layers": layers}
+
+
+# --- entry points ---------------------------------------------------------------------------------------------------
+
+
+_MODELS = {
+    "RegressionModel": _regression,
+    "GeneralRegressionModel": _general_regression,
+    "TreeModel": _trees,
+    "MiningModel": _trees,
+    "NeuralNetwork": _network,
+}
+
+
+def read_document(text: str | None, names: list[str]) -> Params | None:
+    """The fields of PARAMS for one XML document; None for no document and for one that cannot be held exactly."""
+    if not text:
+        return None
+    try:
+        root = ElementTree.fromstring(text)
+        _need(_tag(root) == "PMML", "the root")
+        parts = _parts(root, "Header", "MiningBuildTask", "DataDictionary", "TransformationDictionary", *_MODELS, attributes=set(root.attrib))
+        _need(not any(len(t) for t in parts["TransformationDictionary"]), "derived fields")
+        fields = Fields(parts["DataDictionary"], names)
+        model = _one([m for name in _MODELS for m in parts[name]], "model")
+        found = _MODELS[_tag(model)](model, fields)
+    except (ElementTree.ParseError, ValueError):
+        return None
+    return {name: found.get(name) for name in PARAM_FIELDS}
+
+
+def parse_document(models: DataFrame, text: str, names: list[str], out: str) -> DataFrame:
+    """`models` with the PARAMS value of the XML document in column `text`."""
+    ship_package(models.sparkSession)
+    kind = T.DataType.fromDDL(PARAMS)
+    arrow, order = to_arrow_type(kind), list(names)
 
-# --- entry points -------------------------------------------------------------------------------------------------
+    @F.arrow_udf(kind)
+    def parse(texts: pa.Array) -> pa.Array:
+        return pa.array([read_document(t, order) for t in texts.to_pylist()], arrow)
 
-
-@lru_cache(maxsize=64)
-def _columns(context: SparkContext, text: str, names: tuple[str, ...], out: str, depth: int) -> list[dict[str, Column]]:
-    """The columns of each parsing step. They are the same for every table, so a session builds them once."""
-    doc, nodes, labels, trees = f"{out}_doc", f"{out}_nodes", f"{out}_labels", f"{out}_trees"
-    roots = (
-        f"coalesce(CASE WHEN {doc}.TreeModel.Node IS NOT NULL THEN array({doc}.TreeModel.Node) END, "
-        f"transform({doc}.MiningModel.Segmentation.Segment, s -> s.TreeModel.Node))"
-    )
-    linked = F.transform(nodes, lambda one: _linked(one, list(names), F.col(labels))).cast(f"array<array<{NODE}>>")
-    column = F.col(doc)
-    params = (
-        F.when(column.getField("RegressionModel").isNotNull(), _regression(column, list(names)))
-        .when(column.getField("GeneralRegressionModel").isNotNull(), _general_regression(column, list(names)))
-        .when(column.getField("NeuralNetwork").isNotNull(), _network(column, list(names)))
-        .otherwise(_trees_params(text, doc, nodes, labels, trees))
-        .cast(PARAMS)
-    )
-    return [
-        {doc: F.from_xml(F.col(text), document_schema(depth))},
-        {
-            nodes: F.expr(f"transform({roots}, root -> {_flat_nodes('root', depth)})"),
-            labels: _labels_column(doc),
-        },
-        {trees: linked},
-        {out: params},
-    ]
-
-
-def parse_document(models: DataFrame, text: str, names: list[str], out: str, depth: int = MAX_DEPTH) -> DataFrame:
-    """`models` with the PARAMS value of the XML document in column `text`."""
-    steps = _columns(models.sparkSession.sparkContext, text, tuple(names), out, depth)
-    read = models
-    for columns in steps:
-        read = read.withColumns(columns)
-    return read.drop(*[name for columns in steps[:-1] for name in columns])
+    return models.withColumn(out, parse(F.col(text)))
 
 
 def parse_layers(models: DataFrame, text: str, names: list[str], out: str) -> DataFrame:
     """`models` with the PARAMS value of a dense classifier given as JSON layers in column `text`.
 
-    ``{"layers": [{"w": [[...], ...], "b": [...], "act": "sigmoid"}, ...]}``: one row of weights and one bias per neuron.
+    ``{"layers": [{"w": [[...], ...], "b": [...], "act": "sigmoid"}, ...]}``: one row of weights and one bias per neuron, one weight
+    per neuron of the layer below or per input.
     """
     doc = f"{out}_doc"
     read = models.withColumn(doc, F.from_json(F.col(text), f"struct<layers:array<{LAYER}>>"))
     layers = F.col(doc).getField("layers")
     acts = ["identity", "logistic", "sigmoid", "tanh", "rectifier", "relu", "softmax"]
-    usable = (F.size(layers) > 0) & F.forall(
-        layers,
-        lambda one: one.getField("act").isin(acts)
-        & (F.size(one.getField("w")) > 0)
-        & (F.size(one.getField("w")) == F.size(one.getField("b"))),
-    )
+
+    def fits(at):
+        one = F.get(layers, at)
+        width = F.when(at == 0, F.lit(len(names))).otherwise(F.size(F.get(layers, at - 1).getField("b")))
+        return (
+            one.getField("act").isin(acts)
+            & (F.size(one.getField("w")) > 0)
+            & (F.size(one.getField("w")) == F.size(one.getField("b")))
+            & F.forall(one.getField("b"), lambda b: b.isNotNull())
+            & F.forall(one.getField("w"), lambda row: (F.size(row) == width) & F.forall(row, lambda w: w.isNotNull()))
+        )
+
+    usable = F.when(F.size(layers) > 0, F.forall(F.sequence(F.lit(0), F.greatest(F.size(layers) - 1, F.lit(0))), fits))
     return read.withColumn(
         out, F.when(usable, params_struct(form=F.lit("dense"), layers=layers)).cast(PARAMS)
     ).drop(doc)

@@ -10,7 +10,7 @@ from modelstream.functions import compiled, remote, scoring
 from modelstream.operators.external import batch_score
 from modelstream.plans import fixtures as fx
 from modelstream.plans.bindings import LINE_COLUMNS, LINE_NAMES
-from modelstream.sources.documents import parse_document
+from modelstream.sources.documents import parse_document, parse_layers
 from modelstream.sources.models import load_model
 
 ROWS = [
@@ -138,13 +138,60 @@ def deep_tree(levels):
 
 
 def test_documents_that_cannot_be_held_exactly_are_rejected(spark):
-    one_sided = fx.TREE_REGRESSION.replace('operator="greaterThan" value="30000.0"', 'operator="greaterThan" value="31000.0"')
-    twice = fx.GLM_LOG.replace('predictorName="discount" parameterName="p3"', 'predictorName="quantity" parameterName="p3"')
-    texts = [deep_tree(12), deep_tree(13), one_sided, twice, fx.FOREST.replace("average", "majorityVote")]
-    frame = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, text string")
+    def changed(document, old, new):
+        assert old in document
+        return document.replace(old, new, 1)
+
+    predictor = '<NumericPredictor name="quantity"'
+    neuron = '<Neuron id="2/1"'
+    network = fx.network_document([([[1.0, 2.0]], [0.0]), ([[1.0], [2.0]], [0.0, 0.0])], ["quantity", "discount"], ["4", "9"])
+    texts = [
+        changed(fx.TREE_REGRESSION, 'operator="greaterThan" value="30000.0"', 'operator="greaterThan" value="31000.0"'),
+        changed(fx.GLM_LOG, 'predictorName="discount" parameterName="p3"', 'predictorName="quantity" parameterName="p3"'),
+        changed(fx.FOREST, "average", "majorityVote"),
+        changed(fx.LINEAR, predictor, f'<PredictorTerm coefficient="2"><FieldRef field="tax"/></PredictorTerm>{predictor}'),
+        changed(fx.LINEAR, predictor, f'<CategoricalPredictor name="colour" value="red" coefficient="2"/>{predictor}'),
+        changed(fx.LINEAR, "<RegressionTable", '<Targets><Target field="grade" rescaleFactor="2"/></Targets><RegressionTable'),
+        changed(fx.LINEAR, '<MiningField name="tax"', '<MiningField name="tax" missingValueReplacement="3"'),
+        changed(fx.FOREST, "<True/><TreeModel", '<SimplePredicate field="size" operator="lessThan" value="3"/><TreeModel'),
+        changed(network, '<FieldRef field="discount"/>', '<NormContinuous field="discount"><LinearNorm orig="0" norm="1"/></NormContinuous>'),
+        changed(network, '<Con from="1/1"', '<Con from="0/1"'),
+        changed(network, neuron, f'<Neuron id="2/0" bias="1"><Con from="1/1" weight="1"/></Neuron>{neuron}'),
+        fx.LINEAR[:-5],
+        "",
+    ]
+    good = [fx.LINEAR, fx.GLM_LOG, network, deep_tree(12), deep_tree(13), deep_tree(200)]
+    frame = spark.createDataFrame([(i, t) for i, t in enumerate(texts + good)], "i int, text string")
     rows = parse_document(frame, "text", ["x", "quantity", "extended price"], "p").orderBy("i").collect()
-    assert [r.p is not None for r in rows] == [True, False, False, False, False]
-    assert rows[0].p.depth == 12
+    assert [r.p is not None for r in rows] == [False] * len(texts) + [True] * len(good)
+    assert [r.p.depth for r in rows[-3:]] == [12, 13, 200]
+
+
+def test_layers_of_other_widths_are_rejected(spark):
+    layer = lambda w: fx.layers_document([(w, [0.0] * len(w), "relu")])
+    texts = [layer([[1.0, 2.0]]), layer([[1.0]]), layer([[1.0, 2.0, 3.0]]), layer([[1.0, 2.0], [1.0]])]
+    frame = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, text string")
+    rows = parse_layers(frame, "text", ["a", "b"], "p").orderBy("i").collect()
+    assert [r.p is not None for r in rows] == [True, False, False, False]
+
+
+def test_a_deep_tree_scores_alike_both_ways(spark):
+    document = deep_tree(20)
+    rows = spark.createDataFrame([(i, i - 0.5) for i in range(24)], "i int, x double")
+    want = [1.0 if x <= 0 else 2.0 for x in (i - 0.5 for i in range(24))]
+    held = parse_document(spark.createDataFrame([(document,)], "text string"), "text", ["x"], "p").select("p")
+    slow = rows.crossJoin(F.broadcast(held)).select("i", scoring.score([F.col("x")], F.col("p"), ["tree"]).alias("s")).orderBy("i").collect()
+    fast = compiled.with_score(rows, ["x"], load_model(spark, document, ["x"])).orderBy("i").collect()
+    assert [r.s for r in slow] == [r.result for r in fast] == want
+
+
+def test_zero_coefficients_and_text_labels_score_alike_both_ways(spark):
+    rows = spark.createDataFrame([(0, float("nan"), 1.0)], "i int, quantity double, x double")
+    linear = {"form": "linear", "intercept": 1.0, "coefs": [0.0, 2.0]}
+    assert math.isnan(compiled.with_score(rows, ["quantity", "x"], linear).first().result)
+    classes = fx.tree_document(fx.split("x", "lessOrEqual", 0.0, fx.leaf("low", clow=1), fx.leaf("high", chigh=1)), ["x"], ["low", "high"])
+    params = load_model(spark, classes, ["x"])
+    assert params["labels"] is not None and compiled.with_score(rows, ["x"], params).first().result is None
 
 
 def test_external_scorer(spark):
