@@ -114,12 +114,13 @@ def save_models(models: DataFrame, path: str | None = None) -> DataFrame:
     return spark.read.schema(models.drop("model").schema).parquet(path)
 
 
-def latest_models(models: DataFrame) -> DataFrame:
-    """The last model of each type, by time and then arrival. Partial maxima are taken before the shuffle."""
+def latest_models(models: DataFrame, order: tuple[str, ...] = ("ts", "seq")) -> DataFrame:
+    """The last model of each type, by time and then arrival unless another `order` is named. Partial maxima are taken before
+    the shuffle."""
     packed = F.struct(*[F.col(c) for c in models.columns])
     return (
         models.groupBy("data_type")
-        .agg(F.max_by(packed, F.struct("ts", "seq")).alias("m"))
+        .agg(F.max_by(packed, F.struct(*order)).alias("m"))
         .select("m.*")
     )
 

@@ -40,12 +40,15 @@ class Registry:
         return spark.read.schema(self.schema).parquet(f"{self.path}/{BATCH}={batch_id}")
 
     def snapshot(self, spark: SparkSession, before: int | None = None, policy: Policy = Policy()) -> DataFrame:
-        """The models in force, of the updates of the batches before `before` (all of them without it)."""
+        """The models in force, of the updates of the batches before `before` (all of them without it).
+
+        A model applies from its arrival on: a later batch replaces an earlier one, whatever the times in it.
+        """
         schema = T.StructType([*self.schema.fields, T.StructField(BATCH, T.LongType())])
         rows = spark.read.schema(schema).parquet(self.path)
         if before is not None:
             rows = rows.filter(F.col(BATCH) < before)
-        return latest_models(in_force(rows.drop(BATCH), policy))
+        return latest_models(in_force(rows, policy), (BATCH, "ts", "seq")).drop(BATCH)
 
     def compact(self, spark: SparkSession, target: str, policy: Policy = Policy()) -> Registry:
         """The snapshot as a new registry at `target`: one row per type instead of every update."""

@@ -98,6 +98,19 @@ def test_bad_model_in_a_stream(spark, folder, run):
         assert run(spark, feed, policy) == {1: ("good", 2.0), 2: second, 3: second}
 
 
+@pytest.mark.parametrize("run", JOBS[:2])
+def test_a_late_model_applies_from_its_arrival_on(spark, folder, run):
+    feed = Feed(spark, folder)
+    feed.models(("ten", "a", 10, 1.0))
+    feed.records((1, "a", 11, 0.0, 1.0))
+    run(spark, feed)
+    feed.models(("late", "a", 5, 2.0))
+    feed.records((2, "a", 12, 0.0, 1.0))
+    run(spark, feed)
+    feed.records((3, "a", 13, 0.0, 1.0))
+    assert run(spark, feed) == {1: ("ten", 1.0), 2: ("late", 2.0), 3: ("late", 2.0)}
+
+
 @pytest.mark.parametrize("run", JOBS[:2])
 def test_models_first(spark, folder, run):
     feed = Feed(spark, folder)
