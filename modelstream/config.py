@@ -66,11 +66,13 @@ def session(app: str = "modelstream", master: str | None = None, **conf: str) ->
 def work_folder(spark: SparkSession, purpose: str) -> str:
     """A new folder for `purpose` under the cluster's shared checkpoint folder.
 
-    The shared folder is the session's ``spark.checkpoint.dir``. Only where neither the setting nor a checkpoint
-    folder exists (tests on one machine) a temporary folder is made and set.
+    The shared folder is the session's ``spark.checkpoint.dir``. Where neither the setting nor a checkpoint folder exists,
+    a session on one machine makes and sets a temporary folder; on a cluster, where tasks share no local folder, that is an error.
     """
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="modelstream-")
         spark.sparkContext.setCheckpointDir(root)
     return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
