@@ -5,7 +5,9 @@
 2. Inverted lists of the retained hashes give overlaps. Two sets at the threshold share three quarters of their sketches,
    less a few standard deviations where a sketch is not the whole set (`least_overlap`), so they share one of the rarest
    retained hashes of either, and only these are listed, rarest first by their counts over all classes. A passage that many
-   documents share therefore makes no long list, unless it is most of the document.
+   documents share therefore makes no long list, unless it is most of the document. The place of a hash in that order bounds
+   the overlap of two whole sets that meet there first (`may_reach`): copies that differ too much to link leave the long
+   lists of their common text before anything is compared.
 3. Within a long list nothing is paired with everything. Rounds compare each class with the few hubs of its list; what is
    linked is contracted, the hubs leave the list, and a list ends when its classes are one component. Short lists are compared
    class by class. A group of n near copies costs about n comparisons; later rounds take more hubs, for lists whose classes share
@@ -126,6 +128,33 @@ def least_overlap(n: Column) -> Column:
     return F.greatest(F.lit(1), F.ceil(0.75 * kept - SURE * spread - 1e-9)).cast("int")
 
 
+def may_reach(n: Column, rest: Column, other: Column) -> Column:
+    """Whether a set of `n`, of which `rest` are left from its first hash in common on, can be linked with a set of `other`.
+
+    Everything before that hash is in one of the sets only, so at most `rest` are common. A pair that meets at several hashes
+    is judged rightly at the first.
+    """
+    return 7 * rest >= 3 * (n + other)
+
+
+def in_reach(lists: DataFrame) -> DataFrame:
+    """The rows of the lists (value, n_shingles, rest) without those that no size in their list lets reach the threshold.
+
+    Sets beyond a sketch have places in their sketch only, which bound nothing; they stay, and so does what may link with them.
+    """
+    whole = F.col("n_shingles") <= SKETCH
+    sizes = lists.groupBy("value").agg(
+        F.min(F.when(whole, F.col("n_shingles"))).alias("least_whole"),
+        F.min(F.when(~whole, F.col("n_shingles"))).alias("least_cut"),
+    )
+    stays = (
+        ~whole
+        | may_reach(F.col("n_shingles"), F.col("rest"), F.col("least_whole"))
+        | F.coalesce(4 * F.col("n_shingles") >= 3 * F.col("least_cut"), F.lit(False))
+    )
+    return lists.join(sizes, "value").filter(stays).drop("least_whole", "least_cut")
+
+
 def link_pairs(pairs: DataFrame, sketches: DataFrame, full: DataFrame) -> DataFrame:
     """Of the pairs of keys (a, b), those whose full sets are at least 0.75 similar."""
     one = sketches.select(F.col("key").alias("a"), F.col("sketch").alias("sa"), F.col("n_shingles").alias("na"))
@@ -176,6 +205,18 @@ def components(edges: DataFrame, purpose: str) -> DataFrame:
             return labels
 
 
+def merged(label: DataFrame, links: DataFrame) -> DataFrame:
+    """The labels (key, label) after the links of keys (a, b): only the groups that the links join are looked at."""
+    one = label.select(F.col("key").alias("a"), F.col("label").alias("la"))
+    two = label.select(F.col("key").alias("b"), F.col("label").alias("lb"))
+    joined = links.join(one, "a").join(two, "b").filter("la <> lb").select(F.col("la").alias("a"), F.col("lb").alias("b"))
+    joined = common.stored(joined.distinct(), "near-joined")
+    if joined.isEmpty():
+        return label
+    group = components(joined, "near-groups").select(F.col("id").alias("label"), F.col("label").alias("to"))
+    return common.stored(label.join(group, "label", "left").select("key", F.coalesce("to", "label").alias("label")), "near-label")
+
+
 def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, text_key (hash of the text), key (digest of its set, null without words), n_shingles, component_id, kept of
     every row of `docs`.
@@ -207,16 +248,16 @@ def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     kept = F.least(F.col("n_shingles"), F.lit(SKETCH))
     # Hashes of one class alone are the rarest and make no list; of the others the rarest fill up the prefix.
     prefix = kept - least_overlap(F.col("n_shingles")) + 1 - (kept - F.size("shared"))
-    lists = common.stored(
+    listed = (
         values.join(counts, "value")
         .groupBy("key")
         .agg(F.sort_array(F.collect_list(F.struct("df", "value"))).alias("shared"))
         .join(sketches.select("key", "n_shingles", "bits"), "key")
         .filter(prefix > 0)
-        .select("key", "n_shingles", "bits", F.size("shared").alias("n_shared"), F.explode(F.slice("shared", F.lit(1), prefix.cast("int"))).alias("x"))
-        .select("key", F.col("x.value").alias("value"), "n_shingles", "n_shared", "bits"),
-        "near-lists",
+        .select("key", "n_shingles", "bits", F.size("shared").alias("n_shared"), F.posexplode(F.slice("shared", F.lit(1), prefix.cast("int"))).alias("at", "x"))
+        .select("key", F.col("x.value").alias("value"), "n_shingles", "n_shared", (F.col("n_shared") - F.col("at")).alias("rest"), "bits")
     )
+    lists = common.stored(in_reach(common.stored(listed, "near-listed")), "near-lists")
     wanted = sketches.join(lists.select("key").distinct(), "key", "left_semi")
     first = common.stored(wanted.select("doc_id").distinct(), "near-first")
     if first.count() <= BROADCAST_IDS:
@@ -231,7 +272,6 @@ def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     )
     wanted = common.stored(wanted.select("key", "n_shingles", "sketch"), "near-wanted")
     label = wanted.select("key", F.col("key").alias("label"))
-    edges: DataFrame | None = None
     turn = 0
     while True:
         named = lists.join(label, "key")
@@ -255,14 +295,14 @@ def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         is_hub = (F.col("n") <= SHORT_LIST) | (F.col("key") == F.col("first")) | (share < F.lit(float(HUBS * GROWTH**turn if turn else 0)) / F.col("n"))
         named = named.withColumn("is_hub", is_hub)
         hubs = named.filter("is_hub").select(
-            "value", F.col("key").alias("hub"), F.col("label").alias("hub_label"), F.col("n_shingles").alias("hub_size"), F.col("n_shared").alias("hub_shared"), F.col("bits").alias("hub_bits")
+            "value", F.col("key").alias("hub"), F.col("label").alias("hub_label"), F.col("n_shingles").alias("hub_size"), F.col("rest").alias("hub_rest"), F.col("bits").alias("hub_bits")
         )
         near_size = 100 * F.least("n_shingles", "hub_size") >= 75 * F.greatest("n_shingles", "hub_size")
-        # Bounds of the intersection: without what is in no other class (of whole sets), without what the bitmaps tell apart.
-        alone = F.when(F.greatest("n_shingles", "hub_size") > SKETCH, F.least("n_shingles", "hub_size")).otherwise(F.least("n_shared", "hub_shared"))
+        # Bounds of the intersection: without what comes before the hash (of whole sets), without what the bitmaps tell apart.
+        cut = F.greatest("n_shingles", "hub_size") > SKETCH
+        meet = cut | may_reach(F.col("n_shingles"), F.least("rest", "hub_rest"), F.col("hub_size"))
         apart = F.least(F.col("n_shingles") - missing("bits", "hub_bits"), F.col("hub_size") - missing("hub_bits", "bits"))
-        most = F.least(alone, apart)
-        possible = 100 * most >= 75 * (F.col("n_shingles") + F.col("hub_size") - most)
+        possible = meet & may_reach(F.col("n_shingles"), apart, F.col("hub_size"))
         pairs = (
             named.join(hubs, "value")
             .filter((F.col("label") != F.col("hub_label")) & near_size & possible & (~F.col("is_hub") | (F.col("key") < F.col("hub"))))
@@ -270,10 +310,8 @@ def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             .distinct()
         )
         found = common.stored(link_pairs(pairs, wanted, full), "near-links")
-        edges = found if edges is None else edges.unionByName(found)
-        lists = named.filter("not is_hub").select("key", "value", "n_shingles", "n_shared", "bits")
-        group = components(edges, "near-groups").select(F.col("id").alias("key"), F.col("label").alias("to"))
-        label = wanted.select("key").join(group, "key", "left").select("key", F.coalesce("to", "key").alias("label"))
+        lists = named.filter("not is_hub").select("key", "value", "n_shingles", "n_shared", "rest", "bits")
+        label = merged(label, found)
         turn += 1
     named = classes.join(label, "key", "left").select("key", "doc_id", F.coalesce("label", "key").alias("label"))
     lowest = named.groupBy("label").agg(F.min("doc_id").alias("component_id"))
