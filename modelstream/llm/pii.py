@@ -11,7 +11,7 @@ from __future__ import annotations
 import hashlib
 import re
 import unicodedata
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -35,20 +35,24 @@ ALIKE = str.maketrans(
 )
 HIDDEN = "­​‌‍⁠﻿"
 DIGITS = {w: str(i) for i, w in enumerate("zero one two three four five six seven eight nine".split())}
-_DIGIT = "(?:" + "|".join(DIGITS) + ")"
+# Letters in either case, but no others that Unicode folds to them.
+_DIGIT = "(?a:" + "|".join(DIGITS) + ")"
 
-# What may need rewriting: characters of the listed kinds, bracketed or spaced signs, two spelled digits in a row.
+# What is rewritten: characters of the listed kinds, and signs and digits in words (`TOKEN`).
 SUSPECT = re.compile(
     "[" + "".join(map(chr, ALIKE)) + HIDDEN + "²³¹⁰-⁹₀-₉①-⑨！-～\U0001d400-\U0001d7ff]"
 )
-SIGNS = re.compile(r"[\[({<]\s*(?:at|dot|punto|point|punkt|arroba)\s*[\])}>]|\sdot\s|\bat\b.{1,40}\bdot\b", re.I)
-SPELLED = re.compile(rf"\b{_DIGIT}(?:[\s,-]+{_DIGIT}){{2,}}\b", re.I)
+# Every find of `TOKEN` holds one of these, the second in lower case; both are searched much faster.
+SIGNS = re.compile(r"[\[({<]\s*(?:at|arroba|dot|punto|point|punkt)|\s(?:at|dot)\s", re.I)
+SPELLED = re.compile("|".join(DIGITS))
 
-_OPEN, _CLOSE = r"\s*[\[({<]\s*", r"\s*[\])}>]\s*"
+# White space before a bracket is taken from its beginning on, so a long run of it is read once.
+_OPEN, _CLOSE = r"(?:(?<!\s)\s+)?[\[({<]\s*", r"\s*[\])}>]\s*"
 TOKEN = re.compile(
+    r"(?=[\s\[({<]|\b[zotfsenp])(?:"
     rf"(?P<at>{_OPEN}(?:at|arroba){_CLOSE}|(?<=[A-Za-z0-9_%+-])\s+at\s+(?=[A-Za-z0-9-]+(?:\s+dot\s+|{_OPEN}(?:dot|punto|point|punkt){_CLOSE}|\.)[A-Za-z0-9]))"
     rf"|(?P<dot>{_OPEN}(?:dot|punto|point|punkt){_CLOSE}|(?<=[A-Za-z0-9])\s+dot\s+(?=[A-Za-z0-9]))"
-    rf"|(?P<digits>\b(?:plus\s+)?{_DIGIT}(?:[\s,-]+{_DIGIT})*\b)",
+    rf"|(?P<digits>\b(?:plus\s+)?{_DIGIT}(?:[\s,-]+{_DIGIT})*\b))",
     re.I,
 )
 _ONE = re.compile(_DIGIT, re.I)
@@ -85,8 +89,10 @@ def find(text: str) -> list[tuple[str, int, int]]:
     return out
 
 
-def plain_characters(text: str) -> tuple[str, list[int], list[int]]:
+def plain_characters(text: str) -> tuple[str, Sequence[int], Sequence[int]]:
     """Look-alikes replaced and hidden characters dropped; the source start and end of each character written."""
+    if text.isascii() or not SUSPECT.search(text):
+        return text, range(len(text)), range(1, len(text) + 1)
     out, start, end = [], [], []
     for i, c in enumerate(text):
         if c < "\u0080":
@@ -105,7 +111,7 @@ def plain_characters(text: str) -> tuple[str, list[int], list[int]]:
     return "".join(out), start, end
 
 
-def rewrite(text: str) -> tuple[str, list[int], list[int]]:
+def rewrite(text: str) -> tuple[str, Sequence[int], Sequence[int]]:
     """`text` without disguises, and the source start and end of every character of it."""
     text, start, end = plain_characters(text)
     out, low, high, at = [], [], [], 0
@@ -121,7 +127,13 @@ def rewrite(text: str) -> tuple[str, list[int], list[int]]:
         low.extend(start[a:b])
         high.extend(end[a:b])
 
-    for m in TOKEN.finditer(text):
+    for m in TOKEN.finditer(text) if SIGNS.search(text) or SPELLED.search(text.lower()) else ():
+        words, plus = [], False
+        if m["digits"] is not None:
+            words = list(_ONE.finditer(text, m.start(), m.end()))
+            plus = m.group()[:4].lower() == "plus"
+            if len(words) < 2 and not plus and not _beside_digit(text, m.start(), m.end()):
+                continue
         copy(at, m.start())
         at = m.end()
         if m["at"] is not None:
@@ -129,15 +141,12 @@ def rewrite(text: str) -> tuple[str, list[int], list[int]]:
         elif m["dot"] is not None:
             write(".", m.start(), m.end())
         else:
-            words = list(_ONE.finditer(text, m.start(), m.end()))
-            plus = m.group()[:4].lower() == "plus"
-            if len(words) < 2 and not plus and not _beside_digit(text, m.start(), m.end()):
-                copy(m.start(), m.end())
-                continue
             if plus:
                 write("+", m.start(), m.start() + 4)
             for w in words:
                 write(DIGITS[w.group().lower()], w.start(), w.end())
+    if not at:
+        return text, start, end
     copy(at, len(text))
     return "".join(out), low, high
 
@@ -152,8 +161,9 @@ def scan(text: str) -> list[tuple[str, int, int, bool]]:
     """(kind, start, end, base) in code points: by kind, then start."""
     base = find(text)
     out = [(*b, True) for b in base]
-    if (not text.isascii() and SUSPECT.search(text)) or SIGNS.search(text) or SPELLED.search(text):
-        plain, low, high = rewrite(text)
+    plain, low, high = rewrite(text)
+    # What is rewritten becomes shorter or another character, so equal texts have no disguise.
+    if plain != text:
         for kind, a, b in find(plain):
             s, e = low[a], high[b - 1]
             if not any(k == kind and s < y and x < e for k, x, y in base):

@@ -188,6 +188,28 @@ def test_disguises(text, kind, source):
     assert (kind, source) in found
 
 
+@pytest.mark.parametrize("other", ["", "jo [at] mail [dot] example.com or ", "４２ "])
+@pytest.mark.parametrize(
+    "text, kind, source",
+    [
+        ("write john at example.com now", "email", "john at example.com"),
+        ("call +44 20 seven nine 46 0958 today", "phone", "+44 20 seven nine 46 0958"),
+        ("call +44 20 seven 946 0958 today", "phone", "+44 20 seven 946 0958"),
+    ],
+)
+def test_disguises_do_not_depend_on_other_text(other, text, kind, source):
+    found = [(k, (other + text)[s:e]) for k, s, e, _ in pii.scan(other + text)]
+    assert (kind, source) in found
+
+
+def test_letters_that_fold_to_others():
+    assert pii.scan("ſix 5 ſeven FIVE fıve 5 ſix seven eight nine") == []
+
+
+def test_long_white_space_is_read_once():
+    assert pii.scan("a" + " " * 300_000 + "b" + "\n" * 300_000 + "jo at x.org")[0][0] == "email"
+
+
 def test_plain_prose_has_no_personal_data():
     assert pii.scan("We met at noon, one of two at the dot. Zero risk at all, über café.") == []
 
