@@ -226,6 +226,11 @@ def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     there is none; a row with a null id is kept only then. Repeated rows are equal sets and get equal answers; the same id with
     different texts are different documents. Empty input gives an empty result.
     """
+    return labelled_classes(docs, id_col, text_col).drop("label")
+
+
+def labelled_classes(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """`near_classes` with the label of each row's group, one of its keys; null without words."""
     docs = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     rows = common.stored(
         docs.select("doc_id", "text", F.xxhash64("text").alias("text_key")).mapInArrow(
@@ -315,21 +320,26 @@ def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         turn += 1
     named = classes.join(label, "key", "left").select("key", "doc_id", F.coalesce("label", "key").alias("label"))
     lowest = named.groupBy("label").agg(F.min("doc_id").alias("component_id"))
-    final = named.join(lowest, "label").select("key", "component_id", F.lit(True).alias("in_class"))
+    final = named.join(lowest, "label").select("key", "label", "component_id", F.lit(True).alias("in_class"))
     component = F.when(F.col("in_class"), F.col("component_id")).otherwise(F.col("doc_id"))
     return rows.select("doc_id", "text_key", "key", "n_shingles").join(final, "key", "left").select(
-        "doc_id", "text_key", "key", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept")
+        "doc_id", "text_key", "key", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"), "label"
     )
 
 
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of `docs` that `near_classes` keeps, with all their columns.
+    """One row of each group of `near_classes`, with all its columns.
 
-    Rows with equal id and equal set are one document, of which one row stays. Rows without an id are kept where their
-    group has no id at all.
+    It is one with the smallest id; of several with it, or of a group without ids, that with the smallest key and text
+    hash. Texts without words are in no group: of those with the same id, or without one, one row stays.
     """
-    kept = near_classes(docs, id_col, text_col).filter("kept")
-    keep = kept.groupBy("doc_id", "key").agg(F.min("text_key").alias("text_key")).select("doc_id", "text_key").distinct()
+    kept = labelled_classes(docs, id_col, text_col).filter("kept")
+    # The rows of a group that are kept have one id, or none.
+    keep = (
+        kept.groupBy("label", F.when(F.col("label").isNull(), F.col("doc_id")).alias("alone"))
+        .agg(F.min(F.struct("doc_id", "key", "text_key")).alias("first"))
+        .select("first.doc_id", "first.text_key")
+    )
     row = docs.select(
         F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
         F.col(f"`{id_col}`").cast("bigint").alias("id"),

@@ -129,6 +129,18 @@ def test_repeated_rows_and_null_ids(spark):
     assert near_dedup.one_of_each(frame).count() == 3
 
 
+def test_one_of_each_near_copy_without_or_with_repeated_ids(spark):
+    one, two, three = (" ".join(f"{c}{i}" for i in range(60)) for c in "xyz")
+    rows = [(None, f"{one} a"), (None, f"{one} b"), (None, f"{one} c"), (None, f"{one} c")]
+    rows += [(7, f"{two} a"), (7, f"{two} b"), (9, f"{two} c"), (None, f"{two} d"), (7, f"{three} a"), (None, f"{three} b")]
+    rows += [(None, "alone"), (3, ""), (4, None)]
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string")
+    found = [(r.doc_id, r.text) for r in near_dedup.one_of_each(frame).collect()]
+    assert set(found) <= set(rows)
+    groups = sorted((str(i), t[:2] if t else t or "") for i, t in found)
+    assert groups == sorted([("None", "x0"), ("7", "y0"), ("7", "z0"), ("None", "al"), ("3", ""), ("4", "")])
+
+
 def test_quality_model_learns_and_holds_out(spark):
     rng = random.Random(1)
     rows, labels = [], []
