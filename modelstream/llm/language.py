@@ -21,13 +21,17 @@ from pyspark.sql import functions as F
 from modelstream.llm import common, linear
 
 BITS = 16
-# Texts of one language the model is fitted on, and languages it can tell, at most.
+# Texts of one language the model is fitted on, at most, and of all languages: more than 200 share them, with no fewer than
+# `LEAST` each.
 SAMPLE = 1500
-LANGUAGES = 200
+EXAMPLES = 300_000
+LEAST = 20
 EPOCHS = 2
 SCALE = 4.0
 # Rows counted together in the pass for document frequencies.
 COUNTED = 128
+# Characters times languages that a prediction looks at together.
+CELLS = 1 << 22
 
 
 @functools.lru_cache(maxsize=1)
@@ -137,8 +141,10 @@ def _fit(idf):
             (np.asarray(i, np.int64), SCALE * np.asarray(v, np.float64) * scale[i], names.index(y))
             for i, v, y in zip(part["index"], part["value"], part["lang"])
         ]
-        weights = linear.ftrl([e for k, e in enumerate(examples) if k % 5], 1 << BITS, len(names), EPOCHS)
-        kept = [e for k, e in enumerate(examples) if not k % 5]
+        # A fifth is kept for the temperature, but not of a language that nothing would be learned of.
+        told = {y for k, (_, _, y) in enumerate(examples) if k % 5}
+        weights = linear.ftrl([e for k, e in enumerate(examples) if k % 5 or e[2] not in told], 1 << BITS, len(names), EPOCHS)
+        kept = [e for k, e in enumerate(examples) if not k % 5 and e[2] in told]
         logits = np.array([v @ weights[i] + weights[-1] for i, v, _ in kept])
         t = temperature(logits, np.array([y for _, _, y in kept])) if len(names) > 1 else 1.0
         yield pd.DataFrame({"names": [json.dumps(names)], "temperature": [t], "weights": [weights.astype(np.float32).tobytes()]})
@@ -162,14 +168,21 @@ def train(docs: DataFrame, id_col: str, text_col: str, lang_col: str, most: int)
     if not total:
         return [], np.zeros((1, 0), np.float32), 1.0
     idf = np.log((1 + total) / (1 + df)) + 1
-    per = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang").limit(LANGUAGES)
-    # The rows of a language with the smallest hashes of their ids: `most` of them, up to the evenness of the hash.
     place = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 40))
-    sample = rows.join(F.broadcast(per), "lang").filter(place < F.lit(float(1 << 40)) * most / F.col("n"))
+    per = common.stored(rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n"), F.min(place).alias("least")), "language-counts")
+    # The rows of a language with the smallest hashes of their ids: `most` of them, or the language's share, up to the
+    # evenness of the hash.
+    share = min(most, max(LEAST, EXAMPLES // per.count()))
+    bound = F.lit(float(1 << 40)) * share / F.col("n")
+    sample = rows.join(F.broadcast(per), "lang").filter(place < bound).select("doc_id", "lang", "text")
+    # Of a language whose few ids all have larger hashes one row is taken.
+    missed = per.filter(F.col("least") >= bound)
+    if not missed.isEmpty():
+        one = rows.join(F.broadcast(missed), "lang").filter(place == F.col("least")).groupBy("lang")
+        sample = sample.unionByName(one.agg(F.min("doc_id").alias("doc_id"), F.min("text").alias("text")))
     shared = spark.sparkContext.broadcast(idf)
     fitted = (
-        sample.select("doc_id", "lang", "text")
-        .mapInArrow(_examples, "doc_id bigint, lang string, index array<int>, value array<float>")
+        sample.mapInArrow(_examples, "doc_id bigint, lang string, index array<int>, value array<float>")
         .repartition(1)
         .sortWithinPartitions(F.xxhash64("doc_id", F.lit(7)), "doc_id", "lang", "index")
         .select("lang", "index", "value")
@@ -193,10 +206,14 @@ def _predict(model):
                 columns, first, has = grams(body, at)
                 sums = np.zeros((high - low, max(1, len(names))))
                 if names:
-                    part = weights[columns[0]]
-                    for c in columns[1:]:
-                        part += weights[c]
-                    z = (linear.segment_sums(part, first) / np.maximum(3 * np.diff(first), 1)[:, None] + weights[-1]) / t
+                    step = max(1, CELLS // max(1, len(columns[0])))
+                    for k in range(0, len(names), step):
+                        some = weights[:, k : k + step]
+                        part = some[columns[0]]
+                        for c in columns[1:]:
+                            part += some[c]
+                        sums[:, k : k + step] = linear.segment_sums(part, first)
+                    z = (sums / np.maximum(3 * np.diff(first), 1)[:, None] + weights[-1]) / t
                     z = np.exp(z - z.max(axis=1, keepdims=True))
                     sums = z / z.sum(axis=1, keepdims=True)
                 top = sums.argmax(axis=1)
@@ -216,8 +233,8 @@ def languages(
     """doc_id, held_out, lang_pred, score of every row.
 
     Only the text is looked at for a prediction. A null text or one without a letter is `und` with score 0, as is everything if
-    nothing could be learned. Rows without a language or an id are predicted, not learned from. Repeated rows are as
-    many examples. Of equal probabilities the first language in order is taken. Empty input gives an empty result.
+    nothing could be learned. Rows without a language or an id are predicted, not learned from. Every other language with
+    a row that is not held out is learned, from `most` rows at most. Repeated rows are as many examples. Of equal probabilities the first language in order is taken. Empty input gives an empty result.
     """
     model = docs.sparkSession.sparkContext.broadcast(train(docs, id_col, text_col, lang_col, most))
     slim = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text"))

@@ -2,6 +2,7 @@
 
 import itertools
 import random
+import zlib
 
 import brute
 import numpy as np
@@ -301,6 +302,24 @@ def test_language(spark):
     assert {r.lang_pred for r in language.languages(frame.withColumn("lang", frame.lang.substr(9, 1)).filter("false")).collect()} == set()
 
 
+def test_more_languages_than_200(spark):
+    rng = random.Random(7)
+    rows = [(i, "".join(chr(0x4E00 + 3 * (i % 230) + rng.randrange(3)) for _ in range(20)), f"l{i % 230:03}") for i in range(1380)]
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    found = language.languages(frame).collect()
+    learned = {rows[r.doc_id][2] for r in found if not r.held_out}
+    assert len(learned) > 220 and {r.lang_pred for r in found} == learned
+    tested = [r.lang_pred == rows[r.doc_id][2] for r in found if rows[r.doc_id][2] in learned]
+    assert sum(tested) >= 0.98 * len(tested)
+
+
+def test_languages_of_few_ids_are_learned(spark):
+    ids = [i for i in range(60) if zlib.crc32(str(i).encode()) % 3 != 1][:12]
+    rows = [(d, chr(0x4E00 + 9 * k) * 3 + chr(0x4E01 + 9 * k) * 3, f"l{k}") for k, d in enumerate(ids) for _ in range(40)]
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    assert {(r.doc_id, r.lang_pred) for r in language.languages(frame, most=1).collect()} == {(d, f"l{k}") for k, d in enumerate(ids)}
+
+
 def test_pipeline(spark, tmp_path):
     import corpus_pipeline
 
