@@ -3,7 +3,8 @@
 Two plans give the same rows:
 
 * ``broadcast``: the models' validity intervals, cut at the cells of a time grid, are broadcast and hashed on
-  (type, cell); the records are not shuffled. Chosen when the models' counted size allows it.
+  (type, cell); the models themselves are broadcast once each and fetched by type and time. The records are not shuffled.
+  Chosen when the counted size of both allows it; beyond that ``auto`` takes the other plan, ``broadcast`` alone is an error.
 * ``chunked``: records and models are shuffled once on (type, chunk of time), sorted, and the last model is filled
   forward; the model in force where a chunk begins is carried in. No type and no instant goes to a single task.
 """
@@ -15,7 +16,7 @@ from pyspark.sql import functions as F
 
 from modelstream.config import Limits
 from modelstream.plans import chunks
-from modelstream.plans.sizes import row_bytes
+from modelstream.plans.sizes import fits, measure, row_bytes
 
 MODEL = "model"
 
@@ -73,7 +74,7 @@ def _broadcast(
     def cell(point):
         return F.floor((point - F.lit(first)) / F.lit(width)).cast("bigint")
 
-    # Bytes of the side, and the most switches of one key in one cell.
+    # Bytes of the models, and the most switches of one key in one cell.
     crowd = (
         models.groupBy(key, cell(F.col(at)).alias("cell"))
         .agg(F.count(F.lit(1)).alias("rows"), F.sum(row_bytes(models)).alias("bytes"))
@@ -85,7 +86,7 @@ def _broadcast(
     # A model is in force until the next one; one that is replaced at its own point never is. The models are few here.
     until = F.lead(at).over(Window.partitionBy(key).orderBy(at, seq))
     last_cell = F.when(F.col("__until").isNull(), F.lit(cells)).otherwise(cell(F.col("__until") - F.lit(1)))
-    table = (
+    forced = (
         models.filter(F.col(key).isNotNull() & F.col(at).isNotNull())
         .select(
             F.col(key).alias("__key"),
@@ -94,8 +95,16 @@ def _broadcast(
             F.struct(*[F.col(f"`{c}`") for c in models.columns]).alias(MODEL),
         )
         .filter(F.col("__until").isNull() | (F.col("__until") > F.col("__from")))
-        .withColumn("__at_cell", F.explode(F.sequence(cell(F.col("__from")), last_cell)))
     )
+    # An interval is repeated for each of its cells, so it carries no model.
+    table = forced.select(
+        "__key", "__from", "__until", F.explode(F.sequence(cell(F.col("__from")), last_cell)).alias("__at_cell")
+    )
+    size = measure(table)
+    if not fits({"rows": size["rows"], "bytes": size["bytes"] + crowd["bytes"]}, limits):
+        return None
+    # Of one key and point one model is in force.
+    versions = forced.select(F.col("__key").alias("__of"), F.col("__from").alias("__since"), MODEL)
     record_cell = F.least(F.greatest(cell(F.col(at)), F.lit(-1)), F.lit(cells))
     meets = (
         (F.col(key) == F.col("__key"))
@@ -104,6 +113,8 @@ def _broadcast(
         & (F.col("__until").isNull() | (F.col(at) < F.col("__until")))
     )
     joined = records.withColumn("__cell", record_cell).join(F.broadcast(table), meets, how)
+    version = (F.col("__key") == F.col("__of")) & (F.col("__from") == F.col("__since"))
+    joined = joined.join(F.broadcast(versions), version, how)
     return joined.select(*[F.col(f"`{c}`") for c in records.columns], MODEL)
 
 

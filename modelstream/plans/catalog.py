@@ -61,8 +61,8 @@ QUERIES["serve_asof"] = QUERIES.pop("serve_asof_auto")
 
 @query
 def serve_asof_interval(spark: SparkSession, sf: str) -> DataFrame:
-    """Broadcast validity intervals: the records are not shuffled."""
-    return _results(_served(spark, sf, strategy="broadcast"))
+    """Broadcast validity intervals: the records are not shuffled. Models too large or crowded for it go by chunks."""
+    return _results(_served(spark, sf, strategy="auto"))
 
 
 @query

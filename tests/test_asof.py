@@ -91,6 +91,27 @@ def test_too_many_models_leave_the_broadcast_plan(spark):
     assert joined(spark, records, models, limits=limits) == brute_force(records, models)
 
 
+def test_intervals_are_counted_as_often_as_they_are_sent(spark):
+    # 21 models, the first of which is in force in all cells but those of the others.
+    models = [("long", "b", 0, 0)] + [(f"m{i}", "a", 10 * i, i) for i in range(1, 21)]
+    records = [(i, "ab"[i % 2], i) for i in range(250)]
+    assert joined(spark, records, models, strategy="broadcast", limits=Limits(broadcast_rows=60)) == brute_force(records, models)
+    with pytest.raises(ValueError):
+        joined(spark, records, models, strategy="broadcast", limits=Limits(broadcast_rows=25))
+    assert joined(spark, records, models, limits=Limits(broadcast_rows=25)) == brute_force(records, models)
+
+
+def test_registered_interval_query_serves_crowded_models(spark, monkeypatch):
+    from modelstream.plans import catalog
+
+    source = "/root/testdata/sf0.001"
+    copies = spark.range(100).withColumnRenamed("id", "__copy")
+    crowded = catalog.b.models(spark, source).crossJoin(copies).withColumn("seq", F.col("seq") * 100 + F.col("__copy")).drop("__copy")
+    monkeypatch.setattr(catalog.b, "models", lambda *_: crowded)
+    found = catalog.QUERIES["serve_asof_interval"](spark, source).collect()
+    assert found and sorted(found) == sorted(catalog.QUERIES["serve_asof_chunked"](spark, source).collect())
+
+
 def test_broadcast_plan_does_not_shuffle_records(spark):
     records = spark.range(1000).select(F.col("id").alias("record_id"), F.lit("a").alias("data_type"), F.col("id").alias("ts"))
     models = spark.createDataFrame([("m", "a", 5, 1)], MODELS)
