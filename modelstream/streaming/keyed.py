@@ -39,11 +39,13 @@ Model = tuple[Any, ...]
 def stream_rows(records: DataFrame, models: DataFrame, policy: Policy = Policy(), shards: int = 8) -> DataFrame:
     """Records (record_id, data_type, ts, features, optionally duration) and built models as one stream of rows.
 
-    Rows without a type are left out: they can meet no model.
+    Models without a type are left out: no record can meet them. So are records without one, unless bad input is marked:
+    then they go by the empty type, for which no state is ever kept.
     """
     took = F.col("duration") if "duration" in records.columns else F.lit(0.0)
     left = (
         in_force(models, policy)
+        .filter(F.length("data_type") > 0)
         .select(
             "data_type",
             F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard"),
@@ -57,7 +59,7 @@ def stream_rows(records: DataFrame, models: DataFrame, policy: Policy = Policy()
         )
     )
     right = records.select(
-        "data_type",
+        F.coalesce("data_type", F.lit("")).alias("data_type"),
         F.pmod(F.xxhash64("record_id"), F.lit(shards)).cast("int").alias("shard"),
         "ts",
         F.col("record_id").alias("seq"),
@@ -67,7 +69,9 @@ def stream_rows(records: DataFrame, models: DataFrame, policy: Policy = Policy()
         F.lit(None).cast("string").alias("name"),
         F.lit(None).cast("string").alias("params"),
     )
-    return left.unionByName(right).filter(F.length("data_type") > 0)
+    if policy.bad_input == "drop":
+        right = right.filter(F.length("data_type") > 0)
+    return left.unionByName(right)
 
 
 def meet(rows: pd.DataFrame, current: Model | None, order: str) -> tuple[pd.DataFrame, np.ndarray, list[Model | None]]:

@@ -6,7 +6,7 @@ from pyspark.sql import types as T
 
 from modelstream.operators.serve import Policy
 from modelstream.plans import replay
-from modelstream.schemas import NO_MODEL, ddl, linear_params
+from modelstream.schemas import BAD_INPUT, NO_MODEL, ddl, linear_params
 from modelstream.sources import sinks, tables
 from modelstream.streaming import batches, keyed, statistics
 
@@ -73,6 +73,16 @@ def run_arrivals(spark, feed, policy=Policy(), order="event_time"):
 JOBS = [run_keyed, run_arrivals, lambda *a, **k: run_keyed(*a, processor=True, **k)]
 
 
+@pytest.mark.parametrize("job", JOBS)
+@pytest.mark.parametrize("bad_input", ["drop", "mark"])
+def test_records_without_a_type(spark, folder, job, bad_input):
+    feed = Feed(spark, folder)
+    feed.models(("m", "a", 1, 10.0), ("none", "", 1, 1.0), ("null", None, 1, 1.0))
+    feed.records((1, "a", 5, 1.0, 0.0), (2, None, 5, 1.0, 0.0), (3, "", 5, 1.0, 0.0))
+    marked = {2: (BAD_INPUT, 0.0), 3: (BAD_INPUT, 0.0)} if bad_input == "mark" else {}
+    assert job(spark, feed, Policy(bad_input=bad_input)) == {1: ("m", 11.0), **marked}
+
+
 @pytest.mark.parametrize("run", JOBS)
 def test_models_outlive_a_restart(spark, folder, run):
     feed = Feed(spark, folder)
