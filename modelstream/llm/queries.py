@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from modelstream.llm import (
     chat_tree,
     decontaminate,
+    filter_audit,
     language,
     near_dedup,
     pii,
@@ -84,3 +85,11 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_language")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.languages(table(spark, sf_dir, "documents"))
+
+
+@query("op11_filter_audit")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.filter_interactions(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+ORACLE["op11_filter_audit"] = filter_audit.ORACLE
