@@ -18,6 +18,7 @@ from modelstream.llm import (
     secrets_scan,
     sentencepiece_nbest,
     substring_dedup,
+    warc,
 )
 from modelstream.llm.common import table
 
@@ -93,3 +94,12 @@ def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ORACLE["op11_filter_audit"] = filter_audit.ORACLE
+
+
+@query("op12_warc")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    records = warc.archived(table(spark, sf_dir, "pages"))
+    return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+ORACLE["op12_warc"] = warc.ORACLE
