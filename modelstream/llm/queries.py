@@ -19,6 +19,7 @@ from modelstream.llm import (
     sentencepiece_nbest,
     substring_dedup,
     warc,
+    whitening,
 )
 from modelstream.llm.common import table
 
@@ -103,3 +104,8 @@ def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ORACLE["op12_warc"] = warc.ORACLE
+
+
+@query("op13_whitening")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whitened(table(spark, sf_dir, "embeddings"))
