@@ -8,9 +8,11 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from modelstream.plans.catalog import QUERIES
+from modelstream.plans.oracle import ORACLE
 
 TABLES = "/root/testdata/sf0.001"
-STREAMS = [name for name in entry.queries() if name.startswith("stream_") or name == "state_reader"]
+STREAMS = [name for name in QUERIES if name.startswith("stream_") or name == "state_reader"]
 pytestmark = pytest.mark.skipif(not os.path.isdir(TABLES), reason="needs the test tables")
 
 
@@ -28,11 +30,11 @@ def normal(value):
     return repr(value)
 
 
-@pytest.mark.parametrize("name", sorted(set(entry.queries()) - set(STREAMS)) + ["stream_arrivals", "state_reader"])
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - set(STREAMS)) + ["stream_arrivals", "state_reader"])
 def test_query(spark, db, name):
-    frame = entry.queries()[name](spark, TABLES)
+    frame = QUERIES[name](spark, TABLES)
     columns = sorted(frame.columns)
-    cursor = db.execute(entry.oracle_sql()[name])
+    cursor = db.execute(ORACLE[name])
     found = [d[0] for d in cursor.description]
     assert sorted(found) == columns
     expected = [dict(zip(found, row)) for row in cursor.fetchall()]
@@ -41,7 +43,8 @@ def test_query(spark, db, name):
 
 
 def test_every_query_has_sql():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) <= set(entry.queries()) and set(ORACLE) <= set(entry.oracle_sql())
 
 
 def test_entry(spark):
