@@ -39,8 +39,8 @@ class Limits:
     cell_candidates: int = 64
     # Rows of one key that one task sorts; a key with more rows is cut into ordered chunks.
     rows_per_chunk: int = 2_000_000
-    # Copies of the small side in a salted join.
-    salts: int = 32
+    # Pieces of a task's mean share that the rows of a heavy key are cut into in a salted join.
+    pieces: int = 8
 
 
 def session(app: str = "modelstream", master: str | None = None, **conf: str) -> SparkSession:

@@ -139,7 +139,7 @@ def _chunked(
         points = points.groupBy(key, at).agg(
             F.max("__seq").alias("__seq"), F.max_by(MODEL, "__seq").alias(MODEL)
         )
-    switches = chunks.Chunked(chunks.assign(points, bounds, key, [at]), bounds, key, [at])
+    switches = chunks.Chunked(chunks.assign(points, bounds, key, [at], limits), bounds, key, [at], limits)
     updates = switches.rows.select(
         key, chunks.CHUNK, chunks.SALTS, at, F.lit(1).alias("__rank"), "__seq", MODEL
     )
@@ -158,7 +158,7 @@ def _chunked(
         "__salt", F.explode(F.sequence(F.lit(0), F.col(chunks.SALTS) - F.lit(1)))
     ).drop(chunks.SALTS)
     rows = (
-        chunks.assign(placed.select(key, at, data.alias("__data")), bounds, key, [at])
+        chunks.assign(placed.select(key, at, data.alias("__data")), bounds, key, [at], limits)
         .withColumns(
             {
                 "__rank": F.lit(2),

@@ -136,7 +136,7 @@ def payload_changes(models: DataFrame, limits: Limits = Limits()) -> DataFrame:
     The digest, not the payload, is compared across rows, and a type with very many models is cut into chunks.
     """
     digested = models.withColumn("digest", payload_digest(F.col("model")))
-    parts = chunks.chunked(digested, "data_type", ["ts", "seq"], limits.rows_per_chunk)
+    parts = chunks.chunked(digested, "data_type", ["ts", "seq"], limits)
     carry = chunks.carried(
         parts,
         {"__before": F.max_by("digest", F.struct("ts", "seq"))},
@@ -158,7 +158,7 @@ def drop_unchanged(models: DataFrame, limits: Limits = Limits()) -> DataFrame:
 
 def model_validity(models: DataFrame, limits: Limits = Limits()) -> DataFrame:
     """Models with ``valid_to``: the time the next model of the type takes over, null for the current one."""
-    parts = chunks.chunked(models, "data_type", ["ts", "seq"], limits.rows_per_chunk)
+    parts = chunks.chunked(models, "data_type", ["ts", "seq"], limits)
     carry = chunks.carried(
         parts, {"__next": F.min("ts")}, {"__next": lambda c: F.min(c)}, forward=False
     )

@@ -59,7 +59,7 @@ def running_stats(
     rows = served
     if total > limits.rows_per_chunk:
         rows = served.withColumn("__version", F.to_json(F.struct(*VERSION)))
-        parts = chunks.chunked(rows, "__version", ["submission_ts", tie], limits.rows_per_chunk, total)
+        parts = chunks.chunked(rows, "__version", ["submission_ts", tie], limits, total)
     else:
         parts = chunks.Chunked(chunks.assign(rows, None, "", []), None, "", [])
     took = F.col(duration)

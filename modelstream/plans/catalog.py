@@ -89,6 +89,21 @@ def serve_broadcast(spark: SparkSession, sf: str) -> DataFrame:
     return _results(served)
 
 
+@query
+def serve_salted(spark: SparkSession, sf: str) -> DataFrame:
+    """As serve_broadcast beyond the broadcast limits: both sides shuffled, heavy types dealt over salts by their share."""
+    served = serve_latest(
+        b.records(spark, sf),
+        b.models(spark, sf),
+        b.inputs(),
+        keep=["record_id"],
+        forms=["linear"],
+        spread=F.col("record_id"),
+        limits=Limits(broadcast_rows=0),
+    )
+    return _results(served)
+
+
 @query
 def serve_models_first(spark: SparkSession, sf: str) -> DataFrame:
     """A day is a batch: its models apply before its records, the last one wins."""

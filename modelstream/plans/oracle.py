@@ -360,3 +360,4 @@ FROM (SELECT event_id AS record_id, data_type, ts, value FROM base WHERE event_t
 ASOF JOIN arrived m ON r.data_type = m.data_type AND r.ts >= m.ts
 """
 )
+ORACLE["serve_salted"] = ORACLE["serve_broadcast"]

@@ -52,6 +52,9 @@ PLANS = [
     {"strategy": "broadcast"},
     {"strategy": "chunked"},
     {"strategy": "chunked", "limits": Limits(rows_per_chunk=25)},
+    # Cut tables that may not be broadcast: found level by level.
+    {"strategy": "chunked", "limits": Limits(rows_per_chunk=2, broadcast_rows=6)},
+    {"strategy": "chunked", "limits": Limits(rows_per_chunk=25, broadcast_rows=0)},
 ]
 
 
@@ -122,7 +125,7 @@ def test_broadcast_plan_does_not_shuffle_records(spark):
 
 def test_hot_type_is_cut_into_bounded_chunks(spark):
     rows = spark.range(20_000).select(F.when(F.col("id") % 3 > 0, "hot").otherwise("cold").alias("k"), F.col("id").alias("ts"))
-    parts = chunks.chunked(rows, "k", ["ts"], 1000)
+    parts = chunks.chunked(rows, "k", ["ts"], Limits(rows_per_chunk=1000))
     sizes = parts.rows.groupBy("k", chunks.CHUNK).count().collect()
     assert sum(r["count"] for r in sizes) == 20_000
     assert max(r["count"] for r in sizes) < 3000
@@ -148,3 +151,30 @@ def test_long_chunk_lists_are_searched_in_two_steps(spark):
         "(__lo_ts IS NULL OR ts >= __lo_ts) AND (__hi_ts IS NULL OR ts < __hi_ts)"
     )
     assert checked.count() == placed.count() == 30_000
+
+
+def test_chunks_are_not_limited_in_number(spark):
+    """70,000 chunks, three levels of blocks, and no row is compared with a whole list."""
+    rows = spark.range(140_000).select(F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("k"), F.col("id") % 40)).alias("k"), (F.col("id") * 7919 % 1_000_003).alias("ts"))
+    limits = Limits(rows_per_chunk=2, broadcast_rows=2_000)
+    parts = chunks.chunked(rows, "k", ["ts"], limits)
+    sizes = parts.rows.groupBy("k", chunks.CHUNK).agg(F.count(F.lit(1)).alias("n"), F.min("ts").alias("low"), F.max("ts").alias("high"))
+    found = sizes.agg(F.count(F.lit(1)).alias("chunks"), F.max("n").alias("most"), F.sum("n").alias("rows")).first()
+    assert found["rows"] == 140_000 and found["chunks"] > 60_000 and found["most"] <= 4
+    # Chunks of a key follow one another.
+    from pyspark.sql import Window
+
+    before = F.lag("high").over(Window.partitionBy("k").orderBy(chunks.CHUNK))
+    assert sizes.withColumn("before", before).filter("before >= low").count() == 0
+
+
+def test_cut_table_of_many_keys(spark):
+    """Every key is cut and even the largest blocks are too many for a broadcast."""
+    rows = spark.range(3_000).select((F.col("id") % 100).alias("k"), F.floor(F.col("id") / 100 % 17).alias("ts"), F.col("id"))
+    limits = Limits(rows_per_chunk=3, broadcast_rows=10)
+    parts = chunks.chunked(rows, "k", ["ts", "id"], limits)
+    plain = chunks.chunked(rows, "k", ["ts", "id"], Limits(rows_per_chunk=3))
+    number = lambda p: {r.id: (r[chunks.CHUNK], r[chunks.SALTS]) for r in p.rows.collect()}
+    found = number(parts)
+    assert len(found) == 3_000 and found == number(plain)
+    assert max(c for c, _ in found.values()) >= 5
