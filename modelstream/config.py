@@ -24,6 +24,9 @@ class ServingConfig:
     brokers: str = "localhost:9092"
     trigger: str = "1 second"
     continuous: str = "5 seconds"
+    # State partitions of a stateful query. A checkpoint keeps the number it began with, so choose it for the largest
+    # cluster the query will ever run on.
+    state_partitions: int = 8
 
 
 @dataclass(frozen=True)

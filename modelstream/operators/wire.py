@@ -125,11 +125,19 @@ def model_envelope(model: Column) -> Column:
     )
 
 
-def envelopes(records: DataFrame, models: DataFrame, value: str = "value") -> DataFrame:
-    """Both message streams as one stream of ENVELOPE rows with a non-empty type."""
-    left = models.select(model_envelope(decode_model(F.col(value))).alias("e")).select("e.*")
-    right = records.select(data_envelope(decode_record(F.col(value))).alias("e")).select("e.*")
-    return typed(left.unionByName(right))
+def envelopes(records: DataFrame, models: DataFrame, value: str = "value", bad_input: str = "drop") -> DataFrame:
+    """Both message streams as one stream of ENVELOPE rows.
+
+    Messages of models without a type, or that cannot be decoded, are left out: nothing can meet them. So are such records,
+    unless ``bad_input="mark"``: then they pass as the empty record with the empty type, which serving under the policy
+    of that name answers. `quarantine` returns the messages themselves.
+    """
+    if bad_input not in ("drop", "mark"):
+        raise ValueError(f"bad_input must be drop or mark, not {bad_input!r}")
+    left = typed(models.select(model_envelope(decode_model(F.col(value))).alias("e")).select("e.*"))
+    decode = decode_record_or_default if bad_input == "mark" else decode_record
+    right = records.select(data_envelope(decode(F.col(value))).alias("e")).select("e.*")
+    return left.unionByName(typed(right) if bad_input == "drop" else right)
 
 
 def typed(rows: DataFrame) -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter
 
-from modelstream.config import work_folder
+from modelstream.config import ServingConfig, work_folder
 from modelstream.operators import registry as reg
 from modelstream.operators import stats, wire
 from modelstream.plans import bindings as b
@@ -42,14 +42,13 @@ SERVED = fields(
 
 @contextmanager
 def state_settings(spark: SparkSession) -> Iterator[None]:
-    """The settings of a stateful query while it starts and runs: RocksDB, and no more state partitions than the cores of
-    the session have a use for. The session's own settings come back afterwards."""
-    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    """The settings of a stateful query while it starts and runs: RocksDB, and the state partitions of the deployment, which a
+    checkpoint keeps for ever. The session's own settings come back afterwards."""
     wanted = {
         "spark.sql.streaming.stateStore.providerClass": (
             "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
         ),
-        "spark.sql.shuffle.partitions": str(min(partitions, 2 * spark.sparkContext.defaultParallelism)),
+        "spark.sql.shuffle.partitions": str(ServingConfig().state_partitions),
     }
     before = {name: spark.conf.get(name, None) for name in wanted}
     for name, value in wanted.items():

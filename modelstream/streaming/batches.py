@@ -1,8 +1,9 @@
 """Serving per micro-batch with batch operators: no Python per record, no task per type.
 
-The registry is a table of model updates, one partition per batch. A batch joins its records with the registry as it
-stood before plus its own updates, and writes results and updates under its batch number: a batch that is run again
-after a failure overwrites what it wrote.
+The registry is a table of model updates by batch: deltas, a snapshot every so many batches, and a manifest that names both. A
+batch joins its records with the registry as it stood before plus its own updates, and writes results and updates under its
+batch number: a batch that is run again after a failure replaces what it wrote. What a batch reads of the registry does not
+grow with the number of batches before it.
 """
 
 from __future__ import annotations
@@ -19,41 +20,43 @@ from modelstream.operators.asof import MODEL, asof_join
 from modelstream.operators.registry import latest_models
 from modelstream.operators.serve import Policy, in_force, route, serve_latest
 from modelstream.plans.sizes import lookup_join
+from modelstream.streaming.snapshots import BATCH, SnapshotTable
 
-BATCH = "batch_id"
+def still_needed(updates: DataFrame) -> DataFrame:
+    """Of all model updates (with their batch) the last of each type and the last usable one: what either policy serves."""
+    order = (BATCH, "ts", "seq")
+    usable = updates.filter(F.col("params").isNotNull())
+    return latest_models(updates, order).filter(F.col("params").isNull()).unionByName(latest_models(usable, order))
 
 
 class Registry:
     """The model updates under a path, by batch. The schema is that of a built model table."""
 
-    def __init__(self, spark: SparkSession, path: str, schema: T.StructType) -> None:
+    def __init__(self, spark: SparkSession, path: str, schema: T.StructType, every: int = 16) -> None:
         self.path, self.schema = path.rstrip("/"), schema
-        # A first, empty partition, so that the table can be read before any model arrived.
-        spark.createDataFrame([], schema).write.mode("ignore").parquet(f"{self.path}/{BATCH}=-1")
+        self.table = SnapshotTable(spark, path, schema, still_needed, every)
 
     def update(self, batch: DataFrame, batch_id: int) -> None:
         """Keep the models of a batch. Documents are parsed here, once."""
-        batch.select(*self.schema.names).write.mode("overwrite").parquet(f"{self.path}/{BATCH}={batch_id}")
+        self.table.update(batch, batch_id)
 
     def batch(self, spark: SparkSession, batch_id: int) -> DataFrame:
-        """The models a batch brought."""
-        return spark.read.schema(self.schema).parquet(f"{self.path}/{BATCH}={batch_id}")
+        """The models a batch brought, while its updates are kept."""
+        return self.table.batch(spark, batch_id)
 
     def snapshot(self, spark: SparkSession, before: int | None = None, policy: Policy = Policy()) -> DataFrame:
         """The models in force, of the updates of the batches before `before` (all of them without it).
 
-        A model applies from its arrival on: a later batch replaces an earlier one, whatever the times in it.
+        A model applies from its arrival on: a later batch replaces an earlier one, whatever the times in it. `before` may go
+        back to the last snapshot but one.
         """
-        schema = T.StructType([*self.schema.fields, T.StructField(BATCH, T.LongType())])
-        rows = spark.read.schema(schema).parquet(self.path)
-        if before is not None:
-            rows = rows.filter(F.col(BATCH) < before)
+        rows = self.table.rows(spark, before)
         return latest_models(in_force(rows, policy), (BATCH, "ts", "seq")).drop(BATCH)
 
     def compact(self, spark: SparkSession, target: str, policy: Policy = Policy()) -> Registry:
-        """The snapshot as a new registry at `target`: one row per type instead of every update."""
-        fresh = Registry(spark, target, self.schema)
-        self.snapshot(spark, policy=policy).write.mode("overwrite").parquet(f"{fresh.path}/{BATCH}=-1")
+        """The snapshot as a new registry at `target`, whose first update it is."""
+        fresh = Registry(spark, target, self.schema, self.table.every)
+        fresh.update(self.snapshot(spark, policy=policy), -1)
         return fresh
 
 
@@ -128,7 +131,7 @@ def serve_arrivals(
             if models.isEmpty():
                 met = lookup_join(records, _packed(entering, MODEL), "data_type", "left", limits=limits)
             else:
-                # Written first and read back. A batch that is run again overwrites its own part, which `entering` excludes.
+                # Written first and read back. A batch that is run again replaces its own part, which `entering` excludes.
                 registry.update(models, batch_id)
                 changes = in_force(registry.batch(batch.sparkSession, batch_id), policy)
                 if order == "models_first":

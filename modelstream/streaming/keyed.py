@@ -3,16 +3,18 @@
 Records and models of a type meet in one stateful operator. The key is (type, shard): the models of a type go to all its
 shards, each record to one, so a type with most of the traffic is served by many tasks and every shard still sees every
 model. The operator only decides which model is in force for each record; scoring is a column expression after it, in
-the JVM. State is declared columns, the parameters as JSON text.
+the JVM. State is declared columns, the parameters as JSON text. Its memory does not grow with the records of a key.
 """
 
 from __future__ import annotations
 
+import tempfile
 from collections.abc import Iterator
 from typing import Any
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
@@ -74,15 +76,80 @@ def stream_rows(records: DataFrame, models: DataFrame, policy: Policy = Policy()
     return left.unionByName(right)
 
 
-def meet(rows: pd.DataFrame, current: Model | None, order: str) -> tuple[pd.DataFrame, np.ndarray, list[Model | None]]:
-    """The records among `rows` in serving order, the position of the model in force for each, and the list of models:
-    the `current` one first, then those of the rows."""
-    keys = ["ts", "is_record", "seq"] if order == "event_time" else ["is_record", "ts", "seq"]
-    rows = rows.sort_values(keys, kind="stable")
-    is_record = rows["is_record"].to_numpy(dtype=bool)
-    updates = rows[~is_record]
-    models = [current, *zip(updates["name"], updates["ts"].astype(int), updates["params"])]
-    return rows[is_record], np.cumsum(~is_record)[is_record], models
+# Bytes of records that a task holds in memory for a key and batch; what comes beyond goes to a scratch file of the task.
+HELD_BYTES = 32 << 20
+KEPT_COLUMNS = ["seq", "data_type", "ts", "features", "duration"]
+
+
+class Pending:
+    """The records of one key and batch, kept until all its models are known.
+
+    A record may meet a model that comes after it in the input, so nothing can be answered before the input has ended. Records
+    are held as Arrow batches, in memory up to `limit` bytes and then in an unnamed file that only this task sees and that
+    vanishes with it, like Spark's own spills; they are given back a batch at a time.
+    """
+
+    def __init__(self, limit: int = HELD_BYTES) -> None:
+        self.limit, self.bytes, self.held, self.file, self.writer = limit, 0, [], None, None
+
+    def add(self, records: pd.DataFrame) -> None:
+        batch = pa.RecordBatch.from_pandas(records[KEPT_COLUMNS], schema=PENDING, preserve_index=False)
+        if self.writer is None and self.bytes + batch.nbytes <= self.limit:
+            self.bytes += batch.nbytes
+            self.held.append(batch)
+            return
+        if self.writer is None:
+            self.file = tempfile.TemporaryFile()
+            self.writer = pa.ipc.new_stream(self.file, PENDING)
+        self.writer.write_batch(batch)
+
+    def frames(self) -> Iterator[pd.DataFrame]:
+        while self.held:
+            yield self.held.pop(0).to_pandas()
+        if self.writer is not None:
+            self.writer.close()
+            self.file.seek(0)
+            for batch in pa.ipc.open_stream(self.file):
+                yield batch.to_pandas()
+            self.file.close()
+
+
+PENDING = pa.schema(
+    [("seq", pa.int64()), ("data_type", pa.string()), ("ts", pa.int64()), ("features", pa.list_(pa.float64())), ("duration", pa.float64())]
+)
+
+
+class Meeting:
+    """What one key's rows of a batch come to: the models in their order, `current` first, and the position of the one in
+    force for each record.
+
+    Models of the batch are held, records only as far as `Pending` holds them.
+    """
+
+    def __init__(self, batches: Iterator[pd.DataFrame], current: Model | None, order: str, limit: int = HELD_BYTES) -> None:
+        self.order, self.pending = order, Pending(limit)
+        updates = []
+        for rows in batches:
+            is_record = rows["is_record"].to_numpy(dtype=bool)
+            if not is_record.all():
+                updates.append(rows.loc[~is_record, ["name", "ts", "seq", "params"]])
+            if is_record.any():
+                self.pending.add(rows[is_record])
+        if updates:
+            found = pd.concat(updates, ignore_index=True).sort_values(["ts", "seq"], kind="stable")
+            self.models = [current, *zip(found["name"], found["ts"].astype(int), found["params"])]
+        else:
+            self.models = [current]
+        self.since = np.array([m[1] for m in self.models[1:]], np.int64)
+
+    def met(self) -> Iterator[tuple[pd.DataFrame, np.ndarray]]:
+        """Records and the positions of their models, a batch at a time: models apply from their time on, those of the same
+        time before the record, or all of the batch with ``models_first``."""
+        for records in self.pending.frames():
+            if self.order == "models_first":
+                yield records, np.full(len(records), len(self.models) - 1)
+            else:
+                yield records, np.searchsorted(self.since, records["ts"].to_numpy(), side="right")
 
 
 def _output(records: pd.DataFrame, version: np.ndarray, models: list[Model | None]) -> pd.DataFrame:
@@ -107,21 +174,20 @@ def _output(records: pd.DataFrame, version: np.ndarray, models: list[Model | Non
 def meet_models(stream: DataFrame, order: str = "event_time") -> DataFrame:
     """`stream_rows` to records with the model in force, by arbitrary state without timeout.
 
-    Rows of a batch are put in order first: by time, a model before a record of the same time, or with
-    ``order="models_first"`` all models of the batch before its records. A model that arrives in a later batch than a
+    Rows of a batch meet in the order of time, a model before a record of the same time, or with
+    ``order="models_first"`` all models of the batch before its records. A task holds the models of a key's batch and
+    `HELD_BYTES` of its records, however many there are. A model that arrives in a later batch than a
     record applies from its arrival on.
     """
 
     ship_package(stream.sparkSession)
 
     def serve(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        rows = pd.concat(list(batches), ignore_index=True)
-        current = state.get if state.exists else None
-        records, version, models = meet(rows, current, order)
-        if models[-1] is not None and len(models) > 1:
-            state.update(models[-1])
-        if len(records):
-            yield _output(records, version, models)
+        meeting = Meeting(batches, state.get if state.exists else None, order)
+        if len(meeting.models) > 1:
+            state.update(meeting.models[-1])
+        for records, version in meeting.met():
+            yield _output(records, version, meeting.models)
 
     return stream.groupBy("data_type", "shard").applyInPandasWithState(
         serve, MET, STATE, "append", GroupStateTimeout.NoTimeout
@@ -139,36 +205,28 @@ class ServingProcessor(StatefulProcessor):
         self.stats = handle.getValueState("stats", STATS_STATE)
 
     def handleInputRows(self, key: Any, rows: Iterator[pd.DataFrame], timerValues: Any) -> Iterator[pd.DataFrame]:
-        batch = pd.concat(list(rows), ignore_index=True)
         current = tuple(self.model.get()) if self.model.exists() else None
-        records, version, models = meet(batch, current, self.order)
-        last = len(models) - 1
+        meeting = Meeting(rows, current, self.order)
+        models, last = meeting.models, len(meeting.models) - 1
         if last > 0:
             self.model.update(models[-1])
-        if models[-1] is not None:
+        old = self.stats.get() if last == 0 and self.stats.exists() else None
+        usage, total, low, high = (old[2], old[3], old[4], old[5]) if old else (0, 0.0, None, None)
+        for records, version in meeting.met():
+            # Of the batch, what the model served that is in force at its end.
             mine = records["duration"].to_numpy()[version == last]
-            old = self.stats.get() if last == 0 and self.stats.exists() else None
-            if len(mine) or last > 0:
-                low, high = _extremes(mine, old)
-                usage = len(mine) + (old[2] if old else 0)
-                total = float(mine.sum()) + (old[3] if old else 0.0)
-                self.stats.update((models[-1][0], models[-1][1], usage, total, low, high))
-        if len(records):
+            if len(mine):
+                usage, total = usage + len(mine), total + float(mine.sum())
+                low = int(mine.min()) if low is None else min(low, int(mine.min()))
+                high = int(mine.max()) if high is None else max(high, int(mine.max()))
             yield _output(records, version, models)
+        if models[-1] is not None and (last > 0 or usage):
+            self.stats.update((models[-1][0], models[-1][1], usage, total, low, high))
 
     def close(self) -> None:
         pass
 
 
-def _extremes(values: np.ndarray, old: Any) -> tuple[int | None, int | None]:
-    lows = [int(values.min())] if len(values) else []
-    highs = [int(values.max())] if len(values) else []
-    if old is not None and old[4] is not None:
-        lows.append(old[4])
-        highs.append(old[5])
-    return (min(lows), max(highs)) if lows else (None, None)
-
-
 def meet_models_with_stats(stream: DataFrame, order: str = "event_time") -> DataFrame:
     """As `meet_models`, with the statistics of the current model kept beside it. Needs the RocksDB state store."""
     ship_package(stream.sparkSession)

@@ -4,13 +4,16 @@ from __future__ import annotations
 
 import json
 import threading
+from collections import deque
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter, StreamingQueryListener
 
 from modelstream.operators.stats import VERSION
-from modelstream.streaming.batches import BATCH
+from modelstream.schemas import fields
+from modelstream.streaming.snapshots import BATCH, SnapshotTable
 
 
 def running(served: DataFrame, duration: str = "duration") -> DataFrame:
@@ -23,43 +26,55 @@ def running(served: DataFrame, duration: str = "duration") -> DataFrame:
     )
 
 
-def write_running(served: DataFrame, path: str, checkpoint: str, duration: str = "duration") -> DataStreamWriter:
-    """The job that writes, per batch, the statistics of the versions the batch touched."""
+LONG = T.LongType()
+RUNNING = fields(
+    data_type=T.StringType(), name=T.StringType(), since=LONG, usage=LONG, duration=T.DoubleType(), min=LONG, max=LONG
+)
 
-    def run(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{path}/{BATCH}={batch_id}")
+
+def newest(updates: DataFrame) -> DataFrame:
+    """The statistics of each version as its last batch left them."""
+    values = F.struct("usage", "duration", "min", "max", BATCH)
+    return updates.groupBy(*VERSION).agg(F.max_by(values, BATCH).alias("s")).select(*VERSION, "s.*")
+
+
+def write_running(
+    served: DataFrame, path: str, checkpoint: str, duration: str = "duration", every: int = 16
+) -> DataStreamWriter:
+    """The job that writes, per batch, the statistics of the versions the batch touched, and a snapshot every `every` batches."""
+    table = SnapshotTable(served.sparkSession, path, RUNNING, newest, every)
 
     return (
         running(served, duration)
         .writeStream.outputMode("update")
-        .foreachBatch(run)
+        .foreachBatch(lambda batch, batch_id: table.update(batch, batch_id))
         .option("checkpointLocation", checkpoint)
     )
 
 
 def read_running(spark: SparkSession, path: str) -> DataFrame:
-    """The newest statistics of each version of what `write_running` wrote."""
-    rows = spark.read.schema(
-        "data_type string, name string, since bigint, usage bigint, duration double, min bigint, max bigint, "
-        f"{BATCH} bigint"
-    ).parquet(path)
-    return (
-        rows.groupBy(*VERSION)
-        .agg(F.max_by(F.struct("usage", "duration", "min", "max"), BATCH).alias("s"))
-        .select(*VERSION, "s.*")
-    )
+    """The newest statistics of each version of what `write_running` wrote: a snapshot and the few batches since."""
+    return SnapshotTable(spark, path, RUNNING, newest).rows(spark).drop(BATCH)
 
 
 class ProgressListener(StreamingQueryListener):
-    """Keeps one row per source and batch of every query of the session it is added to."""
+    """A row per source and batch of every query of the session it is added to.
+
+    With a `path` the rows are appended to a table whenever `most` of them came together and when a query ends, so the driver
+    never holds more; a table that cannot be written keeps the newest `most`, and `lost` counts the others. Without a path
+    the newest `most` rows are kept.
+    """
 
     SCHEMA = (
         "query string, batch_id bigint, at string, source string, start_offset string, end_offset string, "
         "input_rows bigint, rows_per_second double, durations string"
     )
 
-    def __init__(self) -> None:
-        self._rows: list[tuple] = []
+    def __init__(self, spark: SparkSession | None = None, path: str | None = None, most: int = 1000) -> None:
+        if path and spark is None:
+            raise ValueError("a table needs a session to write with")
+        self._spark, self._path, self.most, self.lost = spark, path, most, 0
+        self._rows: deque[tuple] = deque()
         self._lock = threading.Lock()
 
     def onQueryStarted(self, event) -> None:
@@ -84,22 +99,44 @@ class ProgressListener(StreamingQueryListener):
         ]
         with self._lock:
             self._rows.extend(rows)
+            full = len(self._rows) >= self.most
+        if full:
+            self.flush()
 
     def onQueryIdle(self, event) -> None:
         pass
 
     def onQueryTerminated(self, event) -> None:
-        pass
+        self.flush()
+
+    def flush(self) -> None:
+        """Append the rows held to the table of the listener, if it has one."""
+        if self._path:
+            try:
+                self.drain(self._spark, self._path)
+            except Exception:
+                # The query goes on; what cannot be written stays until there are too many.
+                pass
+        with self._lock:
+            while len(self._rows) > self.most:
+                self._rows.popleft()
+                self.lost += 1
 
     def progress(self, spark: SparkSession) -> DataFrame:
-        """What was seen so far; `drain` also forgets it."""
+        """The rows held; `drain` also forgets them."""
         with self._lock:
             rows = list(self._rows)
         return spark.createDataFrame(rows, self.SCHEMA)
 
     def drain(self, spark: SparkSession, path: str) -> None:
-        """Append the rows seen so far to a table and forget them."""
+        """Append the rows held to a table and forget them once they are written."""
         with self._lock:
-            rows, self._rows = self._rows, []
-        if rows:
-            spark.createDataFrame(rows, self.SCHEMA).write.mode("append").parquet(path)
+            rows, self._rows = list(self._rows), deque()
+        if not rows:
+            return
+        try:
+            spark.createDataFrame(rows, self.SCHEMA).coalesce(1).write.mode("append").parquet(path)
+        except Exception:
+            with self._lock:
+                self._rows.extendleft(reversed(rows))
+            raise

@@ -183,6 +183,163 @@ def test_running_statistics_and_progress(spark, folder):
         spark.streams.removeListener(listener)
 
 
+class Progress:
+    """A progress event with one source."""
+
+    def __init__(self, number):
+        self.progress = self
+        self.name, self.id, self.batchId, self.timestamp, self.durationMs = "q", "q", number, "now", {"addBatch": 1}
+        self.sources, self.description, self.startOffset, self.endOffset = [self], "files", "0", "1"
+        self.numInputRows, self.processedRowsPerSecond = 7, 1.5
+
+
+def test_progress_does_not_pile_up_on_the_driver(spark, folder):
+    to_table = statistics.ProgressListener(spark, f"{folder}/progress", most=10)
+    unwritable = statistics.ProgressListener(spark, "nosuchfilesystem://x", most=10)
+    kept = statistics.ProgressListener(most=10)
+    for number in range(35):
+        for listener in (to_table, unwritable, kept):
+            listener.onQueryProgress(Progress(number))
+            assert len(listener._rows) <= 10
+    to_table.onQueryTerminated(None)
+    rows = spark.read.parquet(f"{folder}/progress")
+    assert sorted(r.batch_id for r in rows.collect()) == list(range(35)) and to_table.lost == 0
+    assert [r.batch_id for r in kept.progress(spark).collect()] == list(range(25, 35)) and kept.lost == unwritable.lost == 25
+
+
+def model_rows(spark, *rows):
+    """(name, type, ts, intercept)"""
+    frame = spark.createDataFrame(list(rows), "name string, data_type string, ts long, v double")
+    params = F.when(F.col("v").isNotNull(), linear_params(F.col("v"), [F.lit(1.0)]))
+    return frame.select(
+        "name", F.lit("d").alias("description"), "data_type", F.lit(2).alias("model_kind"), "ts",
+        F.col("ts").alias("seq"), params.cast(ddl(replay.LINEAR)).alias("params"),
+    )
+
+
+def in_force_after(updates, policy):
+    """updates: (batch, name, type, ts, intercept), the last by (batch, ts) counts."""
+    held = {}
+    for batch, name, kind, ts, v in sorted(updates, key=lambda u: (u[0], u[3])):
+        if v is not None or policy.on_bad_model == "clear":
+            held[kind] = name
+    return held
+
+
+def test_registry_reads_as_much_at_the_hundredth_batch_as_at_the_twentieth(spark, folder):
+    registry = batches.Registry(spark, f"{folder}/registry", replay.MODELS, every=8)
+    updates, parts, files = [], [], []
+    for number in range(100):
+        # One type that changes all the time, one that changed once, late models, models that failed to build.
+        rows = [(f"hot{number}", "hot", 1000 - number, float(number) if number % 7 else None)]
+        rows += [("once", "once", 5, 1.0)] if number == 3 else []
+        rows += [(f"w{number}", f"t{number % 5}", number, None if number % 3 == 0 else 1.0)]
+        registry.update(model_rows(spark, *rows).coalesce(1), number)
+        updates += [(number, *r) for r in rows]
+        parts.append(len(registry.table.manifest().parts()))
+        if number % 33 == 32 or number == 20:
+            for policy in (Policy(), Policy(on_bad_model="clear")):
+                for before in (None, number, number - 5):
+                    known = [u for u in updates if before is None or u[0] < before]
+                    found = {r.data_type: r.name for r in registry.snapshot(spark, before, policy).collect()}
+                    assert found == in_force_after(known, policy)
+            files.append(len(registry.table._read(spark, registry.table.manifest().parts()).inputFiles()))
+    assert max(parts) <= 8 and max(files) <= 2 * 8
+    # What lies in the folder is bounded too: the parts of two snapshots' time and those kept for late readers.
+    assert len(registry.table._top.names()) < 70
+    with pytest.raises(ValueError, match="no longer kept"):
+        registry.snapshot(spark, 3)
+
+
+@pytest.mark.parametrize("again", [6, 7, 8])
+def test_a_registry_batch_that_runs_again_replaces_itself(spark, folder, again):
+    """Before, at and after a batch that wrote a snapshot."""
+    registry = batches.Registry(spark, f"{folder}/registry", replay.MODELS, every=4)
+    for number in range(again):
+        registry.update(model_rows(spark, (f"m{number}", "a", number, 1.0)), number)
+    before = registry.snapshot(spark, again).collect()
+    registry.update(model_rows(spark, ("first try", "a", again, 1.0), ("gone", "b", 1, 1.0)), again)
+    assert registry.snapshot(spark, again).collect() == before
+    registry.update(model_rows(spark, ("second try", "a", again, 1.0)), again)
+    assert registry.snapshot(spark, again).collect() == before
+    assert [(r.name, r.data_type) for r in registry.snapshot(spark).collect()] == [("second try", "a")]
+    assert [r.name for r in registry.batch(spark, again).collect()] == ["second try"]
+    # Another session's registry over the same folder sees the same.
+    other = batches.Registry(spark, f"{folder}/registry", replay.MODELS, every=4)
+    assert [r.name for r in other.snapshot(spark).collect()] == ["second try"]
+
+
+def test_running_statistics_read_few_parts(spark, folder):
+    table = statistics.SnapshotTable(spark, f"{folder}/stats", statistics.RUNNING, statistics.newest, 4)
+    for number in range(15):
+        table.update(spark.createDataFrame([("a", "m", 1, number, float(number), 0, number), ("b", f"n{number}", 1, 1, 1.0, 1, 1)], statistics.RUNNING), number)
+    assert len(table.manifest().parts()) <= 4
+    rows = {r.name: r.usage for r in statistics.read_running(spark, f"{folder}/stats").collect()}
+    assert rows == {"m": 14, **{f"n{i}": 1 for i in range(15)}}
+
+
+def frames_of(rows, size=1000):
+    import pandas as pd
+
+    columns = ["data_type", "shard", "ts", "seq", "is_record", "features", "duration", "name", "params"]
+    for low in range(0, len(rows), size):
+        yield pd.DataFrame(rows[low : low + size], columns=columns)
+
+
+@pytest.mark.parametrize("order", ["event_time", "models_first"])
+@pytest.mark.parametrize("limit", [0, 20_000, 1 << 30])
+def test_meeting_equals_brute_force(order, limit):
+    """Rows in any order, held in memory, in the scratch file, or in both."""
+    import random
+
+    rng = random.Random(limit)
+    models = [(rng.randrange(500), i, f"m{i}") for i in range(40)]
+    rows = [("a", 0, ts, seq, False, None, None, name, "{}") for ts, seq, name in models]
+    rows += [("a", 0, rng.randrange(500), i, True, [float(i)], 1.0, None, None) for i in range(5000)]
+    rng.shuffle(rows)
+    current = ("old", -1, "{}")
+    meeting = keyed.Meeting(frames_of(rows, 700), current, order, limit)
+    found = {}
+    for records, version in meeting.met():
+        out = keyed._output(records, version, meeting.models)
+        assert [f[0] for f in out["features"]] == list(out["record_id"].astype(float))
+        found |= dict(zip(out["record_id"], out["name"]))
+    last = max(models)[2]
+    for _, _, ts, seq, is_record, *_ in rows:
+        if is_record:
+            best = max([m for m in models if m[0] <= ts], default=(0, 0, "old"))[2]
+            assert found[seq] == (best if order == "event_time" else last)
+    assert len(found) == 5000
+
+
+def test_memory_of_a_key_does_not_grow_with_its_records():
+    """A million records of one key in one batch, within a few times what is held."""
+    import tracemalloc
+
+    import pandas as pd
+
+    def source(n, size=10_000):
+        for low in range(0, n, size):
+            yield pd.DataFrame(
+                {
+                    "data_type": "a", "shard": 0, "ts": range(low, low + size), "seq": range(low, low + size), "is_record": True,
+                    "features": [[1.0, 2.0, 3.0]] * size, "duration": 1.0, "name": None, "params": None,
+                }
+            )
+        yield pd.DataFrame([("a", 0, n // 2, 0, False, None, None, "m", "{}")], columns=["data_type", "shard", "ts", "seq", "is_record", "features", "duration", "name", "params"])
+
+    def peak(n):
+        tracemalloc.start()
+        meeting = keyed.Meeting(source(n), None, "event_time", 4 << 20)
+        met = sum(int((version == 1).sum()) for _, version in meeting.met())
+        top = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert met == n // 2
+        return top
+
+    assert peak(1_000_000) < 1.5 * peak(200_000) < 100 << 20
+
+
 def test_continuous_trigger(spark, folder):
     stream = spark.readStream.format("rate").option("rowsPerSecond", 5).load().select("value")
     writer = stream.writeStream.format("noop").option("checkpointLocation", f"{folder}/c")

@@ -89,3 +89,20 @@ def test_text_functions(spark):
     assert row.line == "Model served in 30 ms, with result 6.0 (model m, data type wine)"
     assert row.report == f"| {'n':<50} | {'d':<38} | 1970/01/01 00:00:00 |  0.26531 |   0 |   5 |"
     assert [len(line) for line in text.report_header()] == [len(row.report)] * 2
+
+
+def test_envelopes_of_bad_messages(spark):
+    """Dropped, or passed with the empty type for the policy to answer: one result for each record message."""
+    from modelstream.operators.serve import Policy, serve_latest
+    from modelstream.schemas import BAD_INPUT, linear_params
+
+    records = messages(spark, GOOD, b"{cut", {"record_id": 4}, b"\xff").select("value")
+    models = messages(spark, {"name": "m", "data_type": "wine", "model_kind": 2, "ts": 1}, {"name": "no type"}, b"?").select("value")
+    for bad_input, types in (("drop", ["wine"]), ("mark", ["", "", "", "wine"])):
+        rows = wire.envelopes(records, models, bad_input=bad_input)
+        data, built = wire.split_envelopes(rows)
+        assert sorted(r.data_type for r in data.collect()) == types
+        assert [r.name for r in built.collect()] == ["m"]
+        built = built.withColumns({"seq": F.col("ts"), "params": linear_params(F.lit(1.0), [F.lit(1.0)])})
+        served = serve_latest(data, built, [F.get("features", 0)], Policy(bad_input=bad_input), forms=["linear"])
+        assert sorted(r.name for r in served.collect()) == [BAD_INPUT] * (len(types) - 1) + ["m"]
