@@ -14,6 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 from modelstream.config import ship_package, work_folder
+from modelstream.streaming.snapshots import Folder
 
 # Bytes of text that array helpers look at together. A longer text is looked at whole, alone.
 PIECE_BYTES = 1 << 20
@@ -36,6 +37,34 @@ def stored(df: DataFrame, purpose: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+class Scratch:
+    """Intermediate tables of one operator in the shared folder, removed as soon as the next ones are written.
+
+    A frame that `keep` returned may be read until its name is dropped.
+    """
+
+    def __init__(self, spark: SparkSession, purpose: str) -> None:
+        self.spark, self.root = spark, work_folder(spark, purpose)
+        self.folder, self.there, self.count = Folder(spark, self.root), {}, 0
+
+    def keep(self, df: DataFrame, name: str) -> DataFrame:
+        """`df` written and read back."""
+        self.count += 1
+        path = f"{self.count:04d}-{name}"
+        df.write.parquet(f"{self.root}/{path}")
+        self.there.setdefault(name, []).append(path)
+        return self.spark.read.schema(df.schema).parquet(f"{self.root}/{path}")
+
+    def drop(self, *names: str, newest: int = 0) -> None:
+        """Remove the tables of these names but the `newest` ones of each."""
+        for name in names:
+            paths = self.there.get(name, [])
+            gone = paths[: len(paths) - newest]
+            for path in gone:
+                self.folder.remove(path)
+            self.there[name] = paths[len(gone) :]
+
+
 def rows_of(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The bytes of a text column and the offsets of its rows; null is empty."""
     if pa.types.is_large_string(column.type) or pa.types.is_large_binary(column.type):

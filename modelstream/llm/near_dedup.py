@@ -11,7 +11,7 @@
 3. Within a long list nothing is paired with everything. Rounds compare each class with the few hubs of its list; what is
    linked is contracted, the hubs leave the list, and a list ends when its classes are one component. Short lists are compared
    class by class. A group of n near copies costs about n comparisons; later rounds take more hubs, for lists whose classes share
-   much and are no copies.
+   much and are no copies, and compare a pair in one of its lists only.
 4. A pair is kept if the union of the two sketches estimates a similarity near the threshold, and linked only if the full
    sets reach it.
 """
@@ -23,10 +23,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from modelstream.llm import common
+from modelstream.plans.sizes import lookup_join
 
 SHINGLE = 5
 SKETCH = 160
@@ -180,16 +181,14 @@ def link_pairs(pairs: DataFrame, sketches: DataFrame, full: DataFrame) -> DataFr
     ).select("a", "b")
 
 
-def components(edges: DataFrame, purpose: str) -> DataFrame:
+def components(edges: DataFrame, scratch: common.Scratch) -> DataFrame:
     """(id, label) of every id in the edges (a, b): the smallest id that can be reached.
 
     Each round hands every node the smallest label among its neighbours and then the label of that label, so the rounds
     grow with the logarithm of the longest chain.
     """
-    both = common.stored(
-        edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), f"{purpose}-edges"
-    )
-    labels = common.stored(both.groupBy(F.col("a").alias("id")).agg(F.least(F.min("b"), F.min("a")).alias("label")), f"{purpose}-labels")
+    both = scratch.keep(edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "edges")
+    labels = scratch.keep(both.groupBy(F.col("a").alias("id")).agg(F.least(F.min("b"), F.min("a")).alias("label")), "labels")
     while True:
         seen = (
             both.join(labels.select(F.col("id").alias("b"), "label"), "b")
@@ -199,22 +198,28 @@ def components(edges: DataFrame, purpose: str) -> DataFrame:
         step = labels.join(seen, "id").select("id", F.col("label").alias("old"), F.least("label", "near").alias("label"))
         jump = labels.select(F.col("id").alias("label"), F.col("label").alias("further"))
         step = step.join(jump, "label", "left").select("id", "old", F.least("label", F.coalesce("further", "label")).alias("label"))
-        step = common.stored(step, f"{purpose}-labels")
+        step = scratch.keep(step, "labels")
+        scratch.drop("labels", newest=1)
         labels = step.select("id", "label")
         if step.filter(F.col("old") != F.col("label")).isEmpty():
             return labels
 
 
-def merged(label: DataFrame, links: DataFrame) -> DataFrame:
+def merged(label: DataFrame, links: DataFrame, scratch: common.Scratch) -> DataFrame:
     """The labels (key, label) after the links of keys (a, b): only the groups that the links join are looked at."""
     one = label.select(F.col("key").alias("a"), F.col("label").alias("la"))
     two = label.select(F.col("key").alias("b"), F.col("label").alias("lb"))
     joined = links.join(one, "a").join(two, "b").filter("la <> lb").select(F.col("la").alias("a"), F.col("lb").alias("b"))
-    joined = common.stored(joined.distinct(), "near-joined")
+    joined = scratch.keep(joined.distinct(), "joined")
     if joined.isEmpty():
         return label
-    group = components(joined, "near-groups").select(F.col("id").alias("label"), F.col("label").alias("to"))
-    return common.stored(label.join(group, "label", "left").select("key", F.coalesce("to", "label").alias("label")), "near-label")
+    group = components(joined, scratch).select(F.col("id").alias("label"), F.col("label").alias("to"))
+    # A group may hold many classes: its rows are dealt over tasks where the groups are too many for a broadcast.
+    named = lookup_join(label, group, "label", "left", spread=F.col("key"))
+    label = scratch.keep(named.select("key", F.coalesce("to", "label").alias("label")), "label")
+    scratch.drop("joined", "edges", "labels")
+    scratch.drop("label", newest=1)
+    return label
 
 
 def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -232,21 +237,22 @@ def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 def labelled_classes(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """`near_classes` with the label of each row's group, one of its keys; null without words."""
     docs = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    rows = common.stored(
+    scratch = common.Scratch(docs.sparkSession, "near")
+    rows = scratch.keep(
         docs.select("doc_id", "text", F.xxhash64("text").alias("text_key")).mapInArrow(
             _sets, "doc_id bigint, text_key bigint, key binary, n_shingles bigint"
         ),
-        "near-sets",
+        "sets",
     )
     # One row of each class carries its sketch, which is made in a second pass: sketches of all rows are not kept.
     classes = rows.filter("key is not null").groupBy("key").agg(F.min("doc_id").alias("doc_id"))
     made = docs.mapInArrow(_sketches, "doc_id bigint, key binary, n_shingles bigint, sketch array<bigint>, bits array<bigint>")
-    sketches = common.stored(
+    sketches = scratch.keep(
         made.alias("r")
         .join(classes.alias("c"), (F.col("r.key") == F.col("c.key")) & F.col("r.doc_id").eqNullSafe(F.col("c.doc_id")))
         .select("r.key", "r.doc_id", "r.n_shingles", "r.sketch", "r.bits")
         .dropDuplicates(["key"]),
-        "near-sketches",
+        "sketches",
     )
     values = sketches.select("key", F.explode("sketch").alias("value"))
     counts = values.groupBy("value").agg(F.count(F.lit(1)).alias("df")).filter("df > 1")
@@ -262,21 +268,23 @@ def labelled_classes(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
         .select("key", "n_shingles", "bits", F.size("shared").alias("n_shared"), F.posexplode(F.slice("shared", F.lit(1), prefix.cast("int"))).alias("at", "x"))
         .select("key", F.col("x.value").alias("value"), "n_shingles", "n_shared", (F.col("n_shared") - F.col("at")).alias("rest"), "bits")
     )
-    lists = common.stored(in_reach(common.stored(listed, "near-listed")), "near-lists")
+    lists = scratch.keep(in_reach(scratch.keep(listed, "listed")), "lists")
+    scratch.drop("listed")
     wanted = sketches.join(lists.select("key").distinct(), "key", "left_semi")
-    first = common.stored(wanted.select("doc_id").distinct(), "near-first")
+    first = scratch.keep(wanted.select("doc_id").distinct(), "first")
     if first.count() <= BROADCAST_IDS:
         first = F.broadcast(first)
-    full = common.stored(
+    full = scratch.keep(
         docs.join(first, docs.doc_id.eqNullSafe(first.doc_id), "left_semi")
         .select("doc_id", "text")
         .mapInArrow(_full, "key binary, shingles array<bigint>")
         .join(wanted.select("key"), "key", "left_semi")
         .dropDuplicates(["key"]),
-        "near-full",
+        "full",
     )
-    wanted = common.stored(wanted.select("key", "n_shingles", "sketch"), "near-wanted")
-    label = wanted.select("key", F.col("key").alias("label"))
+    wanted = scratch.keep(wanted.select("key", "n_shingles", "sketch"), "wanted")
+    scratch.drop("sketches", "first")
+    label = scratch.keep(wanted.select("key", F.col("key").alias("label")), "label")
     turn = 0
     while True:
         named = lists.join(label, "key")
@@ -291,7 +299,18 @@ def labelled_classes(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
             .filter("low <> high")
             .drop("low", "high")
         )
-        named = common.stored(named.join(live, "value"), "near-live")
+        named = named.join(live, "value")
+        if turn:
+            # What is left are classes that share much and do not link, in many lists: each pair is looked at in the first list
+            # that both are still in. As long as they meet in none with one of them as hub, both stay in that one.
+            before = Window.partitionBy("key").orderBy(F.desc("rest")).rowsBetween(Window.unboundedPreceding, -1)
+            named = named.withColumn("earlier", F.collect_list("value").over(before))
+        else:
+            named = named.withColumn("earlier", F.array().cast("array<bigint>"))
+        named = scratch.keep(named, "live")
+        # The lists were read from the round before; from here on only this round's are.
+        scratch.drop("lists")
+        scratch.drop("live", newest=1)
         if named.isEmpty():
             break
         # Hubs: every class of a short list; of a longer one the class with the largest share of hashes that others have, the
@@ -300,27 +319,30 @@ def labelled_classes(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
         is_hub = (F.col("n") <= SHORT_LIST) | (F.col("key") == F.col("first")) | (share < F.lit(float(HUBS * GROWTH**turn if turn else 0)) / F.col("n"))
         named = named.withColumn("is_hub", is_hub)
         hubs = named.filter("is_hub").select(
-            "value", F.col("key").alias("hub"), F.col("label").alias("hub_label"), F.col("n_shingles").alias("hub_size"), F.col("rest").alias("hub_rest"), F.col("bits").alias("hub_bits")
+            "value", F.col("key").alias("hub"), F.col("label").alias("hub_label"), F.col("n_shingles").alias("hub_size"), F.col("rest").alias("hub_rest"), F.col("bits").alias("hub_bits"),
+            F.col("earlier").alias("hub_earlier"),
         )
         near_size = 100 * F.least("n_shingles", "hub_size") >= 75 * F.greatest("n_shingles", "hub_size")
         # Bounds of the intersection: without what comes before the hash (of whole sets), without what the bitmaps tell apart.
         cut = F.greatest("n_shingles", "hub_size") > SKETCH
         meet = cut | may_reach(F.col("n_shingles"), F.least("rest", "hub_rest"), F.col("hub_size"))
         apart = F.least(F.col("n_shingles") - missing("bits", "hub_bits"), F.col("hub_size") - missing("hub_bits", "bits"))
-        possible = meet & may_reach(F.col("n_shingles"), apart, F.col("hub_size"))
+        possible = meet & ~F.arrays_overlap("earlier", "hub_earlier") & may_reach(F.col("n_shingles"), apart, F.col("hub_size"))
         pairs = (
             named.join(hubs, "value")
             .filter((F.col("label") != F.col("hub_label")) & near_size & possible & (~F.col("is_hub") | (F.col("key") < F.col("hub"))))
             .select(F.least("key", "hub").alias("a"), F.greatest("key", "hub").alias("b"))
             .distinct()
         )
-        found = common.stored(link_pairs(pairs, wanted, full), "near-links")
+        found = scratch.keep(link_pairs(pairs, wanted, full), "links")
         lists = named.filter("not is_hub").select("key", "value", "n_shingles", "n_shared", "rest", "bits")
-        label = merged(label, found)
+        label = merged(label, found, scratch)
+        scratch.drop("links")
         turn += 1
+    scratch.drop("live", "lists", "full", "wanted")
     named = classes.join(label, "key", "left").select("key", "doc_id", F.coalesce("label", "key").alias("label"))
     lowest = named.groupBy("label").agg(F.min("doc_id").alias("component_id"))
-    final = named.join(lowest, "label").select("key", "label", "component_id", F.lit(True).alias("in_class"))
+    final = lookup_join(named, lowest, "label", spread=F.col("key")).select("key", "label", "component_id", F.lit(True).alias("in_class"))
     component = F.when(F.col("in_class"), F.col("component_id")).otherwise(F.col("doc_id"))
     return rows.select("doc_id", "text_key", "key", "n_shingles").join(final, "key", "left").select(
         "doc_id", "text_key", "key", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"), "label"
