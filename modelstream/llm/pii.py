@@ -52,9 +52,11 @@ SPELLED = re.compile("|".join(DIGITS))
 
 # White space before a bracket is taken from its beginning on, so a long run of it is read once.
 _OPEN, _CLOSE = r"(?:(?<!\s)\s+)?[\[({<]\s*", r"\s*[\])}>]\s*"
+# Words that follow "dot" in prose and end no address.
+_NO_DOMAIN = r"(?:a|an|and|for|from|of|on|or|that|the|with)\b"
 TOKEN = re.compile(
     r"(?=[\s\[({<]|\b[zotfsenp])(?:"
-    rf"(?P<at>{_OPEN}(?:at|arroba){_CLOSE}|(?<=[A-Za-z0-9_%+-])\s+at\s+(?=[A-Za-z0-9-]+(?:\s+dot\s+|{_OPEN}(?:dot|punto|point|punkt){_CLOSE}|\.)[A-Za-z0-9]))"
+    rf"(?P<at>{_OPEN}(?:at|arroba){_CLOSE}|(?<=[A-Za-z0-9_%+-])\s+at\s+(?=[A-Za-z0-9-]+(?:\s+dot\s+|{_OPEN}(?:dot|punto|point|punkt){_CLOSE}|\.)(?!{_NO_DOMAIN})[A-Za-z0-9]))"
     rf"|(?P<dot>{_OPEN}(?:dot|punto|point|punkt){_CLOSE}|(?<=[A-Za-z0-9])\s+dot\s+(?=[A-Za-z0-9]))"
     rf"|(?P<digits>\b(?:plus\s+)?{_DIGIT}(?:[\s,-]+{_DIGIT})*\b))",
     re.I,
