@@ -1,0 +1,162 @@
+"""Long texts, repeated rows, lists that share much, against brute force and within stated bounds."""
+
+import random
+import re
+import time
+import tracemalloc
+
+import brute
+import numpy as np
+import pyarrow as pa
+import pytest
+
+from modelstream.llm import decontaminate, near_dedup, pii
+
+
+def frame_of(spark, rows, names="doc_id bigint, text string, lang string"):
+    return spark.createDataFrame([(*r, "en") for r in rows], names)
+
+
+def test_classes_that_share_much_and_do_not_link(spark):
+    """More classes than a short list holds, each pair 0.6 to 0.74 similar, with a few links among them."""
+    rng = random.Random(9)
+    word = lambda: "".join(rng.choices("abcdefghij", k=6))
+    shared = [word() for _ in range(120)]
+    rows = []
+    for i in range(70):
+        keep = shared[: rng.randint(104, 120)]
+        rows.append((i, " ".join(keep + [word() for _ in range(rng.randint(18, 26))])))
+    rows += [(100 + i, rows[i * 7][1] + " " + " ".join(word() for _ in range(4))) for i in range(10)]
+    found = {r.doc_id: (r.n_shingles, r.component_id, r.kept) for r in near_dedup.near_classes(frame_of(spark, rows).repartition(5)).collect()}
+    expected = brute.near_classes(rows)
+    assert found == expected
+    assert 10 < len({c for _, c, _ in expected.values()}) < 80
+
+
+ITEMS = [
+    (1, " ".join(f"w{i}" for i in range(40))),
+    (2, "repeat " * 50),
+    (3, "repeat " * 30),
+    (4, "one two three"),
+    (None, " ".join(f"n{i}" for i in range(15))),
+    (5, " ".join(f"w{i}" for i in range(20, 40))),
+    (6, ""),
+    (7, None),
+    (1, " ".join(f"w{i}" for i in range(40))),
+    (8, "short words only"),
+    (8, "short words only but more of them than ten in this item here"),
+    (None, "no id here"),
+]
+
+
+def contamination_rows():
+    rng = random.Random(4)
+    passages = [t for _, t in ITEMS if t]
+    rows = []
+    for i in range(60):
+        words = [f"x{rng.randrange(50)}" for _ in range(rng.randrange(40))]
+        for _ in range(rng.randrange(3)):
+            p = rng.choice(passages).split()
+            a = rng.randrange(len(p))
+            words[rng.randrange(len(words) + 1) : 0] = p[a : a + rng.randint(1, len(p))]
+        rows.append((i, " ".join(words)))
+    return rows + [(70, "repeat " * 300), (71, None), (72, ""), (73, "ONE TWO  three; no id here"), (0, rows[0][1]), (None, ITEMS[0][1])]
+
+
+def contamination_brute(rows, items):
+    named = [(i, t) for i, t in items if i is not None]
+    out = []
+    for d, text in rows:
+        (n, _, n_items, sha, _), = brute.contamination([(d, text)], named).values()
+        (_, hit, _, _, bad), = brute.contamination([(d, text)], [(i or -1, t) for i, t in items]).values()
+        out.append((d, n, hit, n_items, sha, bad))
+    return sorted(out, key=repr)
+
+
+@pytest.mark.parametrize("block_bytes", [1 << 20, 400])
+def test_decontamination_equals_brute_force(spark, block_bytes):
+    """In one part and in many; repeated items, items without an id, short ones, repeated words."""
+    rows = contamination_rows()
+    bench = frame_of(spark, ITEMS, "item_id bigint, text string, doc_id string")
+    assert len(list(decontaminate.benchmark_parts(bench, "item_id", "text", block_bytes))) > (block_bytes < 1000)
+    found = decontaminate.contamination(frame_of(spark, rows).repartition(3), bench, block_bytes=block_bytes)
+    got = [tuple(r) for r in decontaminate.contamination_digest(found).collect()]
+    expected = contamination_brute(rows, ITEMS)
+    assert sorted(got, key=repr) == expected
+    clean = decontaminate.drop_contaminated(frame_of(spark, rows), bench, block_bytes=block_bytes)
+    assert sorted((r.doc_id for r in clean.collect()), key=repr) == sorted((e[0] for e in expected if not e[5]), key=repr)
+
+
+def test_decontamination_of_very_long_repeats():
+    """200,000 equal words in an item and in a document: linear, and within 500 MB."""
+    long = "again " * 200_000
+    started = time.time()
+    tracemalloc.start()
+    batch = pa.RecordBatch.from_arrays([pa.array([7], pa.int64()), pa.array([long])], ["id", "text"])
+    (windows,) = list(decontaminate._windows(iter([batch])))
+    assert windows.num_rows == 1
+    bench = decontaminate.Fingerprints(
+        windows.column(1).to_numpy(), *[windows.column(i).to_numpy().view(np.uint64) for i in (2, 3, 4)], np.zeros(1, np.int64), [np.array([7])]
+    )
+    docs = pa.RecordBatch.from_arrays([pa.array([1], pa.int64()), pa.array([1], pa.int64()), pa.array([long + "end"])], ["doc_id", "text_key", "text"])
+    (found,) = list(decontaminate._search(bench)(iter([docs])))
+    assert tracemalloc.get_traced_memory()[1] < 500 << 20
+    tracemalloc.stop()
+    assert found.column(2).to_pylist() == [200_001]
+    assert found.column(3).to_pylist() == [[{"start": 0, "end": 200_000}]] and found.column(4).to_pylist() == [[7]]
+    assert time.time() - started < 30
+
+
+LONG = {
+    "digits": "7" * 5_000_000,
+    "letters before a sign": "a" * 5_000_000 + "@",
+    "signs": "a@" * 1_000_000,
+    "dots": "1." * 1_000_000,
+    "spelled": "one " * 300_000,
+    "white space": " " * 5_000_000,
+    "disguised addresses": "x [at] y [dot] zz " * 100_000,
+}
+
+
+@pytest.mark.parametrize("name", sorted(LONG))
+def test_personal_data_in_long_runs(name):
+    started = time.time()
+    found = pii.scan(LONG[name])
+    assert time.time() - started < 30
+    assert len(found) == {"dots": 250_000, "disguised addresses": 100_000}.get(name, 0)
+
+
+def test_base_finds_are_those_of_the_plain_patterns():
+    rng = random.Random(1)
+    parts = ["1", "22", "333", ".", "-", " ", "@", "a", "b.c", "+", "(", ")", "x@y.z", "1.2.3.4", "4111 1111 1111 1111", "%", "_", "é", "\n", "com"]
+    for _ in range(20_000):
+        text = "".join(rng.choices(parts, k=rng.randint(1, 25)))
+        found = pii.find(text)
+        counts = tuple(sum(f[0] == k for f in found) for k in pii.KINDS)
+        digest = brute.sha(",".join(f"{k}:{s}:{e}" for k, s, e in sorted(found, key=lambda f: (pii.KINDS.index(f[0]), f[1]))))
+        assert (*counts, digest) == brute.personal(text), text
+
+
+# Disguises of known identifiers, each with the source text of the span it must give.
+DISGUISED = {
+    "email": [
+        "john [at] example [dot] com", "john at example dot com", "john (at) example.com", "jоhn@exаmple.com", "john{at}example{dot}org",
+        "j­ohn@exam​ple.com", "john at example.com", "ｊｏｈｎ＠ｅｘａｍｐｌｅ．ｃｏｍ",
+    ],
+    "phone": ["+44 twenty 20 7946 0958"[:0] or "+44 20 seven nine 46 0958", "plus four four 20 7946 0958", "+４４ ２０ ７９４６ ０９５８"],
+    "card": ["four one one one 1111 1111 1111 1111"[:0] or "4111 one one one one 1111 1111 1111"[:0] or "４１１１ １１１１ １１１１ １１１１", "4111-1111-1111-one one one one"],
+    "ip": ["10 dot 0 dot 0 dot 1", "１９２．168．0．1", "192[dot]168[dot]0[dot]1"],
+}
+
+
+@pytest.mark.parametrize("kind", sorted(DISGUISED))
+def test_planted_disguises_are_found_and_clean_texts_left_alone(kind):
+    caught = 0
+    for disguise in DISGUISED[kind]:
+        for before, after in (("", ""), ("Please write to ", " today."), ("Meet me at noon; ", ", she said. Two of three came.")):
+            text = before + disguise + after
+            spans = [(s, e) for k, s, e, _ in pii.scan(text) if k == kind]
+            caught += any(s <= len(before) + 2 and e >= len(before) + len(disguise) - 2 for s, e in spans)
+    assert caught == 3 * len(DISGUISED[kind])
+    clean = ["We met at the dot of noon.", "one or two of them", "Look at this. Dot the i.", "seven nine", "call me at five", "a (at) b", "1.2.3", "version 10 dot 2"]
+    assert [t for t in clean if pii.scan(t)] == []
