@@ -14,6 +14,8 @@ All must be rejected, so the largest p-value counts. The tokens of a text are on
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -32,6 +34,19 @@ HEX = "[0-9a-f]{32,}"
 TOKEN = "[A-Za-z0-9+/_-]{20,}={0,2}"
 
 SPAN = "array<struct<start:int,end:int>>"
+# A text may have two to the power of this many finds of a kind, more than a string can hold.
+DOUBLINGS = 28
+
+
+def running(values: Column, combine: Callable[[Column, Column], Column], neutral: int = 0) -> Column:
+    """The array of `combine` over all values up to each one, by doubling: step k adds what stands 2**k places before, so an array of
+    n values takes log n passes and no list is copied for each value."""
+
+    def step(x: Column, far: Column) -> Column:
+        moved = F.concat(F.array_repeat(F.lit(neutral), far), F.slice(x, F.lit(1), F.size(x) - far))
+        return F.when(F.size(x) > far, F.zip_with(x, moved, combine)).otherwise(x)
+
+    return F.aggregate(F.array(*[F.lit(1 << k) for k in range(DOUBLINGS)]), values, step)
 
 
 def match_spans(text: Column, pattern: str) -> Column:
@@ -39,23 +54,10 @@ def match_spans(text: Column, pattern: str) -> Column:
     matches add up to the text."""
 
     def placed(found: Column) -> Column:
-        steps = F.zip_with(
-            F.slice(F.split(text, pattern, -1), F.lit(1), F.size(found)),
-            found,
-            lambda gap, match: F.struct(F.length(gap).alias("gap"), F.length(match).alias("size")),
-        )
-        walk = F.aggregate(
-            steps,
-            F.struct(F.lit(0).alias("at"), F.array().cast(SPAN).alias("out")),
-            lambda s, x: F.struct(
-                (s["at"] + x["gap"] + x["size"]).alias("at"),
-                F.array_append(
-                    s["out"],
-                    F.struct((s["at"] + x["gap"]).alias("start"), (s["at"] + x["gap"] + x["size"]).alias("end")),
-                ).alias("out"),
-            ),
-        )
-        return walk["out"]
+        sizes = F.transform(found, lambda match: F.length(match))
+        gaps = F.transform(F.slice(F.split(text, pattern, -1), F.lit(1), F.size(found)), lambda gap: F.length(gap))
+        ends = let(sizes, lambda n: running(F.zip_with(gaps, n, lambda g, x: g + x), lambda x, y: x + y))
+        return F.zip_with(ends, sizes, lambda end, size: F.struct((end - size).alias("start"), end.alias("end")))
 
     return let(
         F.regexp_extract_all(text, F.lit(pattern), F.lit(0)),
@@ -63,13 +65,49 @@ def match_spans(text: Column, pattern: str) -> Column:
     )
 
 
+def apart(spans: Column, others: Column) -> Column:
+    """The spans that meet none of the others.
+
+    Both are sorted together, a span by its end and another by its start; the farthest end among the others before it tells
+    whether one reaches into the span. The order of the spans stays.
+    """
+    none = F.lit(None).cast("struct<start:int,end:int>")
+    events = F.concat(
+        F.transform(spans, lambda s: F.struct((2 * s["end"]).alias("at"), F.lit(-1).alias("reach"), s.alias("span"))),
+        F.transform(others, lambda s: F.struct((2 * s["start"] + 1).alias("at"), s["end"].alias("reach"), none.alias("span"))),
+    )
+
+    def judged(ordered: Column) -> Column:
+        reach = running(F.transform(ordered, lambda e: e["reach"]), lambda x, y: F.greatest(x, y), -1)
+        both = F.zip_with(ordered, reach, lambda e, r: F.struct(e["span"].alias("span"), r.alias("reach")))
+        free = F.filter(both, lambda x: x["span"].isNotNull() & (x["reach"] <= x["span"]["start"]))
+        return F.sort_array(F.transform(free, lambda x: x["span"]))
+
+    return F.when((F.size(spans) == 0) | (F.size(others) == 0), spans).otherwise(let(F.sort_array(events), judged))
+
+
+def joined(spans: Column) -> Column:
+    """Spans in order of their starts with those that overlap made one."""
+
+    def heads(reach: Column) -> Column:
+        first = F.filter(
+            F.transform(spans, lambda s, i: F.struct(s["start"].alias("start"), F.coalesce(F.get(reach, i - 1), F.lit(-1)).alias("before"))),
+            lambda s: s["start"] >= s["before"],
+        )
+        end = lambda h, i: F.coalesce(F.get(h, i + 1)["before"], F.element_at(reach, -1))
+        return let(first, lambda h: F.transform(h, lambda s, i: F.struct(s["start"].alias("start"), end(h, i).alias("end"))))
+
+    ends = F.transform(spans, lambda s: s["end"])
+    return F.when(F.size(spans) > 0, let(running(ends, lambda x, y: F.greatest(x, y), -1), heads)).otherwise(F.array().cast(SPAN))
+
+
 def assignments(text: Column) -> Column:
     """Spans of assignments whose value has eight characters or more."""
-    values = F.regexp_extract_all(text, F.lit(ASSIGN), F.lit(2))
+    values = F.transform(F.regexp_extract_all(text, F.lit(ASSIGN), F.lit(2)), lambda v: F.length(v))
     return let(
         match_spans(text, ASSIGN),
         lambda spans: F.when(
-            F.size(spans) > 0, F.filter(spans, lambda s, i: F.length(F.get(values, i)) >= 8)
+            F.size(spans) > 0, let(values, lambda n: F.filter(spans, lambda s, i: F.get(n, i) >= 8))
         ).otherwise(spans),
     )
 
@@ -190,10 +228,7 @@ def with_secrets(docs: DataFrame, text: Column, name: str = "secrets") -> DataFr
         match_spans(F.col("__t"), HEX).alias("__h"),
         random_spans(F.col("__t")).alias("__r"),
     )
-    base = F.concat("__a", "__k", "__h")
-    free = F.when(F.size("__r") == 0, F.col("__r")).otherwise(
-        let(base, lambda b: F.filter("__r", lambda r: ~F.exists(b, lambda x: (x["start"] < r["end"]) & (r["start"] < x["end"]))))
-    )
+    free = apart(F.col("__r"), F.concat("__a", "__k", "__h"))
     return out.select(
         *columns, F.struct(F.col("__a").alias("assign"), F.col("__k").alias("access"), F.col("__h").alias("hex"), free.alias("random")).alias(name)
     )
@@ -239,22 +274,20 @@ def secrets_digest(found: DataFrame) -> DataFrame:
 
 
 def mask_secrets(docs: DataFrame, text_col: str = "text", mask: str = "[secret]") -> DataFrame:
-    """`docs` with every span replaced by `mask`; overlapping spans make one. Other columns stay as they are."""
+    """`docs` with every span replaced by `mask`; overlapping spans make one. Other columns stay as they are, whatever their names.
+
+    Null stays null, a text without secrets stays as it is; repeated rows are masked alike, an empty table stays empty.
+    """
     row = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
-    found = with_secrets(row, F.col(f"row.`{text_col}`")).withColumn("__s", ordered_spans("secrets", KINDS))
-    text = F.col(f"row.`{text_col}`")
-    walk = F.aggregate(
-        "__s",
-        F.struct(F.lit(0).alias("at"), F.lit("").alias("out")),
-        lambda s, x: F.when(
-            x["start"] < s["at"], F.struct(F.greatest(s["at"], x["end"]).alias("at"), s["out"].alias("out"))
-        ).otherwise(
-            F.struct(
-                x["end"].alias("at"),
-                F.concat(s["out"], F.substring(text, s["at"] + 1, x["start"] - s["at"]), F.lit(mask)).alias("out"),
-            )
-        ),
-        lambda s: F.concat(s["out"], F.substring(text, s["at"] + 1, F.length(text))),
-    )
-    masked = F.when(F.size("__s") > 0, walk).otherwise(text)
+    found = with_secrets(row, F.col(f"row.`{text_col}`")).withColumn("__s", joined(ordered_spans("secrets", KINDS)))
+    text = F.col(f"row.`{text_col}`").cast("string")
+
+    def cut(chars: Column) -> Column:
+        """The characters up to each span and the mask in its place, then what is left."""
+        end = lambda i: F.coalesce(F.get(F.col("__s"), i - 1)["end"], F.lit(0))
+        part = lambda low, high: F.array_join(F.slice(chars, low + 1, high - low), "")
+        pieces = F.transform("__s", lambda s, i: F.concat(part(end(i), s["start"]), F.lit(mask)))
+        return F.concat(F.array_join(pieces, ""), part(end(F.size("__s")), F.size(chars)))
+
+    masked = F.when(F.size("__s") > 0, let(F.split(text, ""), cut)).otherwise(F.col(f"row.`{text_col}`"))
     return found.select(*[masked.alias(c) if c == text_col else F.col(f"row.`{c}`").alias(c) for c in docs.columns])
