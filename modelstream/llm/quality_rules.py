@@ -159,27 +159,34 @@ def verdict(measured: DataFrame, cutoffs: DataFrame, stats: str = "stats", name:
 
 
 def _good(measured: DataFrame, labels: DataFrame, id_col: str, stats: str) -> DataFrame:
-    good = (
+    """The `stats` of each distinct text that is labelled and all of whose labels are good: copies are no independent trials."""
+    quality = (
         labels.select(F.col("doc_id").cast("bigint").alias("__id"), "quality")
         .filter("__id is not null and quality is not null")
         .groupBy("__id")
         .agg(F.min("quality").alias("quality"))
+    )
+    slim = measured.select(F.col(f"`{id_col}`").cast("bigint").alias("__id"), "text_key", F.col(stats))
+    return (
+        slim.filter(~F.col(f"{stats}.base_failed"))
+        .join(quality, "__id")
+        .groupBy("text_key")
+        .agg(F.min("quality").alias("quality"), F.first(stats).alias(stats))
         .filter("quality = 1")
-        .select("__id")
+        .select(stats)
     )
-    slim = measured.select(F.col(f"`{id_col}`").cast("bigint").alias("__id"), F.col(stats))
-    return slim.filter(~F.col(f"{stats}.base_failed")).join(good, "__id")
 
 
 def quality_verdicts(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, the counts, base_failed and kept of every row of `docs`, with cutoffs from the good ones of `labels`.
 
     Other columns are not looked at. A null or empty text has no words and fails the base rules. Repeated rows are judged
-    alike and count as often as they occur; a document with several labels is good if all are. Rows without an id are judged
+    alike; copies of a text count once in the calibration, as good if all their labels are. Rows without an id are judged
     but never calibrate. Without labels only the base rules reject. Empty input gives an empty result.
     """
     slim = docs.select(F.col(f"`{id_col}`").cast("bigint").alias("doc_id"), F.col(f"`{text_col}`").alias("__text"))
-    measured = common.stored(text_stats(slim, F.col("__text")).select("doc_id", "stats"), "quality-stats")
+    key = F.sha2(F.coalesce(F.col("__text").cast("string"), F.lit("")), 256).alias("text_key")
+    measured = common.stored(text_stats(slim, F.col("__text")).select("doc_id", key, "stats"), "quality-stats")
     cutoffs = choose_cutoffs(_good(measured, labels, "doc_id", "stats"))
     return verdict(measured, cutoffs).select(
         "doc_id", *[f"stats.{c}" for c in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed")], "kept"
@@ -187,10 +194,13 @@ def quality_verdicts(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id",
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of `docs` that pass, with all their columns."""
+    """The rows of `docs` that pass, with all their columns, by the rules of `quality_verdicts`."""
     row = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
     measured = common.stored(
-        text_stats(row, F.col(f"row.`{text_col}`")).withColumn("id", F.col(f"row.`{id_col}`")), "quality-stats"
+        text_stats(row, F.col(f"row.`{text_col}`")).withColumns(
+            {"id": F.col(f"row.`{id_col}`"), "text_key": F.sha2(F.coalesce(F.col(f"row.`{text_col}`").cast("string"), F.lit("")), 256)}
+        ),
+        "quality-stats",
     )
     cutoffs = choose_cutoffs(_good(measured, labels, "id", "stats"))
     return verdict(measured, cutoffs).filter("kept").select("row.*")
