@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import functools
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -26,6 +27,19 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@contextmanager
+def tidy_shuffles(spark: SparkSession) -> Iterator[None]:
+    """Shuffle files go at the end of the query that made them, not when the driver happens to collect its garbage. Only for
+    queries whose result is written: nothing reads their shuffles again."""
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name, "false")
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def stored(df: DataFrame, purpose: str) -> DataFrame:
     """`df` written to the shared folder and read back: computed once, and safe when an executor is lost.
 
@@ -33,7 +47,8 @@ def stored(df: DataFrame, purpose: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = work_folder(spark, purpose)
-    df.write.parquet(path)
+    with tidy_shuffles(spark):
+        df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -51,7 +66,8 @@ class Scratch:
         """`df` written and read back."""
         self.count += 1
         path = f"{self.count:04d}-{name}"
-        df.write.parquet(f"{self.root}/{path}")
+        with tidy_shuffles(self.spark):
+            df.write.parquet(f"{self.root}/{path}")
         self.there.setdefault(name, []).append(path)
         return self.spark.read.schema(df.schema).parquet(f"{self.root}/{path}")
 
