@@ -7,6 +7,7 @@ expressions are SQL text, which Spark parses in one go.
 
 from __future__ import annotations
 
+import math
 from typing import Any
 
 from pyspark.sql import DataFrame
@@ -26,6 +27,8 @@ def writable(params: Params | None) -> bool:
 
 def number(value: float) -> str:
     """A double literal."""
+    if not math.isfinite(value):
+        return f"CAST('{float(value)!r}' AS DOUBLE)"
     text = f"{float(value)!r}D"
     return f"({text})" if text.startswith("-") else text
 
