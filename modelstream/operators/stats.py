@@ -13,6 +13,18 @@ from modelstream.schemas import KIND_DOCUMENT, LONG_MAX, LONG_MIN
 
 VERSION = ["data_type", "name", "since"]
 
+# Sums of durations are kept as decimals: exact to nine places, whatever the order of the rows.
+EXACT = "decimal(28,9)"
+TOTAL = "decimal(37,9)"
+
+
+def total(duration: Column) -> Column:
+    """The sum of durations that does not depend on the order or the parts they are added in.
+
+    Each one is taken to nine decimal places first; one that is no finite number adds nothing.
+    """
+    return F.sum(duration.try_cast(EXACT))
+
 
 def average(duration: Column, usage: Column) -> Column:
     """Mean duration; NaN when nothing was scored."""
@@ -29,7 +41,7 @@ def stats_by_model(served: DataFrame, duration: str = "duration") -> DataFrame:
         served.groupBy(*VERSION)
         .agg(
             F.count(F.lit(1)).cast("bigint").alias("usage"),
-            F.sum(F.col(duration).cast("double")).alias("duration"),
+            total(F.col(duration)).cast("double").alias("duration"),
             F.min(F.col(duration).cast("bigint")).alias("min"),
             F.max(F.col(duration).cast("bigint")).alias("max"),
         )
@@ -37,11 +49,11 @@ def stats_by_model(served: DataFrame, duration: str = "duration") -> DataFrame:
     )
 
 
-def merge_stats(parts: DataFrame) -> DataFrame:
-    """Statistics of the same version from several shards or batches, added up."""
-    return parts.groupBy(*VERSION).agg(
+def merge_stats(parts: DataFrame, *more: str) -> DataFrame:
+    """Statistics of the same version (and the same values of `more` columns) from several shards or batches, added up."""
+    return parts.groupBy(*more, *VERSION).agg(
         F.sum("usage").cast("bigint").alias("usage"),
-        F.sum("duration").alias("duration"),
+        total(F.col("duration")).cast("double").alias("duration"),
         F.min("min").alias("min"),
         F.max("max").alias("max"),
     )
@@ -55,11 +67,11 @@ def running_stats(
     A version with more rows than one task should sort is cut into chunks; each chunk starts from the totals before it.
     `served` is read several times: give a written result table rather than the query that computes it.
     """
-    total = served.count()
+    rows_in_all = served.count()
     rows = served
-    if total > limits.rows_per_chunk:
+    if rows_in_all > limits.rows_per_chunk:
         rows = served.withColumn("__version", F.to_json(F.struct(*VERSION)))
-        parts = chunks.chunked(rows, "__version", ["submission_ts", tie], limits, total)
+        parts = chunks.chunked(rows, "__version", ["submission_ts", tie], limits, rows_in_all)
     else:
         parts = chunks.Chunked(chunks.assign(rows, None, "", []), None, "", [])
     took = F.col(duration)
@@ -67,13 +79,13 @@ def running_stats(
         parts,
         {
             "__usage": F.count(F.lit(1)),
-            "__duration": F.sum(took.cast("double")),
+            "__duration": total(took),
             "__min": F.min(took.cast("bigint")),
             "__max": F.max(took.cast("bigint")),
         },
         {"__usage": F.sum, "__duration": F.sum, "__min": F.min, "__max": F.max},
     )
-    types = {"__usage": "bigint", "__duration": "double", "__min": "bigint", "__max": "bigint"}
+    types = {"__usage": "bigint", "__duration": TOTAL, "__min": "bigint", "__max": "bigint"}
     frame = (
         Window.partitionBy(*VERSION, chunks.CHUNK)
         .orderBy("submission_ts", tie)
@@ -82,7 +94,9 @@ def running_stats(
     return chunks.with_carried(parts, carry, types).select(
         *served.columns,
         (F.count(F.lit(1)).over(frame) + F.coalesce("__usage", F.lit(0))).cast("bigint").alias("run_usage"),
-        (F.sum(took.cast("double")).over(frame) + F.coalesce("__duration", F.lit(0.0))).alias("run_duration"),
+        (total(took).over(frame).cast(TOTAL) + F.coalesce(F.col("__duration").cast(TOTAL), F.lit(0).cast(TOTAL)))
+        .cast("double")
+        .alias("run_duration"),
         F.least(F.min(took.cast("bigint")).over(frame), F.col("__min")).alias("run_min"),
         F.greatest(F.max(took.cast("bigint")).over(frame), F.col("__max")).alias("run_max"),
     )
@@ -131,7 +145,7 @@ def remote_state(served: DataFrame, duration: str = "duration") -> DataFrame:
     """Statistics of the one model an external scorer serves, under its fixed name."""
     return served.agg(
         F.count(F.lit(1)).cast("bigint").alias("usage"),
-        F.sum(F.col(duration).cast("double")).alias("duration"),
+        total(F.col(duration)).cast("double").alias("duration"),
         F.min(F.col(duration).cast("bigint")).alias("min"),
         F.max(F.col(duration).cast("bigint")).alias("max"),
     ).select(

@@ -34,3 +34,27 @@ def test_totals_add_up_and_merge(spark):
     parts = stats.stats_by_model(frame.filter("record_id < 100")).unionByName(stats.stats_by_model(frame.filter("record_id >= 100")))
     merged = stats.merge_stats(parts).select("name", "usage", "duration", "min", "max")
     assert sorted(merged.collect()) == sorted(totals.select("name", "usage", "duration", "min", "max").collect())
+
+
+def test_sums_do_not_depend_on_the_cut(spark):
+    """Durations that no double holds exactly: grouped and running sums are the same bits for any chunks and partitions."""
+    from decimal import Decimal
+
+    rng = random.Random(4)
+    data = [(i, "a", "m", 0, i, rng.choice([0.1, 0.7, 1e9 + 0.3, 1e-9, rng.randrange(10**6) / 1000])) for i in range(400)]
+    frame = spark.createDataFrame(data, SERVED)
+    expected, total = {}, Decimal(0)
+    for i, *_, d in data:
+        total += Decimal(repr(d))
+        expected[i] = float(total)
+    for rows in (7, 30, 10_000):
+        got = stats.running_stats(frame.repartition(3), limits=Limits(rows_per_chunk=rows)).select("record_id", "run_duration").collect()
+        assert {r.record_id: r.run_duration for r in got} == expected
+    for parts in (1, 5, 13):
+        assert stats.stats_by_model(frame.repartition(parts)).first().duration == float(total)
+
+
+def test_durations_that_are_no_numbers(spark):
+    frame = spark.createDataFrame([(1, "a", "m", 0, 1, float("nan")), (2, "a", "m", 0, 2, 2.5), (3, "a", "m", 0, 3, None)], SERVED)
+    row = stats.stats_by_model(frame.select("data_type", "name", "since", "duration")).select("usage", "duration").first()
+    assert (row.usage, row.duration) == (3, 2.5)
