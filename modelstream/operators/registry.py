@@ -12,7 +12,7 @@ from modelstream.config import Limits, work_folder
 from modelstream.functions.scoring import SCORERS, Scorer
 from modelstream.functions.text import payload_digest
 from modelstream.plans import chunks
-from modelstream.schemas import KIND_BUNDLE, KIND_DOCUMENT, KIND_GRAPH, PARAMS
+from modelstream.schemas import KIND_BUNDLE, KIND_DOCUMENT, KIND_GRAPH, PARAM_FIELDS
 from modelstream.sources.documents import parse_document, parse_layers
 
 # Adds a PARAMS column to a model table: (models, payload column as text, input names, output column) -> models.
@@ -21,7 +21,8 @@ Parser = Callable[[DataFrame, str, list[str], str], DataFrame]
 
 @dataclass(frozen=True)
 class Kinds:
-    """Which model kinds can be built, and how each form is scored. `register` returns an extended copy."""
+    """Which model kinds can be built, how each form is scored, and what parameters kinds have beside the common ones.
+    `register` returns an extended copy."""
 
     parsers: dict[int, Parser] = field(
         default_factory=lambda: {
@@ -31,17 +32,39 @@ class Kinds:
         }
     )
     scorers: dict[str, Scorer] = field(default_factory=lambda: dict(SCORERS))
+    fields: dict[str, str] = field(default_factory=dict)
 
     def register(
-        self, code: int, parser: Parser, form: str | None = None, scorer: Scorer | None = None
+        self,
+        code: int,
+        parser: Parser,
+        form: str | None = None,
+        scorer: Scorer | None = None,
+        fields: dict[str, str] | None = None,
     ) -> Kinds:
-        """These kinds plus one: `parser` builds its parameters, `scorer` evaluates those of a new `form`."""
+        """These kinds plus one: `parser` builds its parameters, `scorer` evaluates those of a new `form`.
+
+        Parameters that the common struct has no place for go into `fields` of the kind's own (name to type; ``variant`` holds
+        any document, read with `own`). The parser gives a struct with ``form`` and whatever fields it sets.
+        """
         scorers = dict(self.scorers)
         if form is not None:
             if scorer is None:
                 raise ValueError(f"form {form!r} needs a scorer")
             scorers[form] = scorer
-        return Kinds({**self.parsers, code: parser}, scorers)
+        clash = set(fields or {}) & {*PARAM_FIELDS, *self.fields}
+        if any({**PARAM_FIELDS, **self.fields}[name] != fields[name] for name in clash):
+            raise ValueError(f"parameters {sorted(clash)} exist with another type")
+        added = {name: kind for name, kind in (fields or {}).items() if name not in PARAM_FIELDS}
+        return Kinds({**self.parsers, code: parser}, scorers, {**self.fields, **added})
+
+    def params(self, parsed: Column, present: list[str]) -> Column:
+        """A parser's struct, which has the fields `present`, as the struct all kinds share; null stays null."""
+        every = {**PARAM_FIELDS, **self.fields}
+        values = [
+            (parsed.getField(name) if name in present else F.lit(None)).cast(kind).alias(name) for name, kind in every.items()
+        ]
+        return F.when(parsed.isNotNull(), F.struct(*values))
 
     def table(self, models: DataFrame) -> DataFrame:
         """The known kind codes as a one-column table."""
@@ -49,6 +72,11 @@ class Kinds:
         return models.sparkSession.createDataFrame(rows, "model_kind int")
 
 
+def own(params: Column, path: str, kind: str, name: str = "own") -> Column:
+    """The value at `path` of a kind's VARIANT parameters as type `kind`; null where it is missing or of another type."""
+    return F.try_variant_get(params.getField(name), path, kind)
+
+
 def supported(models: DataFrame, kinds: Kinds = Kinds()) -> DataFrame:
     """Models of a known kind. The kind table has one row per registered parser."""
     return models.join(F.broadcast(kinds.table(models)), "model_kind", "left_semi")
@@ -98,8 +126,9 @@ def build_models(models: DataFrame, names: list[str], kinds: Kinds = Kinds()) ->
     chain = None
     for code, out in columns.items():
         hit = F.col("model_kind") == code
-        chain = F.when(hit, F.col(out)) if chain is None else chain.when(hit, F.col(out))
-    return parsed.select(*models.columns, chain.cast(PARAMS).alias("params"))
+        value = kinds.params(F.col(out), parsed.schema[out].dataType.names)
+        chain = F.when(hit, value) if chain is None else chain.when(hit, value)
+    return parsed.select(*models.columns, chain.alias("params"))
 
 
 def save_models(models: DataFrame, path: str | None = None) -> DataFrame:

@@ -48,7 +48,7 @@ def route(
     inputs: list[Column],
     policy: Policy = Policy(),
     keep: list[str] | None = None,
-    forms: list[str] | None = None,
+    forms: dict[str, scoring.Scorer] | list[str] | None = None,
     score: str | None = None,
 ) -> DataFrame:
     """Results for records with the struct ``model`` (null when there is none) next to them.
@@ -93,7 +93,7 @@ def serve_asof(
     order: str = "event_time",
     batch: str = "batch",
     keep: list[str] | None = None,
-    forms: list[str] | None = None,
+    forms: dict[str, scoring.Scorer] | list[str] | None = None,
     strategy: str = "auto",
     limits: Limits = Limits(),
 ) -> DataFrame:
@@ -127,7 +127,7 @@ def serve_latest(
     policy: Policy = Policy(),
     *,
     keep: list[str] | None = None,
-    forms: list[str] | None = None,
+    forms: dict[str, scoring.Scorer] | list[str] | None = None,
     spread: Column | None = None,
     limits: Limits = Limits(),
 ) -> DataFrame:
@@ -149,7 +149,7 @@ def serve_few(
     *,
     most: int = 32,
     keep: list[str] | None = None,
-    forms: list[str] | None = None,
+    forms: dict[str, scoring.Scorer] | list[str] | None = None,
     limits: Limits = Limits(),
 ) -> DataFrame:
     """As `serve_latest`, for a registry of few types: the models are written into the plan and nothing is joined.

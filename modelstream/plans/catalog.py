@@ -5,12 +5,12 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import numpy as np
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from modelstream.config import Limits, work_folder
 from modelstream.functions import compiled, features, remote, text
-from modelstream.operators import registry, stats, wire
+from modelstream.operators import blocks, registry, stats, wire
 from modelstream.operators.external import batch_score
 from modelstream.operators.serve import Policy, serve_asof, serve_few, serve_latest
 from modelstream.plans import bindings as b
@@ -193,7 +193,9 @@ def kind_lookup(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def payload_guard(spark: SparkSession, sf: str) -> DataFrame:
-    return registry.with_payload(b.model_documents(spark, sf)).select("name", F.length("model").alias("bytes"))
+    return registry.with_payload(b.model_documents(spark, sf)).select(
+        "name", F.length("model").alias("bytes"), F.sha2("model", 256).alias("digest")
+    )
 
 
 @query
@@ -299,6 +301,121 @@ def dense_argmax(spark: SparkSession, sf: str) -> DataFrame:
     return scored.select("vec_id", "result", F.round(F.array_max("result_probs"), 6).alias("best"))
 
 
+def _models_by_key(spark: SparkSession, names: list[str], *rows: tuple[str, int, str]) -> DataFrame:
+    """Built models (key, kind, document)."""
+    descriptors = spark.createDataFrame(list(rows), "key string, model_kind int, model string")
+    built = registry.build_models(descriptors.withColumn("model", F.col("model").cast("binary")), names)
+    return registry.save_models(built)
+
+
+def _vectors(spark: SparkSession, sf: str, key: Column) -> DataFrame:
+    rows = b.table(spark, sf, "embeddings")
+    return rows.select("vec_id", F.col("embedding").cast("array<double>").alias("x"), key.alias("key"))
+
+
+@query
+def mlp_class_blocks(spark: SparkSession, sf: str) -> DataFrame:
+    """One matrix product per layer and block of rows."""
+    models = _models_by_key(spark, fixtures.VECTOR_NAMES, ("mlp", KIND_DOCUMENT, fixtures.NETWORK))
+    scored = blocks.score_blocks(_vectors(spark, sf, F.lit("mlp")), models, "key", "x")
+    return scored.select("vec_id", "result", *_class_shares(scored))
+
+
+@query
+def dense_argmax_blocks(spark: SparkSession, sf: str) -> DataFrame:
+    models = _models_by_key(spark, fixtures.VECTOR_NAMES, ("dense", KIND_GRAPH, fixtures.DENSE))
+    scored = blocks.score_blocks(_vectors(spark, sf, F.lit("dense")), models, "key", "x")
+    return scored.select("vec_id", "result", F.round(F.array_max("result_probs"), 6).alias("best"))
+
+
+@query
+def network_versions(spark: SparkSession, sf: str) -> DataFrame:
+    """Two versions, one with two thirds of the rows, as if their parameters were too large to be broadcast."""
+    models = _models_by_key(
+        spark, fixtures.VECTOR_NAMES, ("mlp", KIND_DOCUMENT, fixtures.NETWORK), ("dense", KIND_GRAPH, fixtures.DENSE)
+    )
+    rows = _vectors(spark, sf, F.when(F.col("vec_id") % 3 == 0, "dense").otherwise("mlp"))
+    scored = blocks.score_blocks(rows, models, "key", "x", spread=F.col("vec_id"), limits=Limits(broadcast_rows=0))
+    return scored.select("vec_id", F.col("key").alias("version"), "result")
+
+
+@query
+def forest_class_blocks(spark: SparkSession, sf: str) -> DataFrame:
+    """The leaves of a forest by bit vectors, without walking its nodes."""
+    models = _models_by_key(spark, fixtures.PART_NAMES, ("forest", KIND_DOCUMENT, fixtures.FOREST))
+    rows = _parts(spark, sf).select(
+        "p_partkey",
+        F.lit("forest").alias("key"),
+        F.array(*[F.col(c).cast("double") for c in ("p_size", "p_retailprice", "sold", "lines")]).alias("x"),
+    )
+    scored = blocks.score_blocks(rows, models, "key", "x")
+    return scored.select("p_partkey", "result", *_class_shares(scored))
+
+
+@query
+def serve_blocks(spark: SparkSession, sf: str) -> DataFrame:
+    """As serve_asof: the version in force is joined, its parameters never are."""
+    served = blocks.serve_blocks(
+        b.records(spark, sf), b.models(spark, sf), F.array("value", "k"), keep=["record_id"]
+    )
+    return _results(served)
+
+
+# A kind whose parameters have no place in the common struct: levels between knots, as a document.
+KIND_STEPS = 7
+
+
+def _parse_steps(models: DataFrame, text: str, names: list[str], out: str) -> DataFrame:
+    own = F.try_parse_json(F.col(text))
+    whole = F.try_variant_get(own, "$.levels", "array<double>").isNotNull()
+    return models.withColumn(out, F.when(whole, F.struct(F.lit("steps").alias("form"), own.alias("own"))))
+
+
+def _score_steps(x: list[Column], p: Column) -> Column:
+    knots, levels = (registry.own(p, f"$.{name}", "array<double>") for name in ("knots", "levels"))
+    return F.get(levels, F.size(F.filter(knots, lambda k: k <= x[0])))
+
+
+STEPS = registry.Kinds().register(KIND_STEPS, _parse_steps, "steps", _score_steps, {"own": "variant"})
+
+
+def _step_models(spark: SparkSession, sf: str) -> DataFrame:
+    document = F.to_json(
+        F.struct(
+            F.array(F.col("value") / 2, F.col("value")).alias("knots"),
+            F.array(F.lit(0.5), 10 * (F.col("k") / 100.0), 100 * (F.col("k") / 100.0)).alias("levels"),
+        )
+    )
+    descriptors = b.signups(spark, sf).select(
+        F.concat(F.lit("m"), F.col("event_id").cast("string")).alias("name"),
+        F.lit("levels between knots").alias("description"),
+        "data_type",
+        F.lit(KIND_STEPS).alias("model_kind"),
+        document.cast("binary").alias("model"),
+        "ts",
+        F.col("event_id").alias("seq"),
+    )
+    return registry.save_models(registry.build_models(descriptors, ["value", "k"], STEPS))
+
+
+@query
+def own_kind_asof(spark: SparkSession, sf: str) -> DataFrame:
+    """Models of a kind of the caller's own, as of the time of the record."""
+    scorers = {"steps": STEPS.scorers["steps"]}
+    return _results(
+        serve_asof(b.records(spark, sf), _step_models(spark, sf), b.inputs(), keep=["record_id"], forms=scorers)
+    )
+
+
+@query
+def own_kind_latest(spark: SparkSession, sf: str) -> DataFrame:
+    """The same from the registry: the newest model of each type."""
+    scorers = {"steps": STEPS.scorers["steps"]}
+    return _results(
+        serve_latest(b.records(spark, sf), _step_models(spark, sf), b.inputs(), keep=["record_id"], forms=scorers)
+    )
+
+
 def _three_models(spark: SparkSession) -> DataFrame:
     dense = fixtures.layers_document(
         [([[0.1, 0.0, -2.0, 1.0], [0.05, 0.00001, 3.0, -1.0], [-0.02, 0.00002, 0.0, 4.0]], [0.0, 0.2, 0.4], "sigmoid")]
@@ -365,12 +482,14 @@ def predict_request(spark: SparkSession, sf: str) -> DataFrame:
     )
     read = F.from_json("body", "struct<signature_name:string,instances:array<struct<inputs:array<double>>>>")
     inputs = F.get(F.get("r.instances", 0).getField("inputs"), F.lit(0))
+    weighed = F.transform(F.get("r.instances", 0).getField("inputs"), lambda v, i: v * (i + 1))
     return bodies.select("vec_id", read.alias("r")).select(
         "vec_id",
         F.col("r.signature_name").alias("signature"),
         F.size("r.instances").cast("bigint").alias("instances"),
         F.size(F.get("r.instances", 0).getField("inputs")).cast("bigint").alias("width"),
         F.round(inputs, 6).alias("first_input"),
+        F.round(F.aggregate(weighed, F.lit(0.0), lambda s, v: s + v), 4).alias("weighed_inputs"),
     )
 
 
@@ -595,11 +714,12 @@ def envelope_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
 # --- files --------------------------------------------------------------------------------------------------------
 
 
-def _delimited(spark: SparkSession, sf: str, name: str) -> str:
-    """The parts as delimited text with blanks around the values and one column too many."""
+def _delimited(spark: SparkSession, sf: str, name: str, ordered: bool = False) -> str:
+    """The parts as delimited text with blanks around the values and one column too many; `ordered` by key over the files."""
     target = work_folder(spark, name)
     line = F.concat_ws(" ; ", *[F.col(c).cast("string") for c in ("p_partkey", "p_size", "p_retailprice", "p_brand")])
-    b.table(spark, sf, "part").select(line.alias("value")).write.text(target)
+    parts = b.table(spark, sf, "part")
+    (parts.orderBy("p_partkey") if ordered else parts).select(line.alias("value")).write.text(target)
     return target
 
 
@@ -612,11 +732,10 @@ def csv_scan(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def csv_lines(spark: SparkSession, sf: str) -> DataFrame:
-    """The same by splitting lines, in reversed key order."""
-    rows = tables.read_delimited_lines(
-        spark, _delimited(spark, sf, "lines"), ["part_key", "size", "price"], tag="part"
-    )
-    return tables.replay_order(rows, "part_key")
+    """The same by splitting lines, with their numbers over all files, last line first."""
+    path = _delimited(spark, sf, "lines", ordered=True)
+    rows = tables.read_delimited_lines(spark, path, ["part_key", "size", "price"], tag="part", numbered=True)
+    return tables.replay_order(rows.drop("line"), "number")
 
 
 @query
@@ -651,4 +770,8 @@ def publish_read(spark: SparkSession, sf: str) -> DataFrame:
     rows = record_messages(spark, sf)
     sinks.publish(sinks.messages(rows, F.col("value"), F.col("event_id").cast("string")), target)
     back = spark.read.schema("key binary, value binary").parquet(target)
-    return back.select(F.col("key").cast("string").alias("key"), F.length("value").cast("bigint").alias("bytes"))
+    return back.select(
+        F.col("key").cast("string").alias("key"),
+        F.length("value").cast("bigint").alias("bytes"),
+        F.sha2("value", 256).alias("digest"),
+    )

@@ -137,7 +137,7 @@ SELECT name, CASE WHEN model_kind = 9 THEN 'rejected' ELSE 'supported' END AS ve
 """,
     "payload_guard": BASE
     + DOCUMENTS
-    + "SELECT name, CAST(strlen(payload) AS INTEGER) AS bytes FROM payloads WHERE payload <> ''",
+    + "SELECT name, CAST(strlen(payload) AS INTEGER) AS bytes, sha256(payload) AS digest FROM payloads WHERE payload <> ''",
     "registry_merge": BASE + "SELECT data_type, name, since AS ts, intercept FROM latest",
     "model_validity": BASE
     + """
@@ -239,7 +239,9 @@ FROM input WHERE l_returnflag IN ('A', 'N', 'R')
     "batch_scorer": BASE + "SELECT record_id, round(value + value * k / 100, 6) AS result FROM records",
     "predict_request": """
 SELECT vec_id, 'predict' AS signature, CAST(1 AS BIGINT) AS instances, CAST(len(embedding) AS BIGINT) AS width,
-       round(CAST(embedding[1] AS DOUBLE), 6) AS first_input FROM embeddings
+       round(CAST(embedding[1] AS DOUBLE), 6) AS first_input,
+       round(list_sum([CAST(embedding[i] AS DOUBLE) * i FOR i IN range(1, len(embedding) + 1)]), 4) AS weighed_inputs
+FROM embeddings
 """,
     "predict_response": """
 SELECT vec_id, CAST(len(embedding) AS BIGINT) AS scores,
@@ -326,15 +328,49 @@ SELECT regexp_replace(p_brand, '[^0-9]', '', 'g') AS brand, true AS named, 'line
 """,
     "publish_read": BASE
     + """
-SELECT CAST(event_id AS VARCHAR) AS key, CAST(CASE WHEN event_type = 'error' THEN 20 ELSE strlen(
-  '{"record_id":' || event_id || ',"data_type":"' || data_type || '","ts":' || ts || ',"features":['
-  || CAST(value AS VARCHAR) || ',' || CAST(k AS VARCHAR) || ']}') END AS BIGINT) AS bytes
-FROM base WHERE event_type <> 'signup'
+, bodies AS (
+  SELECT event_id, event_type, '{"record_id":' || event_id || ',"data_type":"' || data_type || '","ts":' || ts || ',"features":['
+         || CAST(value AS VARCHAR) || ',' || CAST(k AS VARCHAR) || ']}' AS body FROM base WHERE event_type <> 'signup'),
+messages AS (SELECT event_id, CASE WHEN event_type = 'error' THEN substr(body, 1, 20) ELSE body END AS value FROM bodies)
+SELECT CAST(event_id AS VARCHAR) AS key, CAST(strlen(value) AS BIGINT) AS bytes, sha256(value) AS digest FROM messages
 """,
 }
 ORACLE["decode_records_sql"] = ORACLE["decode_records"]
 ORACLE["score_dispatch_compiled"] = ORACLE["score_dispatch"]
-ORACLE["csv_lines"] = ORACLE["csv_scan"]
+ORACLE["csv_lines"] = """
+SELECT CAST(p_partkey AS DOUBLE) AS part_key, CAST(p_size AS DOUBLE) AS "size", p_retailprice AS price, 'part' AS data_type,
+       row_number() OVER (ORDER BY p_partkey) AS number, row_number() OVER (ORDER BY p_partkey DESC) AS from_end FROM part
+"""
+ORACLE["mlp_class_blocks"] = ORACLE["mlp_class"]
+ORACLE["dense_argmax_blocks"] = ORACLE["dense_argmax"]
+ORACLE["forest_class_blocks"] = ORACLE["forest_class"]
+ORACLE["serve_blocks"] = RESULTS
+ORACLE["network_versions"] = f"""
+SELECT vec_id, 'mlp' AS version, result FROM ({ORACLE["mlp_class"]}) WHERE vec_id % 3 > 0
+UNION ALL SELECT vec_id, 'dense' AS version, result FROM ({ORACLE["dense_argmax"]}) WHERE vec_id % 3 = 0
+"""
+_STEPS = """,
+steps AS (SELECT data_type, ts, seq, name, [intercept / 2, intercept] AS knots, [0.5, 10 * coef, 100 * coef] AS levels FROM models)
+"""
+_LEVEL = "m.levels[1 + len([k FOR k IN m.knots IF k <= r.value])]"
+ORACLE["own_kind_asof"] = (
+    BASE
+    + _STEPS
+    + f"""
+SELECT r.record_id, m.name, r.data_type, r.ts AS submission_ts, round({_LEVEL}, 6) AS result
+FROM records r ASOF JOIN (SELECT data_type, ts, arg_max(name, seq) AS name, arg_max(knots, seq) AS knots,
+  arg_max(levels, seq) AS levels FROM steps GROUP BY data_type, ts) m ON r.data_type = m.data_type AND r.ts >= m.ts
+"""
+)
+ORACLE["own_kind_latest"] = (
+    BASE
+    + _STEPS
+    + f"""
+SELECT r.record_id, m.name, r.data_type, r.ts AS submission_ts, round({_LEVEL}, 6) AS result
+FROM records r JOIN (SELECT data_type, arg_max(name, (ts, seq)) AS name, arg_max(knots, (ts, seq)) AS knots,
+  arg_max(levels, (ts, seq)) AS levels FROM steps GROUP BY data_type) m ON r.data_type = m.data_type
+"""
+)
 
 for _name in ("stream_keyed", "stream_recover", "stream_arrivals"):
     ORACLE[_name] = RESULTS
@@ -348,6 +384,21 @@ ORACLE["stream_state_stats"] = (
     + STATS
     + "SELECT s.* FROM by_model s JOIN latest l ON s.data_type = l.data_type AND s.name = l.name AND s.since = l.since"
 )
+ORACLE["stream_state_history"] = (
+    BASE
+    + """,
+slices AS (
+  SELECT i AS batch_id, first + (i + 1) * ((last - first) // 3 + 1) AS until
+  FROM (SELECT min(ts) AS first, max(ts) AS last FROM base), range(3) r(i)),
+newest AS (
+  SELECT batch_id, until, data_type, arg_max(name, (ts, seq)) AS name, arg_max(ts, (ts, seq)) AS since
+  FROM slices JOIN models ON ts < until GROUP BY batch_id, until, data_type)
+SELECT CAST(batch_id AS BIGINT) AS batch_id, s.data_type, s.name, s.since, CAST(count(*) AS BIGINT) AS usage,
+       sum(duration) AS duration, CAST(min(duration) AS BIGINT) AS "min", CAST(max(duration) AS BIGINT) AS "max"
+FROM newest n JOIN served s ON s.data_type = n.data_type AND s.name = n.name AND s.since = n.since AND s.submission_ts < n.until
+GROUP BY batch_id, s.data_type, s.name, s.since
+"""
+)
 ORACLE["stream_state_lookup"] = ORACLE["state_lookup"]
 ORACLE["stream_messages"] = (
     BASE

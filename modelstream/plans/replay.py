@@ -48,6 +48,8 @@ def state_settings(spark: SparkSession) -> Iterator[None]:
         "spark.sql.streaming.stateStore.providerClass": (
             "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
         ),
+        # Changes of the state can be read back, and a batch uploads what changed rather than whole files.
+        "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
         "spark.sql.shuffle.partitions": str(ServingConfig().state_partitions),
     }
     before = {name: spark.conf.get(name, None) for name in wanted}
@@ -176,6 +178,20 @@ def stream_state_stats(spark: SparkSession, sf: str) -> DataFrame:
     return current.filter("usage > 0").select("data_type", "name", "since", "usage", "duration", "min", "max")
 
 
+@query
+def stream_state_history(spark: SparkSession, sf: str) -> DataFrame:
+    """Model in force and statistics after each batch, from the changes of the state; a batch is a third of the time."""
+    first, last = b.base(spark, sf).agg(F.min("ts"), F.max("ts")).first()
+    step = (last - first) // SLICES + 1
+    replay = Replay(spark, sf, "stream-state-history")
+    with state_settings(spark):
+        for i in range(SLICES):
+            replay.arrive((first + i * step, first + (i + 1) * step))
+            finish(replay.keyed(processor=True))
+        history = keyed.read_history(spark, replay.checkpoint)
+    return history.filter("usage > 0").select("batch_id", "data_type", "name", "since", "usage", "duration", "min", "max")
+
+
 @query
 def stream_state_lookup(spark: SparkSession, sf: str) -> DataFrame:
     """The state query over the state of the keyed job: known types and unknown ones."""

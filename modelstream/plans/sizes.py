@@ -15,6 +15,8 @@ def value_bytes(column: Column, kind: T.DataType) -> Column:
     """Bytes a value takes, from its type and the lengths of its variable parts."""
     if isinstance(kind, (T.StringType, T.BinaryType)):
         return F.coalesce(F.octet_length(column), F.lit(0)).cast("bigint") + F.lit(16)
+    if isinstance(kind, T.VariantType):
+        return F.coalesce(F.octet_length(F.to_json(column)), F.lit(0)).cast("bigint") + F.lit(16)
     if isinstance(kind, T.StructType):
         total = F.lit(16).cast("bigint")
         for field in kind.fields:

@@ -15,13 +15,14 @@ from typing import Any
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
 from modelstream.config import ship_package
 from modelstream.operators.serve import Policy, in_force, route
+from modelstream.operators.stats import merge_stats
 from modelstream.schemas import PARAMS
 
 STREAM_ROW = (
@@ -265,17 +266,35 @@ def read_models(spark: SparkSession, checkpoint: str, processor: bool = False) -
     return rows.groupBy("data_type").agg(F.max(held).alias("m")).select("data_type", "m.name", "m.since", "m.params")
 
 
-def read_stats(spark: SparkSession, checkpoint: str) -> DataFrame:
-    """Statistics of the models in force from the state of a `meet_models_with_stats` query, the shards added up."""
-    rows = (
-        spark.read.format("statestore")
-        .option("stateVarName", "stats")
-        .load(checkpoint)
-        .select("key.data_type", "value.*")
-    )
-    return rows.groupBy("data_type", "name", "since").agg(
-        F.sum("usage").cast("bigint").alias("usage"),
-        F.sum("duration").alias("duration"),
-        F.min("min").alias("min"),
-        F.max("max").alias("max"),
-    )
+def read_stats(spark: SparkSession, checkpoint: str, batch: int | None = None) -> DataFrame:
+    """Statistics of the models in force from the state of a `meet_models_with_stats` query, the shards added up.
+
+    `batch` asks for the state as it stood after that batch, as far back as the checkpoint keeps it.
+    """
+    reader = spark.read.format("statestore").option("stateVarName", "stats")
+    if batch is not None:
+        reader = reader.option("batchId", batch)
+    return merge_stats(reader.load(checkpoint).select("key.data_type", "value.*"))
+
+
+def read_history(spark: SparkSession, checkpoint: str, first: int = 0, last: int | None = None) -> DataFrame:
+    """Model in force and statistics of each type after each batch (batch_id first), from the changes of the state of a
+    `meet_models_with_stats` query.
+
+    Batches `first` to `last` (by default the last one committed) are read; `first` must be the query's first batch, or the
+    types that were silent since are missing. A key that did not change in a batch keeps its value from before. Needs the
+    changelog of the RocksDB state store.
+    """
+    reader = spark.read.format("statestore").option("stateVarName", "stats").option("readChangeFeed", True)
+    reader = reader.option("changeStartBatchId", first)
+    if last is not None:
+        reader = reader.option("changeEndBatchId", last)
+    changes = reader.load(checkpoint).filter("change_type = 'update'")
+    changes = changes.select("batch_id", "key.data_type", "key.shard", "value.*")
+    if last is None:
+        last = changes.agg(F.max("batch_id")).first()[0]
+    if last is None:
+        last = first
+    until = F.lead("batch_id", 1, last + 1).over(Window.partitionBy("data_type", "shard").orderBy("batch_id"))
+    valid = changes.withColumn("__until", until).withColumn("batch_id", F.explode(F.expr("sequence(batch_id, __until - 1)")))
+    return merge_stats(valid.drop("__until", "shard"), "batch_id")

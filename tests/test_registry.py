@@ -67,3 +67,44 @@ def test_model_files_and_locations(spark, tmp_path):
     )
     fetched = registry.fetch_locations(models, files.withColumnRenamed("model", "content"))
     assert {r.name: r.model and bytes(r.model) for r in fetched.collect()} == {"by location": b"<a/>", "inline": b"x", "lost": None}
+
+
+@pytest.mark.parametrize("limits", [Limits(), Limits(broadcast_rows=0, rows_per_chunk=3)])
+def test_a_kind_with_parameters_of_its_own(spark, folder, limits):
+    """A document of any shape as parameters: built, saved, read back, served as of time and from the registry."""
+    from modelstream.operators.serve import serve_asof, serve_latest
+
+    def parser(models, text, names, out):
+        own = F.try_parse_json(F.col(text))
+        return models.withColumn(out, F.when(own.isNotNull(), F.struct(F.lit("table").alias("form"), own.alias("own"))))
+
+    def scorer(x, p):
+        weights = registry.own(p, "$.by.size", "map<string,double>")
+        return F.coalesce(F.try_element_at(weights, x[0].cast("int").cast("string")), registry.own(p, "$.other", "double"))
+
+    kinds = registry.Kinds().register(7, parser, "table", scorer, {"own": "variant"})
+    documents = [("m1", "a", 1, '{"by": {"size": {"1": 10, "2": 20.5}}, "other": -1}'), ("m2", "a", 5, '{"other": 7}'), ("m3", "a", 9, "{no"), ("m4", "b", 2, "3")]
+    models = spark.createDataFrame(documents, "name string, data_type string, ts long, model string").select(
+        "name", "data_type", F.lit(7).alias("model_kind"), F.col("model").cast("binary").alias("model"), "ts", F.col("ts").alias("seq")
+    )
+    saved = registry.save_models(registry.build_models(models, ["x"], kinds), f"{folder}/saved")
+    assert [r.name for r in saved.filter("params IS NULL").collect()] == ["m3"]
+    records = spark.createDataFrame(
+        [(1, "a", 1, 1.0), (2, "a", 4, 2.0), (3, "a", 4, 3.0), (4, "a", 6, 1.0), (5, "a", 99, 2.0), (6, "b", 3, 1.0)],
+        "record_id int, data_type string, ts long, x double",
+    )
+    options = {"keep": ["record_id"], "forms": {"table": kinds.scorers["table"]}, "limits": limits}
+    strategy = "auto" if limits.broadcast_rows else "chunked"
+    served = serve_asof(records, saved, [F.col("x")], strategy=strategy, **options)
+    assert {r.record_id: (r.name, r.result) for r in served.collect()} == {
+        1: ("m1", 10.0), 2: ("m1", 20.5), 3: ("m1", -1.0), 4: ("m2", 7.0), 5: ("m2", 7.0), 6: ("m4", None)}
+    latest = serve_latest(records, saved, [F.col("x")], **options)
+    assert {r.record_id: r.result for r in latest.collect()} == {1: 7.0, 2: 7.0, 3: 7.0, 4: 7.0, 5: 7.0, 6: None}
+
+
+def test_own_parameters_do_not_clash():
+    parser = lambda models, text, names, out: models
+    kinds = registry.Kinds().register(7, parser, fields={"own": "variant"}).register(8, parser, fields={"own": "variant", "depth": "int"})
+    assert kinds.fields == {"own": "variant"}
+    with pytest.raises(ValueError, match="own"):
+        kinds.register(9, parser, fields={"own": "string"})

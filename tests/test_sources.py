@@ -62,3 +62,55 @@ def test_result_lines(spark):
 def test_unknown_trigger(spark):
     with pytest.raises(ValueError):
         sinks.start(None, trigger="sometimes")
+
+
+@pytest.mark.parametrize("limit", [500_000, 0])
+def test_lines_are_numbered_as_read_in_sequence(spark, tmp_path, limit):
+    """Files of many splits, of one, without a last line feed, with empty lines, and an empty file."""
+    import random
+
+    from modelstream.config import Limits
+
+    rng, expected = random.Random(6), []
+    for name, n, end in (("b.txt", 700, "\n"), ("a.txt", 300, ""), ("c.txt", 1, "\n"), ("d.txt", 0, "")):
+        lines = ["x" * rng.choice([0, 3, 90]) + f" {name} {i}" for i in range(n)]
+        (tmp_path / name).write_text("\n".join(lines) + end)
+        expected += [(name, i + 1, line) for i, line in enumerate(lines)]
+    expected.sort(key=lambda r: r[:2])
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "2000")
+    try:
+        rows = tables.read_lines(spark, str(tmp_path), Limits(broadcast_rows=limit)).collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    rows.sort(key=lambda r: r.number)
+    assert [(r.file.rsplit("/", 1)[1], r.line, r.value) for r in rows] == expected
+    assert [r.number for r in rows] == list(range(1, len(expected) + 1))
+    assert [r.from_end for r in rows] == list(range(len(expected), 0, -1))
+
+
+def test_discard_runs_the_query(spark):
+    from pyspark.sql import Observation
+
+    seen = Observation("seen")
+    sinks.discard(spark.range(17).observe(seen, F.count(F.lit(1)).alias("n")))
+    assert seen.get["n"] == 17
+
+
+def test_stamp(spark):
+    import time
+
+    from modelstream.functions.text import stamp
+
+    low = int(time.time() * 1000)
+    row = spark.range(1).select(stamp().alias("now"), stamp(F.lit(5)).alias("given")).first()
+    assert low - 1000 <= row.now <= int(time.time() * 1000) + 1000 and row.given == 5
+
+
+def test_shared_settings_are_the_names_existing_jobs_use():
+    shared = ServingConfig()
+    assert (shared.data_topic, shared.models_topic) == ("mdata", "models")
+    assert (shared.data_group, shared.models_group) == ("wineRecordsGroup", "modelRecordsGroup")
+    assert (shared.trigger, shared.continuous) == ("1 second", "5 seconds")
+    with pytest.raises(AttributeError):
+        shared.trigger = "2 seconds"

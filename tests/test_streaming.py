@@ -357,3 +357,69 @@ def test_text_sink(spark, folder):
     lines = sinks.result_lines(tables.stream_files(spark, f"{folder}/in", schema), F.lit(40))
     replay.finish(sinks.to_files(lines, f"{folder}/lines", f"{folder}/checkpoint", "text"))
     assert [r.value for r in spark.read.text(f"{folder}/lines").collect()] == ["Model served in 30 ms, with result 6.0 (model m, data type a)"]
+
+
+def test_models_change_under_a_running_query(spark, folder):
+    """A query that is never stopped, at the configured interval: it uses each model from its arrival on."""
+    feed = Feed(spark, folder)
+    records, _ = feed.streams()
+    registry = batches.Registry(spark, f"{folder}/registry", replay.MODELS)
+    writer = batches.serve_snapshot(
+        records, registry, lambda: [F.get("features", 0)], f"{folder}/out", f"{folder}/checkpoint",
+        Policy(no_model="mark"), keep=["record_id", "duration"], forms=["linear"],
+    )
+
+    def models(*rows):
+        feed.models(*rows)
+        stream = feed.streams()[1]
+        replay.finish(batches.update_registry(stream, registry, f"{folder}/models-checkpoint"))
+
+    query = sinks.start(writer)
+    try:
+        for i, change in enumerate([None, ("m1", "a", 1, 10.0), ("m2", "a", 2, 20.0), ("late", "a", 0, 30.0)]):
+            if change:
+                models(change)
+            feed.records((i, "a", 100 + i, 1.0, 1.0))
+            query.processAllAvailable()
+        assert query.isActive and query.exception() is None
+        first = query.id
+    finally:
+        query.stop()
+    # The query is built anew, with other models, and goes on where it was.
+    models(("m5", "a", 7, 50.0))
+    feed.records((9, "a", 200, 1.0, 1.0))
+    again = sinks.start(writer)
+    try:
+        again.processAllAvailable()
+        assert again.id == first
+    finally:
+        again.stop()
+    found = {r.record_id: (r.name, r.result) for r in batches.read_results(spark, f"{folder}/out", replay.SERVED).collect()}
+    assert found == {0: (NO_MODEL, 0.0), 1: ("m1", 11.0), 2: ("m2", 21.0), 3: ("late", 31.0), 9: ("m5", 51.0)}
+
+
+def test_state_after_each_batch(spark, folder):
+    """History from the changes of the state; the state of a past batch is the same as its row of the history."""
+    feed = Feed(spark, folder)
+    steps = [
+        ([("m1", "a", 1, 0.0), ("n1", "b", 1, 0.0)], [(1, "a", 2, 0.0, 3.0), (2, "a", 3, 0.0, 5.0), (3, "b", 3, 0.0, 1.5)]),
+        ([], [(4, "a", 10, 0.0, 2.0), (5, "a", 11, 0.0, 0.5)]),
+        ([("m2", "a", 20, 0.0)], [(6, "a", 21, 0.0, 4.0), (7, "b", 21, 0.0, 6.0)]),
+    ]
+    for models, records in steps:
+        if models:
+            feed.models(*models)
+        feed.records(*records)
+        run_keyed(spark, feed, processor=True)
+    checkpoint = f"{folder}/checkpoint"
+    columns = ["data_type", "name", "since", "usage", "duration"]
+    found = keyed.read_history(spark, checkpoint).filter("usage > 0").select("batch_id", *columns)
+    expected = [
+        (0, "a", "m1", 1, 2, 8.0), (0, "b", "n1", 1, 1, 1.5),
+        (1, "a", "m1", 1, 4, 10.5), (1, "b", "n1", 1, 1, 1.5),
+        (2, "a", "m2", 20, 1, 4.0), (2, "b", "n1", 1, 2, 7.5),
+    ]
+    assert sorted(map(tuple, found.collect())) == expected
+    for batch in range(3):
+        then = keyed.read_stats(spark, checkpoint, batch).filter("usage > 0").select(*columns).collect()
+        assert sorted(map(tuple, then)) == [r[1:] for r in expected if r[0] == batch]
