@@ -3,19 +3,19 @@
 Characters are lower-cased, whatever is no letter is one blank. Runs of one to three of them are hashed into buckets. Document frequencies
 come from all labelled rows outside the held-out third; the weights from a bounded sample of them by
 follow-the-regularised-leader with an elastic-net penalty; a temperature fitted on a part of the sample that was not
-learned from makes the probabilities honest.
+learned from makes the probabilities honest. Examples pass the learner as rows in order, each epoch's after the other, so it
+holds no more than its sums; the weights that are not zero are kept, sent and multiplied alone.
 """
 
 from __future__ import annotations
 
 import functools
-import json
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from modelstream.llm import common, linear
@@ -30,8 +30,10 @@ EPOCHS = 2
 SCALE = 4.0
 # Rows counted together in the pass for document frequencies.
 COUNTED = 128
-# Characters times languages that a prediction looks at together.
+# Weights that a prediction looks at together, those of one n-gram at least.
 CELLS = 1 << 22
+# Divisors of the logits that are tried.
+TEMPERATURES = np.geomspace(0.05, 20, 121)
 
 
 @functools.lru_cache(maxsize=1)
@@ -119,41 +121,87 @@ def _examples(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def temperature(logits: np.ndarray, labels: np.ndarray) -> float:
-    """The divisor of the logits with the least negative log-likelihood."""
-    def loss(t: float) -> float:
-        z = logits / t
-        z = z - z.max(axis=1, keepdims=True)
-        return float((np.log(np.exp(z).sum(axis=1)) - z[np.arange(len(labels)), labels]).mean())
-
-    grid = np.geomspace(0.05, 20, 121)
-    return float(grid[int(np.argmin([loss(t) for t in grid]))]) if len(labels) else 1.0
-
-
-def _fit(idf):
-    def run(source: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        part = pd.concat(list(source), ignore_index=True)
-        if not len(part):
-            return
-        names = sorted(part["lang"].unique())
-        scale = idf.value
-        examples = [
-            (np.asarray(i, np.int64), SCALE * np.asarray(v, np.float64) * scale[i], names.index(y))
-            for i, v, y in zip(part["index"], part["value"], part["lang"])
-        ]
-        # A fifth is kept for the temperature, but not of a language that nothing would be learned of.
-        told = {y for k, (_, _, y) in enumerate(examples) if k % 5}
-        weights = linear.ftrl([e for k, e in enumerate(examples) if k % 5 or e[2] not in told], 1 << BITS, len(names), EPOCHS)
-        kept = [e for k, e in enumerate(examples) if not k % 5 and e[2] in told]
-        logits = np.array([v @ weights[i] + weights[-1] for i, v, _ in kept])
-        t = temperature(logits, np.array([y for _, _, y in kept])) if len(names) > 1 else 1.0
-        yield pd.DataFrame({"names": [json.dumps(names)], "temperature": [t], "weights": [weights.astype(np.float32).tobytes()]})
+def losses(logits: np.ndarray, label: int) -> np.ndarray:
+    """The negative log-likelihood of a label at each temperature."""
+    z = (logits - logits.max())[None, :] / TEMPERATURES[:, None]
+    return np.log(np.exp(z).sum(axis=1)) - z[:, label]
+
+
+@dataclass
+class Model:
+    """Weights that are not zero, in order of their buckets; `start` tells where a bucket's begin. Inverse document frequencies are
+    folded in."""
+
+    names: list[str]
+    start: np.ndarray
+    language: np.ndarray
+    weight: np.ndarray
+    bias: np.ndarray
+    temperature: float
+
+    def sums(self, columns: list[np.ndarray], first: np.ndarray) -> np.ndarray:
+        """For each row the sum of the weights of its n-grams, by language."""
+        classes = len(self.names)
+        out = np.zeros((len(first) - 1) * classes)
+        row = np.repeat(np.arange(len(first) - 1), np.diff(first))
+        for buckets in columns:
+            size = self.start[buckets + 1] - self.start[buckets]
+            total = np.append(0, np.cumsum(size))
+            low = 0
+            while low < len(buckets):
+                high = max(low + 1, int(np.searchsorted(total, total[low] + CELLS, side="right")) - 1)
+                n, stop = size[low:high], total[low + 1 : high + 1] - total[low]
+                at = np.repeat(self.start[buckets[low:high]] - (stop - n), n) + np.arange(stop[-1])
+                base = row[low] * classes
+                cell = np.repeat(row[low:high] * classes - base, n) + self.language[at]
+                found = np.bincount(cell, self.weight[at])
+                out[base : base + len(found)] += found
+                low = high
+        return out.reshape(-1, classes)
+
+
+def _fit(idf, classes: int):
+    """Rows (bucket, language, weight) of the weights that are not zero; bucket 1 << BITS is the bias, -1 has the temperature."""
+
+    def run(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        learner, loss, scale = linear.Learner(1 << BITS, classes), np.zeros(len(TEMPERATURES)), SCALE * idf.value
+
+        def rows(bucket: np.ndarray, language: np.ndarray, weight: np.ndarray) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays(
+                [pa.array(bucket, pa.int32()), pa.array(language, pa.int32()), pa.array(weight, pa.float64())],
+                ["bucket", "language", "weight"],
+            )
+
+        for batch in source:
+            epoch, label = batch.column(0).to_pylist(), batch.column(1).to_pylist()
+            at = np.append(0, np.cumsum(batch.column(2).value_lengths().to_numpy()))
+            index, value = batch.column(2).flatten().to_numpy(), batch.column(3).flatten().to_numpy()
+            for k in range(batch.num_rows):
+                own = index[at[k] : at[k + 1]].astype(np.int64)
+                x = value[at[k] : at[k + 1]].astype(np.float64) * scale[own]
+                if epoch[k] < EPOCHS:
+                    learner.learn(own, x, label[k])
+                else:
+                    loss += losses(learner.logits(own, x), label[k])
+        best = TEMPERATURES[int(np.argmin(loss))] if loss.any() else 1.0
+        yield rows(np.array([-1]), np.array([0]), np.array([best]))
+        folded = np.append(scale, 1.0)
+        step = max(1, CELLS // classes)
+        for low in range(0, len(folded), step):
+            weights = learner.weights(slice(low, low + step)) * folded[low : low + step, None]
+            bucket, language = np.nonzero(weights)
+            yield rows(low + bucket, language, weights[bucket, language])
 
     return run
 
 
-def train(docs: DataFrame, id_col: str, text_col: str, lang_col: str, most: int) -> tuple[list[str], np.ndarray, float]:
-    """Names, weights (buckets with the inverse document frequencies folded in, then the bias), temperature."""
+def train(docs: DataFrame, id_col: str, text_col: str, lang_col: str, most: int) -> Model | None:
+    """The model; None if nothing can be learned. A fifth of each language's sample, its fifth example and every fifth one
+    after it, is kept for the temperature.
+
+    One task learns. It holds two numbers for each bucket that occurs and language, and what comes to the driver and is broadcast are at
+    most as many weights; the penalty leaves few of many languages'.
+    """
     spark = docs.sparkSession
     rows = docs.select(
         F.col(id_col).cast("bigint").alias("doc_id"), F.col(lang_col).cast("string").alias("lang"), F.col(text_col).cast("string").alias("text")
@@ -166,7 +214,7 @@ def train(docs: DataFrame, id_col: str, text_col: str, lang_col: str, most: int)
         else:
             df[r.bucket] = r.n
     if not total:
-        return [], np.zeros((1, 0), np.float32), 1.0
+        return None
     idf = np.log((1 + total) / (1 + df)) + 1
     place = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 40))
     per = common.stored(rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n"), F.min(place).alias("least")), "language-counts")
@@ -180,46 +228,48 @@ def train(docs: DataFrame, id_col: str, text_col: str, lang_col: str, most: int)
     if not missed.isEmpty():
         one = rows.join(F.broadcast(missed), "lang").filter(place == F.col("least")).groupBy("lang")
         sample = sample.unionByName(one.agg(F.min("doc_id").alias("doc_id"), F.min("text").alias("text")))
-    shared = spark.sparkContext.broadcast(idf)
+    names = sorted(r.lang for r in per.select("lang").collect())
+    numbers = spark.createDataFrame(list(zip(names, range(len(names)))), "lang string, label int")
+    order = [F.xxhash64("doc_id", F.lit(7)), "doc_id", "index", "value"]
+    kept = F.row_number().over(Window.partitionBy("lang").orderBy(*order)) % 5 == 0
+    epochs = F.when(F.col("kept"), F.array(F.lit(EPOCHS))).otherwise(F.sequence(F.lit(0), F.lit(EPOCHS - 1)))
+    examples = sample.mapInArrow(_examples, "doc_id bigint, lang string, index array<int>, value array<float>")
     fitted = (
-        sample.mapInArrow(_examples, "doc_id bigint, lang string, index array<int>, value array<float>")
+        examples.withColumn("kept", kept)
+        .select("*", F.explode(epochs).alias("epoch"))
+        .join(F.broadcast(numbers), "lang")  # a row per language
         .repartition(1)
-        .sortWithinPartitions(F.xxhash64("doc_id", F.lit(7)), "doc_id", "lang", "index")
-        .select("lang", "index", "value")
-        .mapInPandas(_fit(shared), "names string, temperature double, weights binary")
-        .first()
+        .sortWithinPartitions("epoch", order[0], "doc_id", "label", "index", "value")
+        .select("epoch", "label", "index", "value")
+        .mapInArrow(_fit(spark.sparkContext.broadcast(idf), len(names)), "bucket int, language int, weight double")
+        .toArrow()
     )
-    if fitted is None:
-        return [], np.zeros((1, 0), np.float32), 1.0
-    names = json.loads(fitted["names"])
-    weights = np.frombuffer(fitted["weights"], np.float32).reshape(-1, len(names)).copy()
-    weights[:-1] *= (SCALE * idf).astype(np.float32)[:, None]
-    return names, weights, fitted["temperature"]
+    bucket, language, weight = (fitted[c].to_numpy() for c in ("bucket", "language", "weight"))
+    bias = np.zeros(len(names))
+    bias[language[bucket == 1 << BITS]] = weight[bucket == 1 << BITS]
+    inner = np.flatnonzero((bucket >= 0) & (bucket < 1 << BITS))
+    inner = inner[np.lexsort((language[inner], bucket[inner]))]
+    start = np.searchsorted(bucket[inner], np.arange((1 << BITS) + 1))
+    return Model(names, start, language[inner], weight[inner], bias, float(weight[bucket == -1][0]))
 
 
-def _predict(model):
+def _predict(shared):
     def run(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names, weights, t = model.value
+        model = shared.value
         for batch in common.batches(source):
             best, score = [], []
             for low, high, body, at in common.pieces(batch.column(1), common.PIECE_BYTES // 2):
                 columns, first, has = grams(body, at)
-                sums = np.zeros((high - low, max(1, len(names))))
-                if names:
-                    step = max(1, CELLS // max(1, len(columns[0])))
-                    for k in range(0, len(names), step):
-                        some = weights[:, k : k + step]
-                        part = some[columns[0]]
-                        for c in columns[1:]:
-                            part += some[c]
-                        sums[:, k : k + step] = linear.segment_sums(part, first)
-                    z = (sums / np.maximum(3 * np.diff(first), 1)[:, None] + weights[-1]) / t
-                    z = np.exp(z - z.max(axis=1, keepdims=True))
-                    sums = z / z.sum(axis=1, keepdims=True)
-                top = sums.argmax(axis=1)
-                known = has & bool(names)
-                best += [names[k] if ok else "und" for k, ok in zip(top, known)]
-                score += [float(sums[i, k]) if ok else 0.0 for i, (k, ok) in enumerate(zip(top, known))]
+                if model is None:
+                    best += ["und"] * (high - low)
+                    score += [0.0] * (high - low)
+                    continue
+                z = (model.sums(columns, first) / np.maximum(3 * np.diff(first), 1)[:, None] + model.bias) / model.temperature
+                z = np.exp(z - z.max(axis=1, keepdims=True))
+                z /= z.sum(axis=1, keepdims=True)
+                top = z.argmax(axis=1)
+                best += [model.names[k] if ok else "und" for k, ok in zip(top, has)]
+                score += [float(z[i, k]) if ok else 0.0 for i, (k, ok) in enumerate(zip(top, has))]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(best, pa.string()), pa.array(score, pa.float64())], ["doc_id", "lang_pred", "score"]
             )
