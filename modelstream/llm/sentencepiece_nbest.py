@@ -30,8 +30,9 @@ from modelstream.llm import common
 
 VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
 NBEST = 4
-# Words whose best paths a worker remembers; the memory is emptied when full.
+# Words, and their characters, whose best paths a worker remembers; the memory is emptied when either is full.
 REMEMBERED = 150_000
+REMEMBERED_CHARACTERS = 4_000_000
 
 BLANK = "\u2581"
 # A word with its leading blanks: the lattice is cut before a run of blanks and around line ends.
@@ -59,6 +60,8 @@ class Pieces:
                 self.strings[-1] = bytes([int(piece[3:5], 16)])
             elif not (model.is_control(i) or model.is_unknown(i) or model.is_unused(i)):
                 # The sign in a piece is a blank of the text.
+                if len(WORDS.findall(piece.replace(BLANK, " "))) > 1:
+                    raise ValueError(f"the piece {piece!r} goes beyond a word, so the chain of words would lack paths")
                 self.ids[piece.replace(BLANK, " ")] = (i, model.get_score(i))
                 scores.append(model.get_score(i))
         self.longest = max(map(len, self.ids))
@@ -208,13 +211,14 @@ class Pieces:
 
     def slots_of(self, words: list[str]) -> np.ndarray:
         """Where the memory keeps each word; words that it lacks are solved together."""
-        if len(self.words) >= REMEMBERED:
+        if len(self.words) >= REMEMBERED or self.characters >= REMEMBERED_CHARACTERS:
             self._forget()
         found = np.fromiter(map(self.words.get, words, repeat(-1)), np.int64, len(words))
         lacking = np.flatnonzero(found < 0).tolist()
         if lacking:
             lacked = [words[k] for k in lacking]
             fresh = list(dict.fromkeys(lacked))
+            self.characters += sum(map(len, fresh))
             first, second, sizes, ids = self.solve(fresh)
             self.words.update(zip(fresh, range(len(self.words), len(self.words) + len(fresh))))
             self.first = np.append(self.first, first)
@@ -226,6 +230,7 @@ class Pieces:
 
     def _forget(self) -> None:
         self.words: dict[str, int] = {}
+        self.characters = 0
         self.first, self.gap = np.zeros(0), np.zeros(0)
         self.offset, self.flat = np.zeros(1, np.int64), np.zeros(0, np.int32)
         self.ranked: dict[tuple[str, int], list[Segmentation]] = {}
