@@ -326,7 +326,9 @@ def drop_contaminated(
     Null and wordless texts are kept, repeated rows are judged alike; an empty benchmark keeps everything. Parts of a large
     benchmark follow one another, each over what the ones before have kept.
     """
-    spark, place = docs.sparkSession, docs.columns.index(text_col)
+    spark, place, names = docs.sparkSession, docs.columns.index(text_col), docs.columns
+    # Arrow functions take columns by name, and a name may hold a dot.
+    docs = docs.toDF(*[f"c{k}" for k in range(len(names))])
     for part in benchmark_parts(benchmark, item_col, item_text_col, block_bytes):
         bench = spark.sparkContext.broadcast(part)
 
@@ -341,4 +343,4 @@ def drop_contaminated(
                 yield batch.filter(pa.array(clean))
 
         docs = docs.mapInArrow(run, docs.schema)
-    return docs
+    return docs.toDF(*names)
