@@ -125,19 +125,27 @@ def model_envelope(model: Column) -> Column:
     )
 
 
-def envelopes(records: DataFrame, models: DataFrame, value: str = "value", bad_input: str = "drop") -> DataFrame:
+def envelopes(
+    records: DataFrame, models: DataFrame, value: str = "value", bad_input: str = "drop", arrival: str | None = None
+) -> DataFrame:
     """Both message streams as one stream of ENVELOPE rows.
 
+    `arrival` names a column of the models with their order of arrival (the offset of a topic). The rows then carry it as ``seq``,
+    null for records, and `split_envelopes` gives it to the models: of models of one time the last to arrive counts, which
+    nothing inside a message tells.
+
     Messages of models without a type, or that cannot be decoded, are left out: nothing can meet them. So are such records,
     unless ``bad_input="mark"``: then they pass as the empty record with the empty type, which serving under the policy
     of that name answers. `quarantine` returns the messages themselves.
     """
     if bad_input not in ("drop", "mark"):
         raise ValueError(f"bad_input must be drop or mark, not {bad_input!r}")
-    left = typed(models.select(model_envelope(decode_model(F.col(value))).alias("e")).select("e.*"))
+    order = [] if arrival is None else [F.col(arrival).cast("bigint").alias("seq")]
+    parsed = models.select(model_envelope(decode_model(F.col(value))).alias("e"), *order)
+    left = typed(parsed.select("e.*", *[c for c in parsed.columns if c != "e"]))
     decode = decode_record_or_default if bad_input == "mark" else decode_record
     right = records.select(data_envelope(decode(F.col(value))).alias("e")).select("e.*")
-    return left.unionByName(typed(right) if bad_input == "drop" else right)
+    return left.unionByName(typed(right) if bad_input == "drop" else right, allowMissingColumns=arrival is not None)
 
 
 def typed(rows: DataFrame) -> DataFrame:
@@ -146,9 +154,9 @@ def typed(rows: DataFrame) -> DataFrame:
 
 
 def split_envelopes(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """The records and the models of an ENVELOPE stream."""
+    """The records and the models of an ENVELOPE stream, the models with ``seq`` where the stream carries it."""
     records = rows.filter(F.col("data").isNotNull()).select("data.*")
-    models = rows.filter(F.col("data").isNull()).select("model.*")
+    models = rows.filter(F.col("data").isNull()).select("model.*", *[c for c in rows.columns if c == "seq"])
     return records, models
 
 

@@ -247,7 +247,7 @@ def stream_messages(spark: SparkSession, sf: str) -> DataFrame:
 
     def split(batch: DataFrame) -> tuple[DataFrame, DataFrame]:
         records, models = wire.split_envelopes(batch)
-        built = reg.build_models(models.withColumn("seq", F.col("ts")), ["value", "k"])
+        built = reg.build_models(models, ["value", "k"])
         narrow = F.when(F.col("params").isNotNull(), F.struct("params.form", "params.intercept", "params.coefs"))
         return records, built.withColumn("params", narrow)
 
@@ -257,7 +257,7 @@ def stream_messages(spark: SparkSession, sf: str) -> DataFrame:
             messages.join(now, "event_id").select("event_id", "value").write.mode("append").parquet(f"{root}/{side}")
         finish(
             batches.serve_arrivals(
-                wire.envelopes(streams["records"], streams["models"]),
+                wire.envelopes(streams["records"], streams["models"], arrival="event_id"),
                 split,
                 registry,
                 lambda: [F.get("features", i) for i in range(2)],

@@ -423,3 +423,29 @@ def test_state_after_each_batch(spark, folder):
     for batch in range(3):
         then = keyed.read_stats(spark, checkpoint, batch).filter("usage > 0").select(*columns).collect()
         assert sorted(map(tuple, then)) == [r[1:] for r in expected if r[0] == batch]
+
+
+def test_messages_with_models_of_one_time(spark, folder):
+    """The whole way with many models at every time: each record meets the last of them to arrive, as in the SQL."""
+    import duckdb
+
+    from modelstream.plans.oracle import ORACLE
+
+    k = F.when(F.col("i") % 2 == 0, F.lit(11) + F.col("i") % 8).otherwise(F.lit(1))
+    minute = F.floor(F.col("i") / 100)
+    events = spark.range(600).withColumnRenamed("id", "i").select(
+        # Ids fall while the rows come in order.
+        (F.lit(9999) - F.col("i")).alias("event_id"),
+        F.timestamp_seconds(F.lit(1_700_000_000) + 60 * minute).cast("timestamp_ntz").alias("ts"),
+        (F.col("i") % 3).alias("user_id"),
+        F.when(F.col("i") % 2 == 0, "signup").otherwise("click").alias("event_type"),
+        (F.col("i") / 4).alias("value"),
+        F.format_string('{"k": %d}', k.cast("int")).alias("props"),
+    )
+    events.repartition(3).write.parquet(f"{folder}/events.parquet")
+    db = duckdb.connect()
+    db.execute(f"CREATE VIEW events AS SELECT * FROM '{folder}/events.parquet/*.parquet'")
+    expected = db.execute(ORACLE["stream_messages"]).fetchall()
+    found = replay.stream_messages(spark, folder)
+    assert found.columns == [d[0] for d in db.description]
+    assert len(expected) == 300 and sorted(map(tuple, found.collect())) == sorted(expected)

@@ -106,3 +106,15 @@ def test_envelopes_of_bad_messages(spark):
         built = built.withColumns({"seq": F.col("ts"), "params": linear_params(F.lit(1.0), [F.lit(1.0)])})
         served = serve_latest(data, built, [F.get("features", 0)], Policy(bad_input=bad_input), forms=["linear"])
         assert sorted(r.name for r in served.collect()) == [BAD_INPUT] * (len(types) - 1) + ["m"]
+
+
+def test_the_order_of_arrival_goes_with_the_models(spark):
+    """Of two models of one time the last to arrive counts, also where its name sorts first."""
+    from modelstream.operators.registry import latest_models
+
+    sent = [{"name": name, "data_type": "wine", "model_kind": 2, "ts": 7} for name in ("m9", "m5", "m10")]
+    both = wire.envelopes(messages(spark, GOOD), messages(spark, *sent), arrival="i")
+    records, models = wire.split_envelopes(both)
+    assert records.columns == ["record_id", "data_type", "ts", "features"] and records.count() == 1
+    assert sorted((r.seq, r.name) for r in models.collect()) == [(0, "m9"), (1, "m5"), (2, "m10")]
+    assert [r.name for r in latest_models(models).collect()] == ["m10"]
