@@ -51,6 +51,8 @@ def state_settings(spark: SparkSession) -> Iterator[None]:
         # Changes of the state can be read back, and a batch uploads what changed rather than whole files.
         "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
         "spark.sql.shuffle.partitions": str(ServingConfig().state_partitions),
+        # The rows that pass through Python are blocks of some thousand records: a worker holds this many at a time.
+        "spark.sql.execution.arrow.maxRecordsPerBatch": "64",
     }
     before = {name: spark.conf.get(name, None) for name in wanted}
     for name, value in wanted.items():

@@ -449,3 +449,50 @@ def test_messages_with_models_of_one_time(spark, folder):
     found = replay.stream_messages(spark, folder)
     assert found.columns == [d[0] for d in db.description]
     assert len(expected) == 300 and sorted(map(tuple, found.collect())) == sorted(expected)
+
+
+def test_models_go_to_all_shards_as_blocks(spark):
+    """Neither the shuffle nor Python handles models one by one for each shard."""
+    models = spark.range(4000).select(
+        F.format_string("m%d", "id").alias("name"), F.lit("d").alias("description"), F.lit("a").alias("data_type"),
+        F.lit(2).alias("model_kind"), F.floor(F.col("id") / 4).alias("ts"), F.col("id").alias("seq"),
+        linear_params(F.lit(1.0), [F.lit(1.0)]).alias("params"),
+    )
+    records = spark.range(4000).select(
+        F.col("id").alias("record_id"), F.lit("a").alias("data_type"), F.col("id").alias("ts"), F.array(F.lit(1.0)).alias("features")
+    )
+    rows = keyed.stream_rows(records.coalesce(1), models.coalesce(1), shards=8).collect()
+    assert len(rows) < 100 and {r.shard for r in rows} == set(range(8))
+    import pandas as pd
+
+    met = {}
+    for shard in range(8):
+        mine = pd.DataFrame([r.asDict() for r in rows if r.shard == shard])
+        meeting = keyed.Meeting(iter([mine]), None, "event_time")
+        # Of the four models of a time only the last can be in force.
+        assert meeting.last == 1000 and meeting.newest[:2] == ("m3999", 999)
+        for batch, version in meeting.met():
+            out = keyed._output(batch, version, meeting.models)
+            met |= dict(zip(out["record_id"], out["name"]))
+    assert met == {i: f"m{4 * min(i, 999) + 3}" for i in range(4000)}
+
+
+def test_memory_of_a_key_holds_one_model_for_each_time():
+    """Four hundred thousand models at ten thousand times, as columns."""
+    import pandas as pd
+    import pyarrow as pa
+
+    def source(n, size=20_000):
+        for low in range(0, n, size):
+            seq = range(low, low + size)
+            yield pd.DataFrame(
+                {
+                    "data_type": "a", "shard": 0, "ts": [i % 10_000 for i in seq], "seq": seq, "is_record": False, "features": None,
+                    "duration": None, "name": [f"m{i}" for i in seq], "params": "{}",
+                }
+            )
+
+    before = pa.total_allocated_bytes()
+    meeting = keyed.Meeting(source(400_000), ("old", -1, "{}"), "event_time")
+    assert meeting.last == 10_000 and meeting.newest == ("m399999", 9999, "{}")
+    assert pa.total_allocated_bytes() - before < 4 << 20
