@@ -255,6 +255,34 @@ def test_large_anchors_take_the_other_way(spark, docs, monkeypatch):
     assert by_id(found, "n_bytes", "n_removed", "n_spans", "kept_sha256") == brute.without_repeats(rows)
 
 
+def test_stretches_that_share_no_side_meet_no_transform():
+    """A filter by the sides of the anchor: it keeps every stretch with a repeated string, and drops those that share a phrase."""
+    rng = random.Random(5)
+    length, gram = 40, 8
+    for _ in range(200):
+        core = bytes(rng.choices(b"ab", k=gram))
+        shared = bytes(rng.choices(b"cd", k=length)), bytes(rng.choices(b"cd", k=length))
+        bodies, places = [], []
+        for _ in range(rng.randint(2, 6)):
+            left, right = rng.randint(0, length - gram), rng.randint(0, length - gram)
+            own = bytes(rng.choices(b"xyz", k=length - gram)), bytes(rng.choices(b"xyz", k=length - gram))
+            before = own[0] + shared[0][len(shared[0]) - left :] if left else own[0]
+            body = before + core + shared[1][:right] + own[1]
+            bodies.append(body)
+            places.append(len(before))
+        wanted = set()
+        for i, (x, p) in enumerate(zip(bodies, places)):
+            for j, (y, q) in enumerate(zip(bodies, places)):
+                for low in range(gram - length, 1):
+                    a, b = x[max(p + low, 0) : p + low + length], y[max(q + low, 0) : q + low + length]
+                    if i != j and p + low >= 0 and q + low >= 0 and len(a) == length and a == b:
+                        wanted.add(i)
+        kept = substring_dedup.alike(bodies, places, length, gram)
+        assert wanted <= set(kept)
+    apart = [bytes([i]) * 16 + core + bytes([100 + i]) * 16 for i in range(5)]
+    assert substring_dedup.alike(apart, [16] * 5, length, gram) == []
+
+
 def test_backward_extension():
     rng = random.Random(2)
     for length in (3, 16, 20, 40):
