@@ -7,6 +7,7 @@ import zlib
 import brute
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from modelstream.llm import (
     chat_tree,
@@ -255,6 +256,45 @@ def test_large_anchors_take_the_other_way(spark, docs, monkeypatch):
     assert by_id(found, "n_bytes", "n_removed", "n_spans", "kept_sha256") == brute.without_repeats(rows)
 
 
+def test_common_passages_go_to_many_tasks(spark, monkeypatch):
+    """A passage in every document, each time between other words: one anchor with many stretches, one stretch with many places."""
+    rng = random.Random(11)
+    text = lambda n: " ".join("".join(rng.choices("abcdefghij", k=6)) for _ in range(n))
+    passage, copy = text(70), text(60)[:400]
+    rows = [(i, f"{text(60)} {passage} {text(60)}") for i in range(60)] + [(100 + i, copy) for i in range(120)]
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(6)
+    tasks, stored, dealt = {}, substring_dedup.common.stored, substring_dedup.dealt_join
+
+    def spread(df, *keys):
+        counts = df.groupBy(*keys, F.spark_partition_id().alias("task")).count().groupBy(*keys).agg(F.sum("count").alias("n"), F.count("task").alias("tasks"))
+        return counts.orderBy(F.desc("n")).first()
+
+    def seen(df, purpose):
+        if purpose == "strings":
+            tasks[purpose] = spread(df, "anchor")
+        return stored(df, purpose)
+
+    def joined(rows, small, keys, *columns):
+        out = dealt(rows, small, keys, *columns)
+        tasks[tuple(keys)] = spread(out, *keys)
+        return out
+
+    monkeypatch.setattr(substring_dedup.common, "stored", seen)
+    monkeypatch.setattr(substring_dedup, "dealt_join", joined)
+    monkeypatch.setattr(substring_dedup, "BLOCK_BYTES", 600)
+    settings = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    before = {k: spark.conf.get(k) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        found = by_id(substring_dedup.removal_digest(substring_dedup.without_repeats(frame)), "n_bytes", "n_removed", "n_spans", "kept_sha256")
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert found == brute.without_repeats(rows)
+    assert all(tasks[x].n >= 60 and tasks[x].tasks > 1 for x in ("strings", ("anchor",), ("anchor", "digest"))), tasks
+
+
 def test_stretches_that_share_no_side_meet_no_transform():
     """A filter by the sides of the anchor: it keeps every stretch with a repeated string, and drops those that share a phrase."""
     rng = random.Random(5)
